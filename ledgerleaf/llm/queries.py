@@ -7,17 +7,50 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerleaf.llm import line_rules
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 
 
+def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_rules.judge(table(spark, sf_dir, "documents"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_substrings(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_rules": op2_line_rules,
     "op3_substring_dedup": op3_substring_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+#: Word positions restart in each document; lists are 1-based.
+OP2_SQL = f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce('s' || source, 'n') AS host,
+                  string_split(coalesce(text, ''), chr(10)) AS lines,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+l0 AS (SELECT doc_id, host, text, unnest(lines) AS line FROM d),
+l1 AS (SELECT doc_id, host, text, line, trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS norm,
+              len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM l0 WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l1 GROUP BY doc_id),
+hosts AS (SELECT host, count(DISTINCT text) AS host_texts FROM d GROUP BY host),
+freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n_texts FROM l1 GROUP BY host, norm) JOIN hosts USING (host)
+         WHERE n_texts > {line_rules.MIN_TEXTS} AND n_texts > {line_rules.SHARE} * host_texts),
+gone AS (SELECT doc_id, sum(n) AS removed FROM l1 SEMI JOIN freq USING (host, norm) GROUP BY doc_id),
+t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
+g AS (SELECT doc_id, i, word, lead(word) OVER o AS w2, lead(word, 2) OVER o AS w3 FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+r AS (SELECT doc_id, i, w3 IS NOT NULL AND count(*) OVER (PARTITION BY doc_id, word, w2, w3) > 1 AS twice FROM g),
+c AS (SELECT doc_id, bool_or(twice) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS inside FROM r),
+rep AS (SELECT doc_id, count(*) FILTER (inside) AS n FROM c GROUP BY doc_id),
+b AS (SELECT d.doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g'))::BIGINT AS word_chars,
+             length(regexp_replace(text, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, coalesce(n_dup_lines, 0)::BIGINT AS n_dup_lines,
+             coalesce(rep.n, 0)::BIGINT AS n_repeat_words, coalesce(removed, 0)::BIGINT AS removed_words
+      FROM d LEFT JOIN lines USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN gone USING (doc_id)),
+f AS (SELECT *, n_words < {line_rules.MIN_WORDS} OR 100 * n_repeat_words > {line_rules.MAX_REPEAT_PERCENT} * n_words AS base_failed FROM b)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND n_words - removed_words >= {line_rules.LEAST_KEPT} * n_words AS kept, removed_words FROM f
+"""
+
+ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL}
