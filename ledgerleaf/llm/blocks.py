@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.llm.common import free_shuffles, shuffle_partitions, written
 
 BLOCK_SCHEMA = "block long, ids array<bigint>, sizes array<bigint>, data binary"
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 3 << 19
 
 U64 = np.uint64
 _M1, _M2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -44,7 +44,8 @@ class Powers:
 
     def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) <= n:
-            size = max(n + 1, 2 * len(self.up))
+            size = (n | 0xFFFF) + 1
+            self.up = self.down = None  # not both the old and the new at once
             self.up, self.down = (np.concatenate([[U64(1)], np.cumprod(np.full(size, b, U64), dtype=U64)]) for b in (self.base, self.inverse))
         return self.up[: n + 1], self.down[: n + 1]
 
@@ -92,6 +93,13 @@ def build_blocks(docs: DataFrame, block_bytes: int = BLOCK_BYTES, name: str = "b
     return blocks
 
 
+def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """The rows of batches one by one, so that only one is held as Python objects."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def block_bytes_of(data: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(data, max_output_size=1 << 31) if data else b""
 
@@ -123,13 +131,12 @@ def seen_in_earlier_block(blocks: DataFrame, keys_of: Callable[[dict], np.ndarra
     n = shuffle_partitions(blocks.sparkSession)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                keys = keys_of(row)
-                edges = bucket_edges(keys, n)
-                full = [i for i in range(n) if edges[i] < edges[i + 1]]
-                if full:
-                    yield pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()), "keys": pa.array([encode_keys(keys[edges[i] : edges[i + 1]]) for i in full], pa.binary())})
+        for row in rows_of(batches):
+            keys = keys_of(row)
+            edges = bucket_edges(keys, n)
+            full = [i for i in range(n) if edges[i] < edges[i + 1]]
+            if full:
+                yield pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int32()), "block": pa.array([row["block"]] * len(full), pa.int64()), "keys": pa.array([encode_keys(keys[edges[i] : edges[i + 1]]) for i in full], pa.binary())})
 
     def meet(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()

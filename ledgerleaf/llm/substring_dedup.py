@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from ledgerleaf.llm.blocks import U64, Powers, block_bytes_of, build_blocks, covered, first_in_block, mix, prefix_sums, read_masks, seen_in_earlier_block
+from ledgerleaf.llm.blocks import U64, Powers, block_bytes_of, build_blocks, covered, first_in_block, mix, prefix_sums, read_masks, rows_of, seen_in_earlier_block
 from ledgerleaf.llm.common import shuffle_partitions
 
 WINDOW = 20
@@ -66,28 +66,27 @@ def keys_of(row: dict, width: int) -> np.ndarray:
 
 
 def cut(batches: Iterator[pa.RecordBatch], width: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for row in batch.to_pylist():
-            data = block_bytes_of(row["data"])
-            hashes, doc = words_of(data, row["sizes"])
-            windows, at = windows_of(hashes, doc, width)
-            distinct, index, is_first = first_in_block(windows)
-            starts = np.zeros(len(hashes), bool)
-            starts[at] = read_masks(distinct, row["masks"], buckets)[index] | ~is_first
-            gone = covered(starts, len(hashes), width)
-            words_end = np.searchsorted(doc, np.arange(len(row["ids"])), side="right")
-            kept, n_words, n_removed, n_spans = [], [], [], []
-            a = p = 0
-            for size, b in zip(row["sizes"], words_end.tolist(), strict=True):
-                out = gone[a:b]
-                items = data[p : p + size].split()
-                removed = int(out.sum())
-                kept.append(b" ".join(compress(items, (~out).tolist()) if removed else items))
-                n_words.append(b - a)
-                n_removed.append(removed)
-                n_spans.append(int(out[:1].sum() + (out[1:] & ~out[:-1]).sum()))
-                a, p = b, p + size
-            yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["ids"], pa.int64()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
+    for row in rows_of(batches):
+        data = block_bytes_of(row["data"])
+        hashes, doc = words_of(data, row["sizes"])
+        windows, at = windows_of(hashes, doc, width)
+        distinct, index, is_first = first_in_block(windows)
+        starts = np.zeros(len(hashes), bool)
+        starts[at] = read_masks(distinct, row["masks"], buckets)[index] | ~is_first
+        gone = covered(starts, len(hashes), width)
+        words_end = np.searchsorted(doc, np.arange(len(row["ids"])), side="right")
+        kept, n_words, n_removed, n_spans = [], [], [], []
+        a = p = 0
+        for size, b in zip(row["sizes"], words_end.tolist(), strict=True):
+            out = gone[a:b]
+            items = data[p : p + size].split()
+            removed = int(out.sum())
+            kept.append(b" ".join(compress(items, (~out).tolist()) if removed else items))
+            n_words.append(b - a)
+            n_removed.append(removed)
+            n_spans.append(int(out[:1].sum() + (out[1:] & ~out[:-1]).sum()))
+            a, p = b, p + size
+        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["ids"], pa.int64()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()), "n_spans": pa.array(n_spans, pa.int64()), "kept_text": pa.array(kept, pa.binary()).cast(pa.string())})
 
 
 def dedup_substrings(docs: DataFrame, width: int = WINDOW) -> DataFrame:
