@@ -1,12 +1,12 @@
 """Quality rules by cross-document line frequency, in DataFrame operations only.
 
 A line is a part of a text between line feeds that holds a word. Lines are normalised (lower case, digits to 0, white
-space to one space) and hashed; for each host (the source column) the distinct texts that hold a line are counted, so
+space dropped) and hashed; for each host (the source column) the distinct texts that hold a line are counted, so
 that copies of one text count once. A line is boilerplate where it is in more than `max(min_texts, share * texts of
 the host)` texts. Boilerplate lines are removed, and a document that keeps less than `least_kept` of its words is
 depleted and rejected. Beside that, base rules reject texts that are short or repeat themselves.
 
-Plan: lines are exploded as (host, line hash, text hash) and counted with two partial aggregations, so a host or a
+Plan: one pass over the texts writes the counts and line hashes of each document; lines are exploded as (host, line hash, text hash) and counted with two partial aggregations, so a host or a
 line that holds a third of all rows leaves at most one row a task and key. The join that brings boilerplate lines back
 to documents is salted by document.
 
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import let, select_required, words
+from ledgerleaf.llm.common import let, select_required, words, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -63,12 +63,8 @@ def n_repeat_words(tokens: Column) -> Column:
     return let(F.transform(tokens, lambda w: F.xxhash64(w)), of).cast("long")
 
 
-def lines_with_words(text: Column) -> Column:
-    return F.filter(F.split(text, "\n", -1), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
-
-
 def normalised(line: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(F.lower(line), "123456789", "000000000"), r"[\x20\x09-\x0D]+", " "))
+    return F.translate(F.lower(line), "123456789" + WHITE, "0" * 9)
 
 
 def n_words_of(text: Column) -> Column:
@@ -82,62 +78,55 @@ def keyed(docs: DataFrame) -> DataFrame:
     return select_required(docs, ["doc_id", "text", "source"]).select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n")).alias("host"), F.xxhash64(text).alias("text_hash"))
 
 
-def base_columns(rows: DataFrame) -> DataFrame:
+def scanned(docs: DataFrame) -> DataFrame:
+    """One pass over the texts, written: the base columns, and of each line with a word its normal form's hash and its words."""
+    rows = keyed(docs)
     text = F.col("text")
-    lines = let(lines_with_words(text), lambda x: F.size(x) - F.size(F.array_distinct(x)))
+
+    def of_lines(lines: Column) -> Column:
+        forms = F.transform(lines, lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), n_words_of(x).alias("n")))
+        held = F.filter(lines, lambda x: F.length(F.translate(x, WHITE, "")) > 0)
+        return let(held, lambda h: F.struct((F.size(h) - F.size(F.array_distinct(h))).cast("long").alias("n_dup_lines"), F.filter(forms, lambda y: y["n"] > 0).alias("lines")))
+
     found = let(words(text), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words")))
-    rows = rows.select("doc_id", "text_hash", found.alias("found"), (F.length(text).cast("long") - chars_removed(text, WHITE)).alias("word_chars"), chars_removed(text, SYMBOLS).alias("n_symbols"), lines.cast("long").alias("n_dup_lines"))
-    rows = rows.select("doc_id", "text_hash", "found.n_words", "word_chars", "n_symbols", "n_dup_lines", "found.n_repeat_words")
-    return rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")))
+    rows = rows.select("doc_id", "text_hash", "host", found.alias("found"), let(F.split(text, "\n", -1), of_lines).alias("l"), (F.length(text).cast("long") - chars_removed(text, WHITE)).alias("word_chars"), chars_removed(text, SYMBOLS).alias("n_symbols"))
+    rows = rows.select("doc_id", "text_hash", "host", "found.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "found.n_repeat_words", "l.lines")
+    return written(rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))), "lines")
 
 
 def frequent_lines(rows: DataFrame, min_texts: int, share: float) -> DataFrame:
     """(host, line): the boilerplate lines of each host."""
-    line = F.explode(F.array_distinct(F.transform(lines_with_words(F.col("text")), lambda x: F.xxhash64(normalised(x))))).alias("line")
+    line = F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line")
     counted = rows.select("host", "text_hash", line).distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min_texts)
     hosts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_texts"))
     return counted.join(hosts, "host").where(F.col("n_texts") > share * F.col("host_texts")).select("host", "line")
 
 
-def boilerplate_of(rows: DataFrame, min_texts: int, share: float) -> DataFrame:
-    """(doc_id, text_hash, removed_words, removed_lines): for each document with boilerplate, its words and the lines' hashes."""
-    lines = F.transform(lines_with_words(F.col("text")), lambda x: F.struct(F.xxhash64(normalised(x)).alias("line"), n_words_of(x).alias("n")))
+def verdicts(rows: DataFrame, min_texts: int, share: float, least_kept: float) -> DataFrame:
+    """The scanned rows with removed_words, removed_lines (hashes, null for none) and kept."""
     salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int")
-    # each occurrence counts, so equal lines of a document are summed before the join
-    here = rows.select("doc_id", "text_hash", "host", salt.alias("salt"), F.explode(lines).alias("x")).select("doc_id", "text_hash", "host", "salt", "x.line", "x.n")
+    here = rows.select("doc_id", "text_hash", "host", salt.alias("salt"), F.explode("lines").alias("x")).select("doc_id", "text_hash", "host", "salt", "x.line", "x.n")
     frequent = frequent_lines(rows, min_texts, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     hit = here.join(frequent, ["host", "line", "salt"])
-    # repeated rows explode alike; their count divides the sum again
-    copies = rows.groupBy("doc_id", "text_hash").agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
-    per = hit.groupBy("doc_id", "text_hash").agg(F.sum("n").alias("n"), F.collect_set("line").alias("removed_lines"))
-    same = per["doc_id"].eqNullSafe(copies["doc_id"]) & (per["text_hash"] == copies["text_hash"])
-    return per.join(copies, same, "left").select(per["doc_id"], per["text_hash"], (F.col("n") / F.coalesce("copies", F.lit(1))).cast("long").alias("removed_words"), "removed_lines")
-
-
-def with_boilerplate(rows: DataFrame, found: DataFrame) -> DataFrame:
-    found = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed_words", "removed_lines")
-    joined = rows.join(found, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["text_hash"] == F.col("_hash")), "left").drop("_id", "_hash")
-    return joined.withColumn("removed_words", F.coalesce("removed_words", F.lit(0).cast("long")))
+    # a set of lines, so repeated rows and repeated lines don't matter; a line's form says its words but for white space
+    per = hit.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("removed_lines")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed_lines")
+    joined = rows.join(per, rows["doc_id"].eqNullSafe(F.col("_id")) & (rows["text_hash"] == F.col("_hash")), "left")
+    lost = F.aggregate(F.filter("lines", lambda x: F.array_contains(F.col("removed_lines"), x["line"])), F.lit(0).cast("long"), lambda a, x: a + x["n"])
+    joined = joined.withColumn("removed_words", F.when(F.col("removed_lines").isNull(), F.lit(0).cast("long")).otherwise(lost))
+    return joined.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("removed_words") >= least_kept * F.col("n_words")))
 
 
 def judge(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
     """Counts and verdict of each document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words."""
-    rows = keyed(docs)
-    judged = with_boilerplate(base_columns(rows), boilerplate_of(rows, min_texts, share))
-    kept = ~F.col("base_failed") & (F.col("n_words") - F.col("removed_words") >= least_kept * F.col("n_words"))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "removed_words")
+    out = verdicts(scanned(docs), min_texts, share, least_kept)
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
 def apply_rules(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
     """The documents that stay, with their boilerplate lines removed; all columns of docs, text rewritten (never null)."""
-    rows = keyed(docs)
-    found = boilerplate_of(rows, min_texts, share)
-    tokens = let(words(F.col("text")), lambda w: F.struct(F.size(w).cast("long").alias("n_words"), n_repeat_words(w).alias("n_repeat_words")))
-    whole = docs.withColumn("text", F.coalesce("text", F.lit("")))
-    # the base rules come before the join, so that what they reject is not shuffled
-    whole = whole.withColumn("text_hash", F.xxhash64("text")).withColumn("_t", tokens)
-    whole = whole.where(~((F.col("_t.n_words") < MIN_WORDS) | (100 * F.col("_t.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_t.n_words"))))
-    joined = with_boilerplate(whole, found).where(F.col("_t.n_words") - F.col("removed_words") >= least_kept * F.col("_t.n_words"))
-    rest = F.filter(F.split("text", "\n", -1), lambda x: ~F.array_contains(F.col("removed_lines"), F.xxhash64(normalised(x))) | (F.length(F.translate(x, WHITE, "")) == 0))
-    text = F.when(F.col("removed_lines").isNull(), F.col("text")).otherwise(F.array_join(rest, "\n"))
-    return joined.withColumn("text", text).select(*[F.col(f"`{c}`") for c in docs.columns])
+    stay = verdicts(scanned(docs), min_texts, share, least_kept).where("kept").dropDuplicates(["doc_id", "text_hash"])
+    stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed_lines").alias("_gone"))
+    text = F.coalesce(docs["text"], F.lit(""))
+    joined = docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")))
+    rest = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(F.col("_gone"), F.xxhash64(normalised(x))))
+    return joined.withColumn("text", F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(rest, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])

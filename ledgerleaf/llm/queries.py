@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import line_rules
+from ledgerleaf.llm import line_rules, pii
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 
@@ -21,9 +21,19 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"))
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *[count(k) for k in pii.PATTERNS], F.sha2(F.encode(pii.as_text(F.col("spans")), "utf-8"), 256).alias("base_sha256"), pii.as_text(F.col("all_spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_rules": op2_line_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op7_pii": op7_pii,
 }
 
 #: Word positions restart in each document; lists are 1-based.
@@ -32,7 +42,7 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text, coalesce('s' || source, 'n
                   string_split(coalesce(text, ''), chr(10)) AS lines,
                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
 l0 AS (SELECT doc_id, host, text, unnest(lines) AS line FROM d),
-l1 AS (SELECT doc_id, host, text, line, trim(regexp_replace(translate(lower(line), '123456789', '000000000'), '[\\x20\\x09-\\x0D]+', ' ', 'g')) AS norm,
+l1 AS (SELECT doc_id, host, text, line, regexp_replace(translate(lower(line), '123456789', '000000000'), '[\\x20\\x09-\\x0D]', '', 'g') AS norm,
               len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS n FROM l0 WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
 lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l1 GROUP BY doc_id),
 hosts AS (SELECT host, count(DISTINCT text) AS host_texts FROM d GROUP BY host),
