@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import line_rules, pii
+from ledgerleaf.llm import line_rules, pii, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 
@@ -30,10 +31,17 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.PATTERNS], F.sha2(F.encode(pii.as_text(F.col("spans")), "utf-8"), 256).alias("base_sha256"), pii.as_text(F.col("all_spans")).alias("spans"))
 
 
+def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_files.new_path(spark, "token-files")
+    token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
+    return token_files.digests(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_rules": op2_line_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_pii": op7_pii,
+    "op9_token_files": op9_token_files,
 }
 
 #: Word positions restart in each document; lists are 1-based.
