@@ -8,11 +8,16 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import line_rules, pii, token_files
+from ledgerleaf.llm import line_rules, pii, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 
 
+def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return rule_ensemble.score(docs, rule_ensemble.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op2_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.judge(table(spark, sf_dir, "documents"))
 
@@ -38,6 +43,7 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_rule_ensemble": op1_rule_ensemble,
     "op2_line_rules": op2_line_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_pii": op7_pii,
