@@ -36,6 +36,14 @@ def written(df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that `written` made, once nothing will read it again."""
+    spark = df.sparkSession
+    for file in {x.rsplit("/", 1)[0] for x in df.inputFiles()}:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(file)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Ask the driver's JVM to collect garbage, so that shuffle files no plan refers to any more leave the disks."""
     spark.sparkContext._jvm.System.gc()

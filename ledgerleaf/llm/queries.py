@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import line_rules, pii, rule_ensemble, token_files
+from ledgerleaf.llm import line_rules, ngram_join, pii, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 
@@ -42,12 +42,17 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.digests(spark, path)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rule_ensemble": op1_rule_ensemble,
     "op2_line_rules": op2_line_rules,
     "op3_substring_dedup": op3_substring_dedup,
     "op7_pii": op7_pii,
     "op9_token_files": op9_token_files,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 #: Word positions restart in each document; lists are 1-based.
