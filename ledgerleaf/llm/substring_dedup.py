@@ -30,12 +30,12 @@ _SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
 _BYTES, _WORDS = Powers(0x9E3779B97F4A7C15 | 1), Powers(0xD1342543DE82EF95)
 
 
-def words_of(data: bytes, sizes: list[int]) -> tuple[np.ndarray, np.ndarray]:
+def words_of(data: bytes, sizes: list[int], separator: np.ndarray = _SEPARATOR) -> tuple[np.ndarray, np.ndarray]:
     """Of every word in a block's texts: a 64-bit hash and the document's number in the block."""
     if not data:
         return np.zeros(0, U64), np.zeros(0, np.int64)
     buf = np.frombuffer(data, np.uint8)
-    inside = ~_SEPARATOR[buf]
+    inside = ~separator[buf]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     bounds = np.cumsum([0, *sizes])
