@@ -13,11 +13,11 @@ shares only empty parts with it has as many of them and gives them as well, so n
 Finding shared ones. Signatures travel as packed sorted hashes (see blocks); only those that two sets share come back,
 and only they are spelled out.
 
-Linking without pairs of groups. First each set is compared with the least set that holds one of its few smallest
-shared signatures, which unites most copies. Then every signature whose sets are still in different components is
-opened: sets of different components are compared in tiles by parity sketches, which can't reject a link (two sketches
-differ in no more bits than the sets in elements), and what is left is verified on the whole sets. Sets that are
-already in one component are not compared again.
+Linking without pairs of groups. First each set is compared with the least set that shares a signature with it, which
+unites most copies. Then every signature whose sets are still in different components is opened: sets of different
+components are compared in tiles. Sets that are already in one component are not compared again. A comparison is first
+one of parity sketches, which can't reject a link (two sketches differ in no more bits than the sets in elements); what
+is left is verified on the whole sets, which only then are read from the blocks.
 
 Equal sets are one class from the start; the class is a 64-bit hash of the set.
 
@@ -44,9 +44,8 @@ SHINGLE = 5
 PERCENT = 80
 #: Parts of the domain for each element of the largest set of a tag; more than 2 * (1 - t) / (1 + t).
 PARTS = 0.28
-SMALLEST = 4
 TILE = 1024
-MEMBERS = "doc_id long, n long, class long, sigs array<bigint>, sketch binary, shingles binary"
+MEMBERS = "doc_id long, n long, class long, block long, slot int, sigs array<bigint>, sketch binary"
 _SEQUENCE = Powers(0xBF58476D1CE4E5B9)
 
 
@@ -157,11 +156,47 @@ def members(batches: Iterator[pa.RecordBatch], width: int, percent: int, buckets
         some = np.zeros(len(counts), bool)
         some[of_sorted] = True
         sets = [grams[ends[i] - own[i] : ends[i]] if some[i] else None for i in range(len(counts))]
-        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["ids"], pa.int64()), "n": pa.array(counts, pa.int64()), "class": pa.array(kinds.view(np.int64), pa.int64()), "sigs": pa.array([np.unique(sigs[cuts[i] : cuts[i + 1]]) if some[i] else None for i in range(len(counts))], pa.list_(pa.int64())), "sketch": pa.array([None if s is None else sketch(s) for s in sets], pa.binary()), "shingles": pa.array([None if s is None else encode_keys(s) for s in sets], pa.binary())})
+        size = len(counts)
+        yield pa.RecordBatch.from_pydict({"doc_id": pa.array(row["ids"], pa.int64()), "n": pa.array(counts, pa.int64()), "class": pa.array(kinds.view(np.int64), pa.int64()), "block": pa.array([row["block"]] * size, pa.int64()), "slot": pa.array(range(size), pa.int32()), "sigs": pa.array([np.unique(sigs[cuts[i] : cuts[i + 1]]) if some[i] else None for i in range(size)], pa.list_(pa.int64())), "sketch": pa.array([None if s is None else sketch(s) for s in sets], pa.binary())})
+
+
+def sets_needed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
+    for row in rows_of(batches):
+        grams, counts = sets_of(block_bytes_of(row["data"]), row["sizes"], width)
+        ends = np.cumsum(counts)
+        kinds = classes_of(grams, counts).view(np.int64)
+        slots = sorted(set(row["slots"]))
+        yield pa.RecordBatch.from_pydict({"class": pa.array(kinds[slots], pa.int64()), "n": pa.array(counts[slots], pa.int64()), "shingles": pa.array([encode_keys(grams[ends[i] - counts[i] : ends[i]]) for i in slots], pa.binary())})
+
+
+def read_sets(pairs: DataFrame, light: DataFrame, blocks: DataFrame, width: int) -> DataFrame:
+    """(class, n, shingles) of the sets in pairs (a, b): the blocks that hold them are read once more."""
+    needed = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    at = light.join(needed, "class", "left_semi").groupBy("class").agg(F.min(F.struct("block", "slot")).alias("at"))
+    slots = at.groupBy("at.block").agg(F.collect_list("at.slot").alias("slots"))
+    return written(blocks.join(slots, "block").mapInArrow(lambda it: sets_needed(it, width), "class long, n long, shingles binary"), "sets")
+
+
+def sketched(pairs: DataFrame, light: DataFrame, percent: int) -> DataFrame:
+    """Those of pairs (a, b) that sizes and sketches allow to link."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4).to_pylist(), strict=True):
+                width = 8 * min(len(x), len(y))
+                apart = int(_ONES[folded(x, width) ^ folded(y, width)].sum())
+                keep.append(apart * (100 + percent) <= n * (100 - percent))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    one = light.select("class", "n", "sketch").dropDuplicates(["class"])
+    both = pairs.join(one.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("sa")), "a").join(one.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("sketch").alias("sb")), "b")
+    near = both.where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent))
+    return near.select("a", "b", "sa", "sb", (F.col("na") + F.col("nb")).alias("n")).mapInArrow(check, "a long, b long")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Those of pairs (a, b) whose sets link; sets: (class, n, shingles)."""
+    """Those of pairs (a, b) whose sets link; sets: (class, shingles)."""
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -174,10 +209,9 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                     b.append(batch.column(1)[i].as_py())
             yield pa.RecordBatch.from_pydict({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
-    left = sets.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("class").alias("b"), F.col("n").alias("nb"), F.col("shingles").alias("sb"))
-    near = pairs.join(left, "a").join(right, "b").where((F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent))
-    return near.select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
+    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"))
+    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long")
 
 
 def folded(raw: bytes, width: int) -> np.ndarray:
@@ -223,33 +257,37 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     masks = seen_in_earlier_block(blocks, lambda row: keys_of(row, width, percent), "signatures", earlier_only=False)
     free_shuffles(spark)
     found = written(blocks.join(masks, "block", "left").mapInArrow(lambda it: members(it, width, percent, buckets), MEMBERS), "members")
-    discard(blocks)
     discard(masks)
     free_shuffles(spark)
-    # a class may have a first document in many blocks
-    sharing = found.where("sigs IS NOT NULL")
-    sets = sharing.select("class", "n", "shingles").dropDuplicates(["class"])
-
-    few = sharing.select("class", F.explode(F.slice("sigs", 1, SMALLEST)).alias("sig")).distinct()
-    centres = few.groupBy("sig").agg(F.min("class").alias("centre"), F.max("class").alias("other")).where("centre < other")
-    stars = few.join(centres, "sig").where("class != centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
-    edges = written(verified(stars, sets, percent), "edges")
+    # a class may have a first document in many blocks; only signatures of different classes matter
+    light = found.where("sigs IS NOT NULL")
+    spelled = light.select("class", F.explode("sigs").alias("sig"))
+    centres = spelled.groupBy("sig").agg(F.min("class").alias("centre"), F.max("class").alias("other")).where("centre < other")
+    posted = written(spelled.join(centres.select("sig", "centre"), "sig").distinct(), "postings")
+    free_shuffles(spark)
+
+    stars = posted.where("class != centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
+    near = written(sketched(stars, light, percent), "pairs")
+    edges = written(verified(near, read_sets(near, light, blocks, width), percent), "edges")
     united = components(edges)
+    free_shuffles(spark)
 
-    light = sharing.select("class", "n", "sketch", "sigs").join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    light = written(light, "light")
-    opened = light.select("component", F.explode("sigs").alias("sig")).groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
-    rows = light.select("class", "n", "sketch", "component", F.explode("sigs").alias("sig")).join(opened, "sig", "left_semi").dropDuplicates(["sig", "class"])
-    # many signatures open for the same sets: only one of those with the same members needs to be compared
+    named = posted.select("sig", "class").join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    opened = named.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
+    rows = named.join(opened, "sig", "left_semi")
+    # many signatures are open for the same sets; one of those with the same members is enough
     same = rows.groupBy("sig").agg(F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"), F.count(F.lit(1)).alias("size"))
     same = same.groupBy("who", "size").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
-    rows = rows.join(same, "sig").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
+    rows = rows.join(same, "sig").join(light.select("class", "n", "sketch").dropDuplicates(["class"]), "class").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
     # tile i meets every tile: each row goes to the pairs of tiles that hold its own
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "tile").alias("p"), F.greatest(t, "tile").alias("q"))))
     tiled = rows.withColumn("pair", pair).withColumn("side", F.when((F.col("pair.p") != F.col("pair.q")) & (F.col("tile") == F.col("pair.q")), 1).otherwise(0)).select("sig", "pair.p", "pair.q", "side", "class", "n", "component", "sketch")
-    pairs = tiled.groupBy("sig", "p", "q").applyInArrow(lambda t: across(t, percent), "a long, b long").distinct()
-    more = written(verified(pairs, sets, percent), "edges")
-    final = components(edges.unionByName(more)) if not more.isEmpty() else united
+    crossing = tiled.groupBy("sig", "p", "q").applyInArrow(lambda t: across(t, percent), "a long, b long").distinct()
+    # pairs of the first round are settled
+    crossing = written(crossing.join(near, ["a", "b"], "left_anti"), "pairs")
+    final = united
+    if not crossing.isEmpty():
+        final = components(edges.unionByName(written(verified(crossing, read_sets(crossing, light, blocks, width), percent), "edges")))
 
     named = found.select("doc_id", "n", "class").join(final.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
