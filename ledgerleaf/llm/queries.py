@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.llm import decontamination, line_rules, ngram_join, piece_transducer, pii, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
+from ledgerleaf.llm.suffix_dedup import dedup_bytes
 
 
 def op1_rule_ensemble(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +28,10 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "utf-8"), 256).alias("kept_sha256"))
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_bytes(table(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op5_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piece_transducer.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rule_ensemble": op1_rule_ensemble,
     "op2_line_rules": op2_line_rules,
     "op3_substring_dedup": op3_substring_dedup,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op5_piece_transducer": op5_piece_transducer,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
