@@ -19,10 +19,13 @@ are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,24 +39,43 @@ from ledgerleaf.llm.common import free_shuffles, shared_folder, shuffle_partitio
 SCALE = 20
 LANES = 1024
 CHECKPOINT = 512
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 4 << 20
 #: Words that a worker remembers; beyond it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
 
-TOKENS = "block long, ids array<bigint>, sizes array<bigint>, tokens binary"
+TOKENS = "block long, ids array<bigint>, sizes array<bigint>, tokens binary, counts array<struct<token:bigint,n:bigint>>"
 BLOCKS = "block long, ids array<bigint>, sizes array<bigint>, n_tokens long, words binary, states binary, checkpoints array<struct<step:bigint,at:bigint,states:binary>>, crc32 long"
 
 
+#: What is known to split a word into a run of letters and a run of signs: how the text is normalised before, and the pre-tokeniser's pattern.
+_SIMPLE = {"NFC", "Replace", "Lowercase"}
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_LETTERS_SIGNS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+
+
 class WordEncoder:
-    """Token ids of many texts, each word encoded once for as long as it is remembered."""
+    """Token ids of many texts, each word encoded once for as long as it is remembered.
+
+    Where the tokenizer is known to encode letters and the signs after them apart, words are put together from those.
+    Words to be encoded are joined by a special token, whose id then cuts the ids: one call of the library for many.
+    """
 
     def __init__(self, path: str, end_id: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark has given the task its core
         from tokenizers import Tokenizer
 
         self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        form = json.loads(self.tokenizer.to_str())
+        steps = (form["normalizer"] or {}).get("normalizers", [])
+        splits = (form["pre_tokenizer"] or {}).get("pretokenizers", [{}])
+        self.lower = bool(steps) and {x["type"] for x in steps} <= _SIMPLE and steps[-1]["type"] == "Lowercase"
+        self.apart = self.lower and splits[0].get("pattern") == {"Regex": _PATTERN}
+        plain = [x for x in form["added_tokens"] if x["special"] and not (x["lstrip"] or x["rstrip"] or x["normalized"] or x["single_word"])]
+        self.cut = plain[0] if plain else None
+        self.added = [x["content"] for x in form["added_tokens"]]
+        self.parts: dict[str, list[int]] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -63,22 +85,57 @@ class WordEncoder:
         self.begin, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
         self.length[0] = 1  # number 0 is the end of a document
 
+    def encoded(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word, from the library."""
+        if not self.cut:
+            return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        text, token = self.cut["content"], self.cut["id"]
+        out: list[list[int]] = []
+        for k in range(0, len(words), 20_000):
+            part = words[k : k + 20_000]
+            if any(text in w for w in part):
+                out += [e.ids for e in self.tokenizer.encode_batch_fast(part, add_special_tokens=False)]
+                continue
+            for e in self.tokenizer.encode_batch_fast([text.join(part[i : i + 200]) for i in range(0, len(part), 200)], add_special_tokens=False):
+                ids = e.ids
+                at = 0
+                while True:
+                    try:
+                        end = ids.index(token, at)
+                    except ValueError:
+                        out.append(ids[at:])
+                        break
+                    out.append(ids[at:end])
+                    at = end + 1
+        return out
+
     def learn(self, new: list[str]) -> None:
-        for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False):
-            got = e.ids
-            n = len(self.number) + 1
-            if n >= len(self.begin):
-                self.begin, self.length = np.resize(self.begin, 2 * n), np.resize(self.length, 2 * n)
-            while self.used + len(got) > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * len(self.flat))
-            self.flat[self.used : self.used + len(got)] = got
-            self.begin[n], self.length[n] = self.used, len(got)
-            self.used += len(got)
-            self.number[new[n - self._first]] = n
+        split = [_LETTERS_SIGNS.fullmatch(w) if self.apart else None for w in new]
+        parts = {x for m in split if m for x in m.groups()} | {w for w, m in zip(new, split, strict=True) if not m}
+        if len(self.parts) + len(parts) > REMEMBERED:
+            self.parts.clear()
+        known = self.parts
+        ask = [x for x in parts if x not in known]
+        known.update(zip(ask, self.encoded(ask), strict=True))
+        got = [known[m[1]] + known[m[2]] if m else known[w] for w, m in zip(new, split, strict=True)]
+        first, n = len(self.number) + 1, len(new)
+        self.number.update(zip(new, range(first, first + n), strict=True))
+        length = np.fromiter(map(len, got), np.int64, n)
+        total = int(length.sum())
+        while first + n > len(self.begin):
+            self.begin, self.length = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.length, 2 * len(self.length))
+        while self.used + total > len(self.flat):
+            self.flat = np.resize(self.flat, 2 * len(self.flat))
+        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(got), np.uint32, total)
+        self.begin[first : first + n] = self.used + np.cumsum(length) - length
+        self.length[first : first + n] = length
+        self.used += total
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts one after the other, and how many each has, the end id included."""
-        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        whole = pa.array(texts, pa.large_string())
+        # lower case for ASCII alone, which neither composition nor the tokenizer's own lower case can tell from the text
+        parts = pc.ascii_split_whitespace(pc.ascii_lower(whole) if self.lower and not self._special(texts) else whole)
         in_text = np.diff(parts.offsets.to_numpy())
         coded = parts.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
@@ -86,9 +143,8 @@ class WordEncoder:
             self.forget()
         new = [w for w in distinct if w not in self.number]
         if new:
-            self._first = len(self.number) + 1
             self.learn(new)
-        numbers = np.fromiter((self.number[w] for w in distinct), np.int64, len(distinct))
+        numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
         word = numbers[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
         ends = np.cumsum(in_text)
         word = np.insert(word, ends, 0)
@@ -98,6 +154,10 @@ class WordEncoder:
         last = after[ends + np.arange(len(texts))]
         return ids, np.diff(last, prepend=0)
 
+    def _special(self, texts: list[str]) -> bool:
+        """Whether a text could hold an added token, whose letters' case matters."""
+        return any(t[:2] in x and t.lower() in x.lower() for t in self.added for x in texts)
+
 
 _encoders: dict[tuple[str, int], WordEncoder] = {}
 
@@ -110,40 +170,36 @@ def encoder(path: str, end_id: int) -> WordEncoder:
 
 
 def tokenised(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_bytes: int) -> Iterator[pa.RecordBatch]:
+    """Blocks of token ids; the last of a partition carries the counts of all its tokens."""
     ids: list = []
     texts: list[str] = []
     held = number = part = 0
+    total = np.zeros(0, np.int64)
+    pair = pa.struct([("token", pa.int64()), ("n", pa.int64())])
 
-    def flush() -> pa.RecordBatch:
+    def flush(last: bool) -> pa.RecordBatch:
+        nonlocal total
         tokens, sizes = encoder(path, end_id).encode(texts)
-        return pa.RecordBatch.from_pydict({"block": pa.array([(part << 32) + number], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64())), "tokens": pa.array([tokens.astype("<u4").tobytes()], pa.binary())})
+        n = np.bincount(tokens, minlength=len(total))
+        n[: len(total)] += total
+        total = n
+        at = np.flatnonzero(total) if last else np.zeros(0, np.int64)
+        counts = pa.ListArray.from_arrays(pa.array([0, len(at)], pa.int32()), pa.StructArray.from_arrays([pa.array(at, pa.int64()), pa.array(total[at], pa.int64())], fields=list(pair)))
+        return pa.RecordBatch.from_pydict({"block": pa.array([(part << 32) + number], pa.int64()), "ids": pa.array([ids], pa.list_(pa.int64())), "sizes": pa.array([sizes], pa.list_(pa.int64())), "tokens": pa.array([tokens.astype("<u4").tobytes()], pa.binary()), "counts": counts})
 
     for batch in batches:
         for i in range(0, batch.num_rows, 256):
             for doc, text, p in zip(*(batch.column(c).slice(i, 256).to_pylist() for c in range(3)), strict=True):
                 text = text or ""
                 if texts and held + len(text) > block_bytes:
-                    yield flush()
+                    yield flush(False)
                     number, held, ids, texts = number + 1, 0, [], []
                 part = p
                 ids.append(doc)
                 texts.append(text)
                 held += len(text)
     if texts:
-        yield flush()
-
-
-def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(0, np.int64)
-    for row in rows_of(batches):
-        n = np.bincount(np.frombuffer(row["tokens"], "<u4"))
-        if len(n) > len(total):
-            n[: len(total)] += total
-            total = n
-        else:
-            total[: len(n)] += n
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_pydict({"token": pa.array(at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+        yield flush(True)
 
 
 def slots_of(counts: np.ndarray) -> np.ndarray:
@@ -243,7 +299,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     del ranged
     free_shuffles(spark)
     # at most one row for each entry of the vocabulary
-    counts = sorted((r["token"], r["n"]) for r in tokens.select("tokens").mapInArrow(counted, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).collect())
+    counts = sorted((r["token"], r["n"]) for r in tokens.select(F.explode("counts").alias("c")).groupBy("c.token").agg(F.sum("c.n").alias("n")).collect())
     names = np.array([x[0] for x in counts], np.int64)
     slots = slots_of(np.array([x[1] for x in counts], np.int64))
     tokens.mapInArrow(lambda it: encoded(it, names, slots), BLOCKS).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
