@@ -296,7 +296,12 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
 
 
 def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
-    """One document of each group stays, the one with the least doc_id (of repeated rows, one); all columns of docs."""
-    linked = link(docs, percent, width).where(F.col("component_id").eqNullSafe(F.col("doc_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    stay = docs.join(linked, docs["doc_id"].cast("long").eqNullSafe(F.col("_id"))).drop("_id")
-    return stay.withColumn("_n", F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("_n = 1").drop("_n").select(*[F.col(f"`{c}`") for c in docs.columns])
+    """One document of each group stays, the one with the least doc_id (of several rows with that id, one); all columns of docs.
+
+    Rows without a doc_id stay: nothing names the one to keep.
+    """
+    least = link(docs, percent, width).where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
+    stay = docs.join(least, docs["doc_id"] == F.col("_id")).withColumn("_n", one).where("_n = 1")
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    return stay.select(*names).unionByName(docs.where("doc_id IS NULL").select(*names))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import decontamination, line_rules, ngram_join, piece_transducer, pii, rule_ensemble, token_files
+from ledgerleaf.llm import decontamination, licenses, line_rules, ngram_join, piece_transducer, pii, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 from ledgerleaf.llm.suffix_dedup import dedup_bytes
@@ -49,6 +49,13 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[count(k) for k in pii.PATTERNS], F.sha2(F.encode(pii.as_text(F.col("spans")), "utf-8"), 256).alias("base_sha256"), pii.as_text(F.col("all_spans")).alias("spans"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # the documents have no paths of their own: a directory for each source and language
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), F.col("doc_id").cast("string"))
+    return licenses.scan(docs.select("doc_id", path.alias("path"), "text"))
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = token_files.new_path(spark, "token-files")
     token_files.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("word_bpe_49k.json"))
@@ -67,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_piece_transducer": op5_piece_transducer,
     "op6_decontamination": op6_decontamination,
     "op7_pii": op7_pii,
+    "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_ngram_join": op10_ngram_join,
 }
@@ -98,4 +106,32 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND n_words - removed_words >= {line_rules.LEAST_KEPT} * n_words AS kept, removed_words FROM f
 """
 
-ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL}
+#: Lines with a trigger, scored once each against the templates; a file is one whose terms mostly stand on such lines.
+OP8_SQL = f"""
+WITH tpl AS (SELECT * FROM (VALUES {", ".join(f"({k}, '{n}', '{t}')" for k, (n, t) in enumerate(licenses.TEMPLATES))}) AS v(template, license, phrase)),
+d AS (SELECT doc_id, concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), doc_id::VARCHAR) AS path, coalesce(text, '') AS text FROM documents),
+held AS (SELECT DISTINCT doc_id, path, line, len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS n_words
+         FROM (SELECT *, unnest(regexp_split_to_array(text, '\\r?\\n')) AS line FROM d) WHERE regexp_matches(lower(line), '{licenses.TRIGGERS}')),
+l AS (SELECT DISTINCT line FROM held),
+lt AS (SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+')) AS term FROM l) GROUP BY ALL),
+tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(phrase), '[\\p{{L}}\\p{{N}}]+')) AS term FROM tpl) GROUP BY ALL),
+idf AS (SELECT term, ln(((SELECT count(*) FROM l) + (SELECT count(*) FROM tpl) + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf
+        FROM (SELECT term FROM lt UNION ALL SELECT term FROM tt) GROUP BY term),
+lw AS (SELECT line, term, tf * idf AS w FROM lt JOIN idf USING (term)),
+tw AS (SELECT template, license, term, tf * idf AS v FROM tt JOIN idf USING (term)),
+ln_ AS (SELECT line, sqrt(sum(w * w)) AS ln FROM lw GROUP BY line),
+tn AS (SELECT template, sqrt(sum(v * v)) AS tn FROM tw GROUP BY template),
+c AS (SELECT line, license, round(dot / tn / ln, 6) AS score FROM (SELECT line, template, license, sum(w * v) AS dot FROM lw JOIN tw USING (term) GROUP BY ALL)
+      JOIN tn USING (template) JOIN ln_ USING (line)),
+s AS (SELECT line, license, score FROM c WHERE score >= {licenses.LEAST} QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, license) = 1),
+h AS (SELECT doc_id, path, license, score, n_words, sum(len(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+'))) OVER (PARTITION BY doc_id) AS words
+      FROM held JOIN s USING (line) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
+f AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, license, score FROM h WHERE words >= {licenses.MOSTLY} * n_words
+      QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY score DESC, path) = 1)
+SELECT d.doc_id, d.path, coalesce(h.license, f.license) AS license, coalesce(h.score, f.score) AS score,
+       CASE WHEN h.license IS NOT NULL AND h.words >= {licenses.MOSTLY} * h.n_words THEN 'file' WHEN h.license IS NOT NULL THEN 'header'
+            WHEN f.license IS NOT NULL THEN 'inherited' END AS origin
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN f ON h.license IS NULL AND f.dir = regexp_replace(d.path, '/[^/]*$', '')
+"""
+
+ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL, "op8_licenses": OP8_SQL}
