@@ -1,9 +1,67 @@
-"""The corpus pipeline."""
+"""A corpus pipeline of five stages over the documents table.
 
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written and read again as the next one's docs.
+All but the last return the columns of documents; where a text was changed, n_chars follows it.
+"""
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-STAGES: list = []
+from ledgerleaf.llm import decontamination, line_rules, ngram_join, piece_transducer, pii
+from ledgerleaf.llm.common import table, written
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Short, repetitive and depleted documents go; boilerplate lines are removed from the others."""
+    return _counted(line_rules.apply_rules(docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates stays."""
+    return ngram_join.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that give a benchmark item away go."""
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that disclose it are generalised."""
+    return _counted(pii.sanitise(docs))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every text as token ids, beside the text that they decode to."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    out = piece_transducer.decode(piece_transducer.encode(docs, path), path)
+    return out.select("doc_id", "lang", "source", F.size("input_ids").cast("long").alias("n_tokens"), "input_ids", F.col("decoded").alias("text"))
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontaminate),
+    ("PII", sanitise),
+    ("SentencePiece encoding and decoding", encode),
+]
+
+#: SQL has no transducers, sketches or singular vectors.
 ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of sf_dir."""
+    docs = table(spark, sf_dir, "documents")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs, f"stage-{k}")
+    return docs
