@@ -31,6 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Stretches and arcs that a worker remembers; beyond it starts anew.
@@ -196,7 +197,7 @@ def encode(docs: DataFrame, path: str, output: str = "input_ids") -> DataFrame:
     """docs with the ids of each text."""
     rest = docs.drop(output)
     at = rest.columns.index("text")
-    schema = rest.schema.add(output, "array<int>", False)
+    schema = T.StructType([*rest.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, at):
@@ -212,7 +213,7 @@ def decode(rows: DataFrame, path: str, column: str = "input_ids", output: str =
     """rows with the text of each array of ids."""
     rest = rows.drop(output)
     at = rest.columns.index(column)
-    schema = rest.schema.add(output, "string", False)
+    schema = T.StructType([*rest.schema.fields, T.StructField(output, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
