@@ -14,8 +14,9 @@ Finding shared ones. Signatures travel as packed sorted hashes (see blocks); onl
 and only they are spelled out.
 
 Linking without pairs of groups. First each set is compared with the least set that shares a signature with it, which
-unites most copies. Then every signature whose sets are still in different components is opened: sets of different
-components are compared in tiles. Sets that are already in one component are not compared again. A comparison is first
+unites most copies. Then every signature whose sets are still in different components is opened, in rounds: each set
+is compared with the one in another component that is nearest by sketch, which mostly unites the two; the last round
+compares what is left, all sets of different components, in tiles. Sets that are already in one component are not compared again. A comparison is first
 one of parity sketches, which can't reject a link (two sketches differ in no more bits than the sets in elements); what
 is left is verified on the whole sets, which only then are read from the blocks.
 
@@ -45,6 +46,8 @@ PERCENT = 80
 #: Parts of the domain for each element of the largest set of a tag; more than 2 * (1 - t) / (1 + t).
 PARTS = 0.28
 TILE = 1024
+#: Rounds in which each set is compared with its nearest in another component, before all that is left is compared.
+ROUNDS = 3
 MEMBERS = "doc_id long, n long, class long, block long, slot int, sigs array<bigint>, sketch binary"
 _SEQUENCE = Powers(0xBF58476D1CE4E5B9)
 
@@ -222,31 +225,85 @@ def folded(raw: bytes, width: int) -> np.ndarray:
 _ONES = np.array([bin(i).count("1") for i in range(256)], np.uint16)
 
 
-def across(table: pa.Table, percent: int) -> pa.Table:
-    """Of a tile's rows (side 0 against side 1, or a side with itself): pairs in different components that the sketches allow."""
-    n, kind, part, side = (np.array(table.column(c).to_pylist(), np.int64) for c in ("n", "class", "component", "side"))
+def across(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b), a < b, in different components that the sketches allow, of rows sorted by tile (sig, p, q).
+
+    In a tile, rows of side 0 meet those of side 1, or a side meets itself. nearest: only each row's nearest by sketch.
+    """
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
+        keys = np.stack([table.column(c).to_numpy() for c in ("sig", "p", "q")])
+        begin = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if table.num_rows else np.zeros(0, np.int64)
+        if len(begin) > 1:
+            yield _tiles(table.slice(0, int(begin[-1])), begin[:-1], percent, nearest)
+        rest = table.slice(int(begin[-1])) if len(begin) else table
+    if rest is not None and rest.num_rows:
+        yield _tiles(rest, np.zeros(1, np.int64), percent, nearest)
+
+
+def _tiles(table: pa.Table, begin: np.ndarray, percent: int, nearest: bool) -> pa.RecordBatch:
+    n, kind, part, side = (table.column(c).to_numpy() for c in ("n", "class", "component", "side"))
     raw = table.column("sketch").to_pylist()
-    order = np.argsort(n, kind="stable")
-    n, kind, part, side, raw = n[order], kind[order], part[order], side[order], [raw[i] for i in order]
-    alone = len(set(side.tolist())) == 1
-    a, b = [], []
-    cache: dict[int, np.ndarray] = {}
-    for i in range(len(n)):
-        # sizes ascend: only later rows up to the size that the threshold allows
+    pairs: set[tuple[int, int]] = set()
+    for x, y in zip(begin.tolist(), [*begin[1:].tolist(), table.num_rows], strict=True):
+        if y - x > 1 and (part[x:y] != part[x]).any():
+            order = x + np.argsort(n[x:y], kind="stable")
+            i, j = _tile(n[order], part[order], side[order], [raw[k] for k in order.tolist()], percent, nearest)
+            pairs.update(zip(np.minimum(kind[order[i]], kind[order[j]]).tolist(), np.maximum(kind[order[i]], kind[order[j]]).tolist(), strict=True))
+    return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+
+
+def _tile(n: np.ndarray, part: np.ndarray, side: np.ndarray, raw: list[bytes], percent: int, nearest: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs (i, j) of one tile, its rows ascending by size."""
+    alone = not side.any() or bool(side.all())
+    near, by = np.full(len(n), np.inf), np.full(len(n), -1)
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    width, bits = 0, np.zeros((0, 0), np.uint8)
+    for i in range(len(n) - 1):
+        # only later rows up to the size that the threshold allows
         j = np.arange(i + 1, np.searchsorted(n, n[i] * 100 // percent, side="right"))
         j = j[(part[j] != part[i]) & ((side[j] != side[i]) | alone)]
         if not len(j):
             continue
-        width = 8 * len(raw[i])
-        if width not in cache:
-            cache.clear()
-            cache[width] = np.stack([folded(x, width) if 8 * len(x) >= width else np.zeros(width // 8, np.uint8) for x in raw])
-        bits = cache[width]
-        apart = _ONES[bits[j] ^ bits[i]].sum(axis=1)
-        j = j[apart * (100 + percent) <= (n[i] + n[j]) * (100 - percent)]
-        a += [int(kind[i])] * len(j)
-        b += kind[j].tolist()
-    return pa.table({"a": pa.array([min(x) for x in zip(a, b, strict=True)], pa.int64()), "b": pa.array([max(x) for x in zip(a, b, strict=True)], pa.int64())})
+        if 8 * len(raw[i]) != width:
+            width = 8 * len(raw[i])
+            bits = np.stack([folded(x, width) if 8 * len(x) >= width else np.zeros(width // 8, np.uint8) for x in raw])
+        apart = _ONES[bits[j] ^ bits[i]].sum(axis=1, dtype=np.int64)
+        both = n[i] + n[j]
+        allowed = apart * (100 + percent) <= both * (100 - percent)
+        j, share = j[allowed], (apart / both)[allowed]
+        if not len(j):
+            continue
+        if not nearest:
+            out.append((np.full(len(j), i), j))
+            continue
+        k = int(share.argmin())
+        if share[k] < near[i]:
+            near[i], by[i] = share[k], j[k]
+        better = share < near[j]
+        near[j[better]], by[j[better]] = share[better], i
+    if nearest:
+        found = np.flatnonzero(by >= 0)
+        return found, by[found]
+    return (np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+
+def crossing(posted: DataFrame, united: DataFrame, light: DataFrame, percent: int, nearest: bool) -> tuple[DataFrame, DataFrame]:
+    """Pairs to be verified between components, and the postings of the signatures that are still open."""
+    named = posted.select("sig", "class").join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+    opened = named.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
+    rows = written(named.join(opened, "sig", "left_semi"), "open")
+    # many signatures are open for the same sets; one of those with the same members is enough
+    same = rows.groupBy("sig").agg(F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"), F.count(F.lit(1)).alias("size"))
+    same = same.groupBy("who", "size").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
+    one = light.select("class", "n", "sketch").dropDuplicates(["class"])
+    tiled = rows.join(same, "sig").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
+    # tile i meets every tile: each row goes to the pairs of tiles that hold its own
+    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "tile").alias("p"), F.greatest(t, "tile").alias("q"))))
+    tiled = tiled.join(one, "class").withColumn("pair", pair).withColumn("side", F.when((F.col("pair.p") != F.col("pair.q")) & (F.col("tile") == F.col("pair.q")), 1).otherwise(0)).select("sig", "pair.p", "pair.q", "side", "class", "n", "component", "sketch")
+    dealt = tiled.repartition("sig", "p", "q").sortWithinPartitions("sig", "p", "q")
+    return dealt.mapInArrow(lambda it: across(it, percent, nearest), "a long, b long").distinct(), rows.select("sig", "class")
 
 
 def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
@@ -267,27 +324,35 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     free_shuffles(spark)
 
     stars = posted.where("class != centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
-    near = written(sketched(stars, light, percent), "pairs")
-    edges = written(verified(near, read_sets(near, light, blocks, width), percent), "edges")
+    tested = written(sketched(stars, light, percent), "pairs")
+    sets = read_sets(tested, light, blocks, width)
+    edges = written(verified(tested, sets, percent), "edges")
     united = components(edges)
     free_shuffles(spark)
-
-    named = posted.select("sig", "class").join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    opened = named.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
-    rows = named.join(opened, "sig", "left_semi")
-    # many signatures are open for the same sets; one of those with the same members is enough
-    same = rows.groupBy("sig").agg(F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"), F.count(F.lit(1)).alias("size"))
-    same = same.groupBy("who", "size").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
-    rows = rows.join(same, "sig").join(light.select("class", "n", "sketch").dropDuplicates(["class"]), "class").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
-    # tile i meets every tile: each row goes to the pairs of tiles that hold its own
-    pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "tile").alias("p"), F.greatest(t, "tile").alias("q"))))
-    tiled = rows.withColumn("pair", pair).withColumn("side", F.when((F.col("pair.p") != F.col("pair.q")) & (F.col("tile") == F.col("pair.q")), 1).otherwise(0)).select("sig", "pair.p", "pair.q", "side", "class", "n", "component", "sketch")
-    crossing = tiled.groupBy("sig", "p", "q").applyInArrow(lambda t: across(t, percent), "a long, b long").distinct()
-    # pairs of the first round are settled
-    crossing = written(crossing.join(near, ["a", "b"], "left_anti"), "pairs")
+    nearest, first = True, True
+    for k in range(ROUNDS + 1):
+        # the last round compares all that is left, so the rounds before it only save comparisons
+        nearest = nearest and k < ROUNDS
+        pairs, posted = crossing(posted, united, light, percent, nearest)
+        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not pairs.isEmpty():
+            if first:
+                # a set that can link across components at all has a nearest here: no later round needs another
+                more = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(sets, "class", "left_anti")
+                sets = sets.unionByName(read_sets(more.select(F.col("class").alias("a"), F.col("class").alias("b")), light, blocks, width))
+                first = False
+            new = written(verified(pairs, sets, percent), "edges")
+            tested = tested.unionByName(pairs)
+            if not new.isEmpty():
+                edges = edges.unionByName(new)
+                united = components(edges)
+                free_shuffles(spark)
+                if nearest:
+                    continue
+        if not nearest:
+            break
+        nearest = False
     final = united
-    if not crossing.isEmpty():
-        final = components(edges.unionByName(written(verified(crossing, read_sets(crossing, light, blocks, width), percent), "edges")))
 
     named = found.select("doc_id", "n", "class").join(final.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     least = named.where("n > 0").groupBy("component").agg(F.min("doc_id").alias("least"))
