@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Operators over lines, blocks and holdings: DataFrame in, DataFrame out."""
