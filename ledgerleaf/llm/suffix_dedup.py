@@ -37,6 +37,9 @@ from ledgerleaf.llm.deep_shallow import deep_shallow
 
 WIDTH = 100
 GRAM = 32
+BLOCK_BYTES = 1 << 20
+#: Runs that are described at once.
+CHUNK = 4096
 _POWERS = Powers(0xE7037ED1A0B428DB)
 
 
@@ -121,11 +124,21 @@ def send(batches: Iterator[pa.RecordBatch], width: int, gram: int, buckets: int)
 
 
 def sent_runs(runs: Runs, masks: list[dict] | None, width: int, gram: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """The runs that a block sends (the first of each text) and their rows, all its repeated runs, and for those their place among the sent."""
+    """The runs that a block sends (the first of each text) and their rows, all its repeated runs, and for those their place among the sent.
+
+    Described a chunk at a time: a text that repeats itself has a run for every few bytes, but few different ones.
+    """
     repeated = runs.repeated(masks, buckets)
-    rows = runs.described(repeated, width, gram)
-    first, place = first_of_each(rows)
-    return repeated[first], rows[first], repeated, place
+    seen: dict[bytes, int] = {}
+    place = np.zeros(len(repeated), np.int64)
+    first: list[int] = []
+    for k in range(0, len(repeated), CHUNK):
+        for i, row in enumerate(runs.described(repeated[k : k + CHUNK], width, gram), k):
+            n = place[i] = seen.setdefault(row.tobytes(), len(seen))
+            if n == len(first):
+                first.append(i)
+    rows = np.frombuffer(b"".join(seen), np.uint8).reshape(-1, 4 + 2 * width - gram)
+    return repeated[first], rows, repeated, place
 
 
 def judged(rows: np.ndarray, width: int, gram: int) -> np.ndarray:
@@ -183,10 +196,12 @@ def cut(batches: Iterator[pa.RecordBatch], width: int, gram: int, buckets: int)
         later = np.ones(len(repeated), bool)
         later[np.unique(place, return_index=True)[1]] = False
         own[later] = True
-        start = runs.anchor[repeated][:, None] - np.arange(reach + 1)
-        inside = (start >= runs.first[repeated][:, None]) & (start <= runs.last[repeated][:, None])
         starts = np.zeros(len(data), bool)
-        starts[start[own & inside]] = True
+        for k in range(0, len(repeated), CHUNK):
+            part = repeated[k : k + CHUNK]
+            start = runs.anchor[part][:, None] - np.arange(reach + 1)
+            inside = (start >= runs.first[part][:, None]) & (start <= runs.last[part][:, None])
+            starts[start[own[k : k + CHUNK] & inside]] = True
         gone = covered(starts, len(data), width)
         out: dict[str, list] = {"n_removed": [], "n_spans": [], "kept": []}
         at = 0
@@ -207,7 +222,7 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFr
         raise ValueError("the gram must be from 1 to width bytes long")
     spark = docs.sparkSession
     buckets = shuffle_partitions(spark)
-    blocks = build_blocks(docs, name="bytes")
+    blocks = build_blocks(docs, BLOCK_BYTES, name="bytes")
     masks = seen_in_earlier_block(blocks, lambda row: Runs(block_bytes_of(row["data"]), row["sizes"], width, gram).distinct_hashes()[0], "anchors", earlier_only=False)
     free_shuffles(spark)
     sent = blocks.join(masks, "block", "left").mapInArrow(lambda it: send(it, width, gram, buckets), "bucket int, block long, runs binary")
