@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 SPACE = "▁"
 #: Stretches and arcs that a worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 LONGEST_REMEMBERED = 64
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 INFINITY = float("inf")
@@ -55,16 +55,17 @@ class PieceTransducer:
         self.unknown = model.unk_id()
         self.piece = {self.text[i]: i for i in range(n) if i not in silent}
         self.score = {s: model.get_score(i) for s, i in self.piece.items()}
-        self.longest = max(map(len, self.piece), default=1)
         if any(SPACE in s.lstrip(SPACE) for s in self.piece):
             raise ValueError("a piece has a space after another character; stretches between spaces would not be independent")
-        self.arcs: dict[tuple[int, int], float] = {}
-        self.whole: dict[int, bool] = {}
+        # every beginning of a piece, -1 for those that are no piece: where it ends, no longer piece begins
+        self.begun = {s[:k]: -1 for s in self.piece for k in range(1, len(s))} | self.piece
+        self.arcs: dict[int, float] = {}
+        self.sides: dict[int, tuple] = {}
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """What merging neighbours, best score first and leftmost of equals, makes of a short text."""
-        parts = list(text)
+    def merged(self, text: str) -> tuple[list[str], list[tuple[str, str]]]:
+        """What merging neighbours, best score first and leftmost of equals, makes of a short text, and the merges in order."""
+        parts, merges = list(text), []
         while True:
             best, at = -INFINITY, -1
             for k in range(len(parts) - 1):
@@ -72,47 +73,95 @@ class PieceTransducer:
                 if s is not None and s > best:
                     best, at = s, k
             if at < 0:
-                return parts
+                return parts, merges
+            merges.append((parts[at], parts[at + 1]))
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
+    def of_sides(self, piece: int) -> tuple:
+        """(whether merging makes this piece of its characters, whether scores fall from merge to merge, the symbols
+        that stand at its left end one after the other with the score of the merge that ends each, and at its right)."""
+        got = self.sides.get(piece)
+        if got is None:
+            text = self.text[piece]
+            parts, merges = self.merged(text)
+            made = {a + b: (a, b) for a, b in merges}
+            falling = all(self.score[a + b] < self.score.get(x, INFINITY) for a, b in merges for x in (a, b) if len(x) > 1)
+            ends = []
+            for side in (0, 1):
+                at, end = [(text, -INFINITY)], text
+                while end in made:
+                    at.append((made[end][side], self.score[end]))
+                    end = made[end][side]
+                ends.append(at[::-1])
+            got = self.sides[piece] = (len(parts) == 1, falling, *ends)
+        return got
+
+    def apart(self, last: int, piece: int) -> bool:
+        """Whether merging the two pieces' characters gives just these two.
+
+        Where scores fall from merge to merge, merges come in the order of their scores, and only those over the border
+        need to be looked at: at any time the symbols at the border are one of the left piece's right end and one of
+        the right piece's left end. Of equal scores the merge further left comes first.
+        """
+        _, falling_a, _, left = self.of_sides(last)
+        _, falling_b, right, _ = self.of_sides(piece)
+        if not (falling_a and falling_b):
+            return self.merged(self.text[last] + self.text[piece])[0] == [self.text[last], self.text[piece]]
+        score, i, j = self.score, 0, 0
+        while True:
+            (a, ends_a), (b, ends_b) = left[i], right[j]
+            over = score.get(a + b)
+            if over is not None and (over > ends_a and over >= ends_b):
+                return False
+            if ends_a == ends_b == -INFINITY:
+                return True
+            if ends_a >= ends_b:
+                i += 1
+            else:
+                j += 1
+
     def constraint(self, last: int, piece: int) -> float:
         """The weight of C's arc from one piece to the next; -1 stands for the start, and for bytes, which never merge."""
-        if last < 0:
-            if piece not in self.whole:
-                self.whole[piece] = len(self.merged(self.text[piece])) == 1
-            return 0.0 if self.whole[piece] else INFINITY
-        arc = self.arcs.get((last, piece))
+        arc = self.arcs.get(last << 32 | piece)
         if arc is None:
             if len(self.arcs) > REMEMBERED:
                 self.arcs.clear()
-            a, b = self.text[last], self.text[piece]
-            arc = self.arcs[last, piece] = 0.0 if self.merged(a + b) == [a, b] else INFINITY
+            fits = self.of_sides(piece)[0] if last < 0 else self.apart(last, piece)
+            arc = self.arcs[last << 32 | piece] = 0.0 if fits else INFINITY
         return arc
 
     def shortest_path(self, stretch: str) -> tuple[int, ...]:
         """The ids on the lightest path of the composition with a stretch of normalised text."""
         # states[i]: last piece -> (weight, position before, last piece before, ids of the arc)
-        states: list[dict[int, tuple]] = [{} for _ in range(len(stretch) + 1)]
+        size, begun, arcs = len(stretch), self.begun, self.arcs
+        states: list[dict[int, tuple]] = [{} for _ in range(size + 1)]
         states[0][-1] = (0.0, -1, -1, ())
-        for i in range(len(stretch)):
+        for i in range(size):
             here = states[i]
             if not here:
                 continue
-            for j in range(i + 1, min(len(stretch), i + self.longest) + 1):
-                piece = self.piece.get(stretch[i:j])
+            for j in range(i + 1, size + 1):
+                piece = begun.get(stretch[i:j])
                 if piece is None:
+                    break
+                if piece < 0:
                     continue
+                there = states[j]
                 for last, (weight, *_) in here.items():
-                    total = weight + 1 + self.constraint(last, piece)
-                    if total < states[j].get(piece, (INFINITY,))[0]:
-                        states[j][piece] = (total, i, last, (piece,))
-            if stretch[i] not in self.piece:
+                    arc = arcs.get(last << 32 | piece)
+                    if arc is None:
+                        arc = self.constraint(last, piece)
+                    total = weight + 1 + arc
+                    if total < INFINITY and (piece not in there or total < there[piece][0]):
+                        there[piece] = (total, i, last, (piece,))
+            if begun.get(stretch[i], -1) < 0:
                 ids = tuple(self.of_byte.get(b, self.unknown) for b in stretch[i].encode()) if self.of_byte else (self.unknown,)
+                there = states[i + 1]
                 for last, (weight, *_) in here.items():
-                    if weight + len(ids) < states[i + 1].get(-1, (INFINITY,))[0]:
-                        states[i + 1][-1] = (weight + len(ids), i, last, ids)
+                    if -1 not in there or weight + len(ids) < there[-1][0]:
+                        there[-1] = (weight + len(ids), i, last, ids)
         last = min(states[-1], key=lambda k: states[-1][k][0])
-        out, i = [], len(stretch)
+        out, i = [], size
         while i:
             _, before, last_before, ids = states[i][last]
             out.append(ids)
