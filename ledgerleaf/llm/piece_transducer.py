@@ -38,6 +38,7 @@ SPACE = "▁"
 REMEMBERED = 700_000
 LONGEST_REMEMBERED = 64
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+_AFTER_LETTERS = re.compile(r"(?<=[^\W\d_])(?=[\W\d_])")
 INFINITY = float("inf")
 
 
@@ -59,6 +60,7 @@ class PieceTransducer:
             raise ValueError("a piece has a space after another character; stretches between spaces would not be independent")
         # every beginning of a piece, -1 for those that are no piece: where it ends, no longer piece begins
         self.begun = {s[:k]: -1 for s in self.piece for k in range(1, len(s))} | self.piece
+        self.together = {s[k : k + 2] for s in self.piece for k in range(len(s) - 1)}
         self.arcs: dict[int, float] = {}
         self.sides: dict[int, tuple] = {}
         self.known: dict[str, tuple[int, ...]] = {}
@@ -168,13 +170,68 @@ class PieceTransducer:
             i, last = before, last_before
         return tuple(x for ids in reversed(out) for x in ids)
 
+    def only_path(self, stretch: str) -> tuple[int, ...] | None:
+        """As shortest_path where every place of the stretch is reached in one state at most, which merging implies; else None."""
+        size, begun, arcs = len(stretch), self.begun, self.arcs
+        last: list[int | None] = [None] * (size + 1)
+        before = [0] * (size + 1)
+        last[0] = -1
+        for i in range(size):
+            at = last[i]
+            if at is None:
+                continue
+            base = at << 32
+            for j in range(i + 1, size + 1):
+                piece = begun.get(stretch[i:j])
+                if piece is None:
+                    break
+                if piece < 0:
+                    continue
+                arc = arcs.get(base | piece)
+                if arc is None:
+                    arc = self.constraint(at, piece)
+                if not arc:
+                    if last[j] is not None:
+                        return None
+                    last[j], before[j] = piece, i
+            if begun.get(stretch[i], -1) < 0:
+                if last[i + 1] is not None:
+                    return None
+                last[i + 1], before[i + 1] = -1, i
+        out: list[int] = []
+        j = size
+        while j:
+            if last[j] is None:
+                return None
+            i = before[j]
+            out += [last[j]] if last[j] >= 0 else [self.of_byte.get(b, self.unknown) for b in reversed(stretch[i].encode())] if self.of_byte else [self.unknown]
+            j = i
+        return tuple(reversed(out))
+
+    def divided(self, stretch: str) -> list[str]:
+        """The stretch cut after letters where no piece has the two characters together: no arc, so no merge, goes over such a place."""
+        parts = _AFTER_LETTERS.split(stretch)
+        if len(parts) == 1:
+            return parts
+        out = parts[:1]
+        for x in parts[1:]:
+            if out[-1][-1:] + x[:1] in self.together:
+                out[-1] += x
+            else:
+                out.append(x)
+        return out
+
     def stretches(self, text: str) -> list[str]:
         return _STRETCH.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
     def of_stretch(self, stretch: str) -> tuple[int, ...]:
         ids = self.known.get(stretch)
         if ids is None:
-            ids = self.shortest_path(stretch)
+            parts = self.divided(stretch)
+            if len(parts) == 1:
+                ids = self.only_path(stretch) or self.shortest_path(stretch)
+            else:
+                ids = tuple(x for p in parts for x in self.of_stretch(p))
             if len(stretch) <= LONGEST_REMEMBERED:
                 if len(self.known) >= REMEMBERED:
                     self.known.clear()
