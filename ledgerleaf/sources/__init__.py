@@ -1 +1 @@
-"""Placeholder docstring."""
+"""Where pages, targets, formats, jobs and settings come from, and where tables go."""
