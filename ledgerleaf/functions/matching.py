@@ -8,6 +8,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from ledgerleaf.functions.scalars import normalize_string
 
@@ -38,7 +39,7 @@ def target_prefix_match(ratio: float) -> Match:
     return match
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff and Obershelp: twice the length of matching blocks over the total length. Not symmetric."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")

@@ -5,6 +5,8 @@ A cast that fails gives null. White space is Unicode's and the separators U+001C
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -33,35 +35,47 @@ def to_str(text: Column) -> Column:
     return normalize_string(text, lower=False)
 
 
+def bind(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body(value) with value computed once; written out at each use, nested readings would outgrow generated code."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _number(text: Column, grouped: str) -> Column:
     """Digits with a decimal point at most. grouped: what a number whose points all separate thousands looks like."""
-    word = normalize_word(text)
-    word = F.when(word.rlike(r"^\d+([.,]\d+)*$"), word).otherwise(F.regexp_replace(word, r"[^a-zA-Z.,0-9]+", ""))
-    dot, comma = F.instr(word, "."), F.instr(word, ",")
-    # of two kinds of separators the one that comes first separates thousands
-    word = F.when((dot > 0) & (comma > 0), F.when(dot < comma, F.replace(word, F.lit("."), F.lit(""))).otherwise(F.replace(word, F.lit(","), F.lit("")))).otherwise(word)
-    word = F.replace(word, F.lit(","), F.lit("."))
-    return F.when(word.rlike(grouped), F.replace(word, F.lit("."), F.lit(""))).otherwise(word)
+
+    def forced(word: Column) -> Column:
+        return F.when(word.rlike(r"^\d+([.,]\d+)*$"), word).otherwise(F.regexp_replace(word, r"[^a-zA-Z.,0-9]+", ""))
+
+    def pointed(word: Column) -> Column:
+        # of two kinds of separators the one that comes first separates thousands
+        dot, comma = F.instr(word, "."), F.instr(word, ",")
+        drop = F.when((dot > 0) & (comma > 0), F.when(dot < comma, F.lit(".")).otherwise(F.lit(",")))
+        return F.replace(F.when(drop.isNull(), word).otherwise(F.replace(word, F.coalesce(drop, F.lit(".")), F.lit(""))), F.lit(","), F.lit("."))
+
+    def whole(word: Column) -> Column:
+        return F.when(word.rlike(grouped), F.replace(word, F.lit("."), F.lit(""))).otherwise(word)
+
+    return bind(bind(bind(normalize_word(text), forced), pointed), whole)
 
 
 def to_float(text: Column) -> Column:
     """A lenient number: signs and brackets are dropped, one point is a decimal point, several separate thousands."""
-    return _number(text, r"^[1-9]\d{0,2}\.\d{3}(\.\d{3})+$").try_cast("double")
+    # a letter for the type after the digits is no number
+    return bind(_number(text, r"^[1-9]\d{0,2}\.\d{3}(\.\d{3})+$"), lambda word: F.when(~word.rlike(r"[\d.][dDfF]$"), word.try_cast("double")))
 
 
 def to_int(text: Column) -> Column:
     """A lenient whole number: one point before three digits separates thousands; a fraction other than 0 fails."""
-    word = _number(text, r"^[1-9]\d{0,2}(\.\d{3})+$")
-    whole, fraction = F.substring_index(word, ".", 1), F.when(F.instr(word, ".") > 0, F.expr("NULL").cast("string")).otherwise(F.lit("0"))
-    fraction = F.when(F.instr(word, ".") > 0, F.regexp_extract(word, r"^[^.]*\.(.*)$", 1)).otherwise(fraction)
-    return F.when(whole.rlike(r"^\d+$") & fraction.rlike(r"^0+$"), whole.try_cast("bigint"))
+    return bind(_number(text, r"^[1-9]\d{0,2}(\.\d{3})+$"), lambda word: F.when(word.rlike(r"^\d+(\.0+)?$"), F.substring_index(word, ".", 1).try_cast("bigint")))
 
 
 def perc_to_float(text: Column, norm: bool = True) -> Column:
     """A share; a percent sign, or norm, divides by 100."""
-    word = normalize_word(text)
-    number = to_float(F.replace(word, F.lit("%"), F.lit("")))
-    return F.when(word.contains("%") | F.lit(norm), number / 100.0).otherwise(number)
+
+    def of(word: Column) -> Column:
+        return bind(to_float(F.replace(word, F.lit("%"), F.lit(""))), lambda number: F.when(word.contains("%") | F.lit(norm), number / 100.0).otherwise(number))
+
+    return bind(normalize_word(text), of)
 
 
 def to_currency(text: Column, canonical: bool = True) -> Column:
@@ -72,9 +86,8 @@ def to_currency(text: Column, canonical: bool = True) -> Column:
 
 def to_date(text: Column) -> Column:
     """y-m-d, d/m/y, d/m/yy, m-d-y or d-m-yy, the first that fits; two-digit years from 69 on are of the last century."""
-    word = normalize_word(text)
 
-    def of(pattern: str, order: str) -> Column:
+    def of(word: Column, pattern: str, order: str) -> Column:
         part = {k: F.regexp_extract(word, pattern, i + 1) for i, k in enumerate(order.lower())}
         year = part["y"].try_cast("int")
         if "Y" not in order:
@@ -82,7 +95,8 @@ def to_date(text: Column) -> Column:
         # a month or a day that doesn't exist, 0 included, gives null
         return F.when(word.rlike(pattern), F.concat_ws("-", F.lpad(year.cast("string"), 4, "0"), F.lpad(part["m"], 2, "0"), F.lpad(part["d"], 2, "0")).try_cast("date"))
 
-    return F.coalesce(of(r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "Ymd"), of(r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "dmY"), of(r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "dmy"), of(r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "mdY"), of(r"^(\d{1,2})-(\d{1,2})-(\d{2})$", "dmy"))
+    layouts = [(r"^(\d{4})-(\d{1,2})-(\d{1,2})$", "Ymd"), (r"^(\d{1,2})/(\d{1,2})/(\d{4})$", "dmY"), (r"^(\d{1,2})/(\d{1,2})/(\d{2})$", "dmy"), (r"^(\d{1,2})-(\d{1,2})-(\d{4})$", "mdY"), (r"^(\d{1,2})-(\d{1,2})-(\d{2})$", "dmy")]
+    return bind(normalize_word(text), lambda word: F.coalesce(*[of(word, p, o) for p, o in layouts]))
 
 
 def interest_rate(text: Column) -> Column:

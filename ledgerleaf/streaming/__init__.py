@@ -1 +1,30 @@
-"""Placeholder docstring."""
+"""Streams of pages.
+
+The operators that work on single pages (decoding into lines, gates, columns of tables) hold no state over pages and
+run on streams as they are; holdings need a whole document, so a stream is turned into them a micro-batch at a time,
+each file of pages holding whole documents.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
+
+from ledgerleaf.plans.documents import holdings_of
+
+PAGES = "doc_id string, page_idx int, xml string"
+
+
+def pages_stream(spark: SparkSession, path: str) -> DataFrame:
+    return spark.readStream.schema(PAGES).parquet(path)
+
+
+def holdings_stream(pages: DataFrame, format_name: str, targets: list[str], out: str, checkpoint: str, **options) -> StreamingQuery:
+    """Append the holdings of each micro-batch of pages to the table at out."""
+
+    def write(batch: DataFrame, number: int) -> None:
+        # a batch that runs again replaces its own folder, so none is counted twice
+        table = holdings_of(batch, format_name, targets, **options)
+        table.toDF(*[c.replace(" ", "_").replace("/", "_").replace("%", "share") for c in table.columns]).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    return pages.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
