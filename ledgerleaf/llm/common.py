@@ -73,3 +73,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def select_required(df: DataFrame, names: Sequence[str]) -> DataFrame:
     """Only the named columns, so that extra columns can't clash with an operator's own."""
     return df.select(*[F.col(f"`{x}`") for x in names])
+
+
+def fresh(df: DataFrame, *stems: str) -> list[str]:
+    """Names that no column of df has, whatever the case of its letters."""
+    taken = {c.lower() for c in df.columns}
+    return [next(name for k in range(len(taken) + 1) if (name := f"{s}_{k}").lower() not in taken) for s in stems]

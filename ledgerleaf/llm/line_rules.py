@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import let, select_required, words, written
+from ledgerleaf.llm.common import fresh, let, select_required, words, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -125,8 +125,9 @@ def judge(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, lea
 def apply_rules(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
     """The documents that stay, with their boilerplate lines removed; all columns of docs, text rewritten (never null)."""
     stay = verdicts(scanned(docs), min_texts, share, least_kept).where("kept").dropDuplicates(["doc_id", "text_hash"])
-    stay = stay.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("removed_lines").alias("_gone"))
+    doc, key, gone = fresh(docs, "doc", "key", "gone")
+    stay = stay.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(key), F.col("removed_lines").alias(gone))
     text = F.coalesce(docs["text"], F.lit(""))
-    joined = docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash")))
-    rest = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(F.col("_gone"), F.xxhash64(normalised(x))))
-    return joined.withColumn("text", F.when(F.col("_gone").isNull(), text).otherwise(F.array_join(rest, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    joined = docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(text) == F.col(key)))
+    rest = F.filter(F.split(text, "\n", -1), lambda x: ~F.array_contains(F.col(gone), F.xxhash64(normalised(x))))
+    return joined.withColumn("text", F.when(F.col(gone).isNull(), text).otherwise(F.array_join(rest, "\n"))).select(*[F.col(f"`{c}`") for c in docs.columns])

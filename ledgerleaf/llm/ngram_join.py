@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import U64, Powers, block_bytes_of, decode_keys, encode_keys, mix, pack_unordered, prefix_sums, read_masks, rows_of, seen_in_earlier_block
-from ledgerleaf.llm.common import discard, free_shuffles, shuffle_partitions, written
+from ledgerleaf.llm.common import discard, free_shuffles, fresh, shuffle_partitions, written
 from ledgerleaf.llm.components import components
 from ledgerleaf.llm.substring_dedup import windows_of, words_of
 
@@ -365,8 +365,9 @@ def keep_one(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> D
 
     Rows without a doc_id stay: nothing names the one to keep.
     """
-    least = link(docs, percent, width).where("component_id = doc_id").select(F.col("doc_id").alias("_id")).distinct()
+    doc, n = fresh(docs, "doc", "n")
+    least = link(docs, percent, width).where("component_id = doc_id").select(F.col("doc_id").alias(doc)).distinct()
     one = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-    stay = docs.join(least, docs["doc_id"] == F.col("_id")).withColumn("_n", one).where("_n = 1")
+    stay = docs.join(least, docs["doc_id"] == F.col(doc)).withColumn(n, one).where(F.col(n) == 1)
     names = [F.col(f"`{c}`") for c in docs.columns]
     return stay.select(*names).unionByName(docs.where("doc_id IS NULL").select(*names))
