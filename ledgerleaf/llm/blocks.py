@@ -16,7 +16,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm.common import free_shuffles, shuffle_partitions, written
+from ledgerleaf.llm.common import free_shuffles, shuffle_partitions, tidy, written
 
 BLOCK_SCHEMA = "block long, ids array<bigint>, sizes array<bigint>, data binary"
 BLOCK_BYTES = 3 << 19
@@ -98,6 +98,7 @@ def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+    tidy()
 
 
 def pack_unordered(docs: DataFrame, block_bytes: int = BLOCK_BYTES, name: str = "blocks") -> DataFrame:

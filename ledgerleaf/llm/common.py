@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -49,6 +50,19 @@ def free_shuffles(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def tidy() -> None:
+    """In a Python worker, at a partition's end: give memory back that the worker would hold idle beside the JVM."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

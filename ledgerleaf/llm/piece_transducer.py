@@ -33,9 +33,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerleaf.llm.common import tidy
+
 SPACE = "▁"
 #: Stretches and arcs that a worker remembers; beyond it starts anew.
-REMEMBERED = 700_000
+REMEMBERED = 250_000
 LONGEST_REMEMBERED = 64
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _AFTER_LETTERS = re.compile(r"(?<=[^\W\d_])(?=[\W\d_])")
@@ -297,6 +299,7 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20)
                 a, held = i + 1, 0
         if a < batch.num_rows:
             yield batch.slice(a)
+    tidy()
 
 
 def encode(docs: DataFrame, path: str, output: str = "input_ids") -> DataFrame:

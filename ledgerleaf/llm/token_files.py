@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import rows_of
-from ledgerleaf.llm.common import free_shuffles, shared_folder, shuffle_partitions, written
+from ledgerleaf.llm.common import free_shuffles, shared_folder, shuffle_partitions, tidy, written
 
 SCALE = 20
 LANES = 1024
 CHECKPOINT = 512
 BLOCK_BYTES = 4 << 20
 #: Words that a worker remembers; beyond it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
 
@@ -200,6 +200,7 @@ def tokenised(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_b
                 held += len(text)
     if texts:
         yield flush(True)
+    tidy()
 
 
 def slots_of(counts: np.ndarray) -> np.ndarray:
