@@ -13,12 +13,13 @@ shares only empty parts with it has as many of them and gives them as well, so n
 Finding shared ones. Signatures travel as packed sorted hashes (see blocks); only those that two sets share come back,
 and only they are spelled out.
 
-Linking without pairs of groups. First each set is compared with the least set that shares a signature with it, which
-unites most copies. Then every signature whose sets are still in different components is opened, in rounds: each set
-is compared with the one in another component that is nearest by sketch, which mostly unites the two; the last round
-compares what is left, all sets of different components, in tiles. Sets that are already in one component are not compared again. A comparison is first
-one of parity sketches, which can't reject a link (two sketches differ in no more bits than the sets in elements); what
-is left is verified on the whole sets, which only then are read from the blocks.
+Linking without pairs of groups. First each set is compared with the least set that shares a signature with it, and
+with the one nearest by sketch among those that share one of its few smallest signatures; rounds of the second kind,
+between components, go on to unite what links. Only then every signature whose sets are still in different components
+is opened, and its sets of different components are compared in tiles. Sets that are already in one component are not
+compared again. A comparison is first one of parity sketches, which can't reject a link (two sketches differ in no
+more bits than the sets in elements); what is left is verified on the whole sets, which only then are read from the
+blocks.
 
 Equal sets are one class from the start; the class is a 64-bit hash of the set.
 
@@ -45,9 +46,10 @@ SHINGLE = 5
 PERCENT = 80
 #: Parts of the domain for each element of the largest set of a tag; more than 2 * (1 - t) / (1 + t).
 PARTS = 0.28
-TILE = 1024
+TILE = 4096
+SMALLEST = 6
 #: Rounds in which each set is compared with its nearest in another component, before all that is left is compared.
-ROUNDS = 3
+ROUNDS = 2
 MEMBERS = "doc_id long, n long, class long, block long, slot int, sigs array<bigint>, sketch binary"
 _SEQUENCE = Powers(0xBF58476D1CE4E5B9)
 
@@ -289,9 +291,11 @@ def _tile(n: np.ndarray, part: np.ndarray, side: np.ndarray, raw: list[bytes], p
     return (np.concatenate([x[0] for x in out]), np.concatenate([x[1] for x in out])) if out else (np.zeros(0, np.int64), np.zeros(0, np.int64))
 
 
-def crossing(posted: DataFrame, united: DataFrame, light: DataFrame, percent: int, nearest: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs to be verified between components, and the postings of the signatures that are still open."""
-    named = posted.select("sig", "class").join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
+def crossing(posted: DataFrame, united: DataFrame | None, light: DataFrame, percent: int, nearest: bool) -> DataFrame:
+    """Pairs of sets in different components (without united: of any) that share a signature and may link by size and sketch."""
+    named = posted.withColumn("component", F.col("class"))
+    if united is not None:
+        named = posted.join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
     opened = named.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
     rows = written(named.join(opened, "sig", "left_semi"), "open")
     # many signatures are open for the same sets; one of those with the same members is enough
@@ -303,7 +307,7 @@ def crossing(posted: DataFrame, united: DataFrame, light: DataFrame, percent: in
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "tile").alias("p"), F.greatest(t, "tile").alias("q"))))
     tiled = tiled.join(one, "class").withColumn("pair", pair).withColumn("side", F.when((F.col("pair.p") != F.col("pair.q")) & (F.col("tile") == F.col("pair.q")), 1).otherwise(0)).select("sig", "pair.p", "pair.q", "side", "class", "n", "component", "sketch")
     dealt = tiled.repartition("sig", "p", "q").sortWithinPartitions("sig", "p", "q")
-    return dealt.mapInArrow(lambda it: across(it, percent, nearest), "a long, b long").distinct(), rows.select("sig", "class")
+    return dealt.mapInArrow(lambda it: across(it, percent, nearest), "a long, b long").distinct()
 
 
 def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataFrame:
@@ -324,34 +328,28 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     free_shuffles(spark)
 
     stars = posted.where("class != centre").select(F.col("centre").alias("a"), F.col("class").alias("b")).distinct()
-    tested = written(sketched(stars, light, percent), "pairs")
+    posted = posted.select("sig", "class")
+    # the smallest of a set's signatures are mostly those of the sets like it; the rounds get by with them
+    few = written(posted.groupBy("class").agg(F.slice(F.sort_array(F.collect_list("sig")), 1, SMALLEST).alias("sigs")).select(F.explode("sigs").alias("sig"), "class"), "few")
+    near = sketched(stars, light, percent).unionByName(crossing(few, None, light, percent, nearest=True)).distinct()
+    tested = written(near, "pairs")
+    # a set that can link by its few signatures is in a pair now: no later round needs another, but the last
     sets = read_sets(tested, light, blocks, width)
     edges = written(verified(tested, sets, percent), "edges")
     united = components(edges)
     free_shuffles(spark)
-    nearest, first = True, True
     for k in range(ROUNDS + 1):
-        # the last round compares all that is left, so the rounds before it only save comparisons
-        nearest = nearest and k < ROUNDS
-        pairs, posted = crossing(posted, united, light, percent, nearest)
-        pairs = written(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
-        if not pairs.isEmpty():
-            if first:
-                # a set that can link across components at all has a nearest here: no later round needs another
-                more = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(sets, "class", "left_anti")
-                sets = sets.unionByName(read_sets(more.select(F.col("class").alias("a"), F.col("class").alias("b")), light, blocks, width))
-                first = False
-            new = written(verified(pairs, sets, percent), "edges")
-            tested = tested.unionByName(pairs)
-            if not new.isEmpty():
-                edges = edges.unionByName(new)
-                united = components(edges)
-                free_shuffles(spark)
-                if nearest:
-                    continue
-        if not nearest:
-            break
-        nearest = False
+        nearest = k < ROUNDS
+        pairs = written(crossing(few if nearest else posted, united, light, percent, nearest).join(tested, ["a", "b"], "left_anti"), "pairs")
+        if not nearest and not pairs.isEmpty():
+            more = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(sets, "class", "left_anti")
+            sets = sets.unionByName(read_sets(more.select(F.col("class").alias("a"), F.col("class").alias("b")), light, blocks, width))
+        new = written(verified(pairs, sets, percent), "edges")
+        tested = tested.unionByName(pairs)
+        if not new.isEmpty():
+            edges = edges.unionByName(new)
+            united = components(edges)
+        free_shuffles(spark)
     final = united
 
     named = found.select("doc_id", "n", "class").join(final.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
