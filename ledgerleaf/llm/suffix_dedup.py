@@ -23,7 +23,7 @@ UTF-8 and are returned as binary; an empty table gives an empty table; other col
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +32,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import U64, Powers, block_bytes_of, bucket_edges, build_blocks, covered, mix, prefix_sums, read_masks, rows_of, seen_in_earlier_block
-from ledgerleaf.llm.common import free_shuffles, shuffle_partitions, written
+from ledgerleaf.llm.common import free_shuffles, shuffle_partitions, tidy, written
 from ledgerleaf.llm.deep_shallow import deep_shallow
 
 WIDTH = 100
 GRAM = 32
 BLOCK_BYTES = 1 << 20
+#: Groups of runs for each shuffle partition; a group is sorted in one piece.
+BUCKETS = 3
 #: Runs that are described at once.
 CHUNK = 4096
 _POWERS = Powers(0xE7037ED1A0B428DB)
@@ -103,19 +105,10 @@ class Runs:
         return out
 
 
-def first_of_each(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of the first of equal rows, and for each row its place among those."""
-    seen: dict[bytes, int] = {}
-    place = np.fromiter((seen.setdefault(r.tobytes(), len(seen)) for r in rows), np.int64, len(rows))
-    first = np.full(len(seen), len(rows))
-    np.minimum.at(first, place, np.arange(len(rows)))
-    return first, place
-
-
-def send(batches: Iterator[pa.RecordBatch], width: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def send(batches: Iterator[pa.RecordBatch], width: int, gram: int, masked: int, buckets: int) -> Iterator[pa.RecordBatch]:
     for row in rows_of(batches):
         runs = Runs(block_bytes_of(row["data"]), row["sizes"], width, gram)
-        which, rows = sent_runs(runs, row["masks"], width, gram, buckets)[:2]
+        which, rows = sent_runs(runs, row["masks"], width, gram, masked)[:2]
         order = np.argsort(runs.hash[which], kind="stable")
         edges = bucket_edges(runs.hash[which][order], buckets)
         for b in np.flatnonzero(np.diff(edges)).tolist():
@@ -141,17 +134,30 @@ def sent_runs(runs: Runs, masks: list[dict] | None, width: int, gram: int, bucke
     return repeated[first], rows, repeated, place
 
 
-def judged(rows: np.ndarray, width: int, gram: int) -> np.ndarray:
-    """For each run, in order of their places in the corpus, and each offset: whether an earlier run has the same string."""
+def judged(parts: Iterable[np.ndarray], width: int, gram: int) -> Iterator[np.ndarray]:
+    """For each part of the runs, in order of their places in the corpus: for each run and offset whether an earlier run has the same string.
+
+    Of equal runs only one is held; parts are read one after the other.
+    """
     reach = width - gram
-    first, place = first_of_each(rows)
-    out = np.ones((len(rows), reach + 1), bool)
-    own = rows[first]
+    seen: dict[bytes, int] = {}
+    places, news = [], []
+    for rows in parts:
+        before = len(seen)
+        place = np.fromiter((seen.setdefault(r.tobytes(), len(seen)) for r in rows), np.int32, len(rows))
+        new = np.zeros(len(rows), bool)
+        fresh, at = np.unique(place, return_index=True)
+        new[at[fresh >= before]] = True
+        places.append(place)
+        news.append(new)
+    own = np.frombuffer(b"".join(seen), np.uint8).reshape(-1, 4 + reach + width)
+    del seen
     low, high = own[:, 0].astype(np.int64) | own[:, 1].astype(np.int64) << 8, own[:, 2].astype(np.int64) | own[:, 3].astype(np.int64) << 8
     flags = np.zeros((len(own), reach + 1), bool)
     grams = np.ascontiguousarray(own[:, 4 + reach : 4 + reach + gram]).view(f"V{gram}").ravel()
     _, index, n = np.unique(grams, return_inverse=True, return_counts=True)
     many = np.flatnonzero(n[index] > 1)
+    del grams, index
     if len(many):
         left, left_common = deep_shallow(own[many, 4 : 4 + reach])
         right, right_common = deep_shallow(own[many, 4 + reach :])
@@ -164,26 +170,30 @@ def judged(rows: np.ndarray, width: int, gram: int) -> np.ndarray:
             again = np.ones(len(there), bool)
             again[np.unique(key, return_index=True)[1]] = False
             flags[many[there[again]], o] = True
-    out[first] = flags
-    return out
+    for place, new in zip(places, news, strict=True):
+        out = flags[place]
+        out[~new] = True
+        yield out
 
 
 def meet(table: pa.Table, width: int, gram: int) -> pa.Table:
-    got = sorted(zip(table.column("block").to_pylist(), table.column("runs").to_pylist(), strict=True))
-    parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x[1]), np.uint8).reshape(-1, 4 + 2 * width - gram) for x in got]
-    flags = judged(np.concatenate(parts), width, gram)
-    cuts = np.cumsum([0, *map(len, parts)])
+    blocks = table.column("block").to_numpy()
+    order = np.argsort(blocks, kind="stable")
+    runs = table.column("runs")
+    parts = (np.frombuffer(zstandard.ZstdDecompressor().decompress(runs[int(i)].as_py()), np.uint8).reshape(-1, 4 + 2 * width - gram) for i in order)
+    bits = [zstandard.ZstdCompressor(level=1).compress(np.packbits(x).tobytes()) for x in judged(parts, width, gram)]
     bucket = table.column("bucket")[0].as_py()
-    bits = [zstandard.ZstdCompressor(level=1).compress(np.packbits(flags[a:b]).tobytes()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return pa.table({"block": pa.array([x[0] for x in got], pa.int64()), "bucket": pa.array([bucket] * len(got), pa.int32()), "bits": pa.array(bits, pa.binary())})
+    out = pa.table({"block": pa.array(blocks[order], pa.int64()), "bucket": pa.array([bucket] * len(order), pa.int32()), "bits": pa.array(bits, pa.binary())})
+    tidy()
+    return out
 
 
-def cut(batches: Iterator[pa.RecordBatch], width: int, gram: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def cut(batches: Iterator[pa.RecordBatch], width: int, gram: int, masked: int, buckets: int) -> Iterator[pa.RecordBatch]:
     reach = width - gram
     for row in rows_of(batches):
         data = block_bytes_of(row["data"])
         runs = Runs(data, row["sizes"], width, gram)
-        sent, _, repeated, place = sent_runs(runs, row["masks"], width, gram, buckets)
+        sent, _, repeated, place = sent_runs(runs, row["masks"], width, gram, masked)
         flags = np.zeros((len(sent), reach + 1), bool)
         order = np.argsort(runs.hash[sent], kind="stable")
         edges = bucket_edges(runs.hash[sent][order], buckets)
@@ -221,13 +231,14 @@ def dedup_bytes(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFr
     if not 1 <= gram <= width or width - gram > 0xFFFF:
         raise ValueError("the gram must be from 1 to width bytes long")
     spark = docs.sparkSession
-    buckets = shuffle_partitions(spark)
+    masked = shuffle_partitions(spark)
+    buckets = BUCKETS * masked
     blocks = build_blocks(docs, BLOCK_BYTES, name="bytes")
     masks = seen_in_earlier_block(blocks, lambda row: Runs(block_bytes_of(row["data"]), row["sizes"], width, gram).distinct_hashes()[0], "anchors", earlier_only=False)
     free_shuffles(spark)
-    sent = blocks.join(masks, "block", "left").mapInArrow(lambda it: send(it, width, gram, buckets), "bucket int, block long, runs binary")
+    sent = blocks.join(masks, "block", "left").mapInArrow(lambda it: send(it, width, gram, masked, buckets), "bucket int, block long, runs binary")
     bits = sent.groupBy("bucket").applyInArrow(lambda t: meet(t, width, gram), "block long, bucket int, bits binary")
     flags = written(bits.groupBy("block").agg(F.collect_list(F.struct("bucket", "bits")).alias("flags")), "flags")
     free_shuffles(spark)
     small = masks.join(flags, "block", "full")
-    return blocks.join(small, "block", "left").mapInArrow(lambda it: cut(it, width, gram, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return blocks.join(small, "block", "left").mapInArrow(lambda it: cut(it, width, gram, masked, buckets), "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
