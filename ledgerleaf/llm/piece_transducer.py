@@ -37,7 +37,7 @@ from ledgerleaf.llm.common import tidy
 
 SPACE = "▁"
 #: Stretches and arcs that a worker remembers; beyond it starts anew.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 LONGEST_REMEMBERED = 64
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _AFTER_LETTERS = re.compile(r"(?<=[^\W\d_])(?=[\W\d_])")
@@ -62,6 +62,8 @@ class PieceTransducer:
             raise ValueError("a piece has a space after another character; stretches between spaces would not be independent")
         # every beginning of a piece, -1 for those that are no piece: where it ends, no longer piece begins
         self.begun = {s[:k]: -1 for s in self.piece for k in range(1, len(s))} | self.piece
+        # every end of a piece likewise, for looking back
+        self.ended = {s[k:]: -1 for s in self.piece for k in range(1, len(s))} | self.piece
         self.together = {s[k : k + 2] for s in self.piece for k in range(len(s) - 1)}
         self.arcs: dict[int, float] = {}
         self.sides: dict[int, tuple] = {}
@@ -172,43 +174,54 @@ class PieceTransducer:
             i, last = before, last_before
         return tuple(x for ids in reversed(out) for x in ids)
 
-    def only_path(self, stretch: str) -> tuple[int, ...] | None:
-        """As shortest_path where every place of the stretch is reached in one state at most, which merging implies; else None."""
-        size, begun, arcs = len(stretch), self.begun, self.arcs
-        last: list[int | None] = [None] * (size + 1)
-        before = [0] * (size + 1)
-        last[0] = -1
-        for i in range(size):
-            at = last[i]
-            if at is None:
-                continue
-            base = at << 32
-            for j in range(i + 1, size + 1):
-                piece = begun.get(stretch[i:j])
-                if piece is None:
+    def only_paths(self, stretches: list[str]) -> list[tuple[int, ...] | None]:
+        """As shortest_path for each of ascending stretches; None where no path over pieces and bytes is finite.
+
+        Merging reaches every place of a stretch in one state, so the search keeps one, found by looking back from the
+        place; what a stretch has in common with the one before it is not searched again.
+        """
+        ended, arcs = self.ended, self.arcs
+        out: list[tuple[int, ...] | None] = []
+        last: list[int | None] = [-1]
+        before = [0]
+        previous = ""
+        for s in stretches:
+            k, n = 0, min(len(previous), len(s))
+            while k < n and previous[k] == s[k]:
+                k += 1
+            del last[k + 1 :], before[k + 1 :]
+            previous = s
+            for j in range(k + 1, len(s) + 1):
+                state, i = None, j - 1
+                while i >= 0:
+                    piece = ended.get(s[i:j])
+                    if piece is None:
+                        break
+                    if piece >= 0:
+                        at = last[i]
+                        if at is not None:
+                            arc = arcs.get(at << 32 | piece)
+                            if arc is None:
+                                arc = self.constraint(at, piece)
+                            if not arc:
+                                state = piece
+                                break
+                    i -= 1
+                if state is None and last[j - 1] is not None and ended.get(s[j - 1], -1) < 0:
+                    state, i = -1, j - 1
+                last.append(state)
+                before.append(i)
+            ids: list[int] | None = []
+            j = len(s)
+            while j:
+                if last[j] is None:
+                    ids = None
                     break
-                if piece < 0:
-                    continue
-                arc = arcs.get(base | piece)
-                if arc is None:
-                    arc = self.constraint(at, piece)
-                if not arc:
-                    if last[j] is not None:
-                        return None
-                    last[j], before[j] = piece, i
-            if begun.get(stretch[i], -1) < 0:
-                if last[i + 1] is not None:
-                    return None
-                last[i + 1], before[i + 1] = -1, i
-        out: list[int] = []
-        j = size
-        while j:
-            if last[j] is None:
-                return None
-            i = before[j]
-            out += [last[j]] if last[j] >= 0 else [self.of_byte.get(b, self.unknown) for b in reversed(stretch[i].encode())] if self.of_byte else [self.unknown]
-            j = i
-        return tuple(reversed(out))
+                i = before[j]
+                ids += [last[j]] if last[j] >= 0 else [self.of_byte.get(b, self.unknown) for b in reversed(s[i].encode())] if self.of_byte else [self.unknown]
+                j = i
+            out.append(None if ids is None else tuple(reversed(ids)))
+        return out
 
     def divided(self, stretch: str) -> list[str]:
         """The stretch cut after letters where no piece has the two characters together: no arc, so no merge, goes over such a place."""
@@ -226,24 +239,27 @@ class PieceTransducer:
     def stretches(self, text: str) -> list[str]:
         return _STRETCH.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def of_stretch(self, stretch: str) -> tuple[int, ...]:
-        ids = self.known.get(stretch)
-        if ids is None:
-            parts = self.divided(stretch)
-            if len(parts) == 1:
-                ids = self.only_path(stretch) or self.shortest_path(stretch)
-            else:
-                ids = tuple(x for p in parts for x in self.of_stretch(p))
-            if len(stretch) <= LONGEST_REMEMBERED:
-                if len(self.known) >= REMEMBERED:
-                    self.known.clear()
-                self.known[stretch] = ids
-        return ids
+    def of_stretches(self, stretches: list[str]) -> list[tuple[int, ...]]:
+        """The ids of different stretches."""
+        known = self.known
+        if len(known) > REMEMBERED:
+            known.clear()
+        divided = {s: self.divided(s) for s in stretches if s not in known}
+        new = sorted({p for parts in divided.values() for p in parts if p not in known})
+        found = dict(zip(new, self.only_paths(new), strict=True))
+        for p, ids in found.items():
+            if ids is None:
+                found[p] = self.shortest_path(p)
+        get = lambda p: known[p] if p in known else found[p]
+        out = [known[s] if s not in divided else get(s) if len(divided[s]) == 1 else tuple(x for p in divided[s] for x in get(p)) for s in stretches]
+        known.update((s, ids) for s, ids in found.items() if len(s) <= LONGEST_REMEMBERED)
+        known.update((s, ids) for s, ids in zip(stretches, out, strict=True) if len(s) <= LONGEST_REMEMBERED)
+        return out
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
         parts = [self.stretches(t) for t in texts]
         coded = pa.array([s for p in parts for s in p], pa.string()).dictionary_encode()
-        ids = [self.of_stretch(s) for s in coded.dictionary.to_pylist()]
+        ids = self.of_stretches(coded.dictionary.to_pylist())
         if not ids:
             return [np.zeros(0, np.int32) for _ in texts]
         length = np.array([len(x) for x in ids])
@@ -287,7 +303,7 @@ def machine(path: str) -> PieceTransducer:
     return _machines[path]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of batches with about the size of text, one row at least."""
     for batch in batches:
         a = held = 0
