@@ -24,8 +24,8 @@ import os
 import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ LANES = 1024
 CHECKPOINT = 512
 BLOCK_BYTES = 4 << 20
 #: Words that a worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 700_000
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
 
@@ -75,7 +75,7 @@ class WordEncoder:
         plain = [x for x in form["added_tokens"] if x["special"] and not (x["lstrip"] or x["rstrip"] or x["normalized"] or x["single_word"])]
         self.cut = plain[0] if plain else None
         self.added = [x["content"] for x in form["added_tokens"]]
-        self.parts: dict[str, list[int]] = {}
+        self.parts: dict[str, bytes] = {}
         self.forget()
 
     def forget(self) -> None:
@@ -116,17 +116,17 @@ class WordEncoder:
             self.parts.clear()
         known = self.parts
         ask = [x for x in parts if x not in known]
-        known.update(zip(ask, self.encoded(ask), strict=True))
+        known.update((x, array("I", ids).tobytes()) for x, ids in zip(ask, self.encoded(ask), strict=True))
         got = [known[m[1]] + known[m[2]] if m else known[w] for w, m in zip(new, split, strict=True)]
         first, n = len(self.number) + 1, len(new)
         self.number.update(zip(new, range(first, first + n), strict=True))
-        length = np.fromiter(map(len, got), np.int64, n)
+        length = np.fromiter(map(len, got), np.int64, n) // 4
         total = int(length.sum())
         while first + n > len(self.begin):
             self.begin, self.length = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.length, 2 * len(self.length))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
-        self.flat[self.used : self.used + total] = np.fromiter(chain.from_iterable(got), np.uint32, total)
+        self.flat[self.used : self.used + total] = np.frombuffer(b"".join(got), np.uint32)
         self.begin[first : first + n] = self.used + np.cumsum(length) - length
         self.length[first : first + n] = length
         self.used += total
