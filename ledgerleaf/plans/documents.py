@@ -7,6 +7,8 @@ from an aggregate of each page; the walk over blocks is a window over a document
 from __future__ import annotations
 
 import logging
+import os
+import tempfile
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -54,7 +56,7 @@ def blocks_of(lines: DataFrame, spec: FormatSpec, strict: bool = False) -> DataF
     rows = rows.withColumn("metadata", F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>"))
     rows = rows.where(F.col("_gate"))
     if strict:
-        rows = rows.withColumn("subfund", F.coalesce("subfund", F.raise_error(F.lit("a page has no sub-fund"))))
+        rows = rows.withColumn("subfund", F.coalesce("subfund", F.raise_error(F.lit(f"{ExpectedBlockNotFound.__name__}: a page has no sub-fund"))))
     body = rows.where(has_font(spec.body_font))
     body = deselect(body, spec.deselect).where(in_range(_mid(), (F.col("_top"), F.col("_bottom"))))
     return table_positions(body).select(*PAGE, "ord", "table_col", "content", "subfund", "metadata")
@@ -85,8 +87,9 @@ def run_job(spark: SparkSession, settings: control.Settings, pages: DataFrame |
         log.warning("the selected format %s is not the detected %s", settings.format, found)
     if pages is None:
         path = settings.pdf
-        if settings.url and not (path and __import__("os").path.exists(path)):
-            path = path or "/tmp/ledgerleaf-report.pdf"
+        if not (path and os.path.exists(path)):
+            kept = path if settings.save_pdf else None
+            path = kept or os.path.join(tempfile.mkdtemp(prefix="ledgerleaf-"), "report.pdf")
             page_source.download(settings.url, path)
         pages = page_source.read_pdf(spark, path)
     return holdings_of(pages, name, targets or control.target_list(control.targets(spark))), name, settings.prefix_out
