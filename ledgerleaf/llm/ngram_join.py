@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import U64, Powers, block_bytes_of, decode_keys, encode_keys, mix, pack_unordered, prefix_sums, read_masks, rows_of, seen_in_earlier_block
-from ledgerleaf.llm.common import discard, free_shuffles, fresh, shuffle_partitions, written
+from ledgerleaf.llm.common import discard, free_shuffles, fresh, shuffle_partitions, tidy, written
 from ledgerleaf.llm.components import components
 from ledgerleaf.llm.substring_dedup import windows_of, words_of
 
@@ -47,6 +47,9 @@ PERCENT = 80
 #: Parts of the domain for each element of the largest set of a tag; more than 2 * (1 - t) / (1 + t).
 PARTS = 0.28
 TILE = 4096
+#: Tasks that the signatures of one component are dealt to, at least.
+SLOTS = 16
+REMEMBERED = 500_000
 SMALLEST = 6
 #: Rounds in which each set is compared with its nearest in another component, before all that is left is compared.
 ROUNDS = 2
@@ -233,18 +236,21 @@ def across(batches: Iterator[pa.RecordBatch], percent: int, nearest: bool) -> It
     In a tile, rows of side 0 meet those of side 1, or a side meets itself. nearest: only each row's nearest by sketch.
     """
     rest = None
+    given: set[tuple[int, int]] = set()
     for batch in batches:
         table = pa.Table.from_batches([batch]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([batch])])
         keys = np.stack([table.column(c).to_numpy() for c in ("sig", "p", "q")])
         begin = np.flatnonzero(np.concatenate([[True], (keys[:, 1:] != keys[:, :-1]).any(axis=0)])) if table.num_rows else np.zeros(0, np.int64)
         if len(begin) > 1:
-            yield _tiles(table.slice(0, int(begin[-1])), begin[:-1], percent, nearest)
+            yield _tiles(table.slice(0, int(begin[-1])), begin[:-1], percent, nearest, given)
         rest = table.slice(int(begin[-1])) if len(begin) else table
     if rest is not None and rest.num_rows:
-        yield _tiles(rest, np.zeros(1, np.int64), percent, nearest)
+        yield _tiles(rest, np.zeros(1, np.int64), percent, nearest, given)
+    tidy()
 
 
-def _tiles(table: pa.Table, begin: np.ndarray, percent: int, nearest: bool) -> pa.RecordBatch:
+def _tiles(table: pa.Table, begin: np.ndarray, percent: int, nearest: bool, given: set[tuple[int, int]]) -> pa.RecordBatch:
+    """given: pairs that the task has given already; it only saves repeats and is emptied when it is large."""
     n, kind, part, side = (table.column(c).to_numpy() for c in ("n", "class", "component", "side"))
     raw = table.column("sketch").to_pylist()
     pairs: set[tuple[int, int]] = set()
@@ -253,6 +259,10 @@ def _tiles(table: pa.Table, begin: np.ndarray, percent: int, nearest: bool) -> p
             order = x + np.argsort(n[x:y], kind="stable")
             i, j = _tile(n[order], part[order], side[order], [raw[k] for k in order.tolist()], percent, nearest)
             pairs.update(zip(np.minimum(kind[order[i]], kind[order[j]]).tolist(), np.maximum(kind[order[i]], kind[order[j]]).tolist(), strict=True))
+    pairs -= given
+    if len(given) > REMEMBERED:
+        given.clear()
+    given |= pairs
     return pa.RecordBatch.from_pydict({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
 
@@ -296,8 +306,8 @@ def crossing(posted: DataFrame, united: DataFrame | None, light: DataFrame, perc
     named = posted.withColumn("component", F.col("class"))
     if united is not None:
         named = posted.join(united.withColumnRenamed("node", "class"), "class", "left").withColumn("component", F.coalesce("component", "class"))
-    opened = named.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig")
-    rows = written(named.join(opened, "sig", "left_semi"), "open")
+    opened = named.groupBy("sig").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x < y").select("sig", "x")
+    rows = written(named.join(opened, "sig"), "open")
     # many signatures are open for the same sets; one of those with the same members is enough
     same = rows.groupBy("sig").agg(F.sum(F.xxhash64("class").cast("decimal(38,0)")).alias("who"), F.count(F.lit(1)).alias("size"))
     same = same.groupBy("who", "size").agg(F.min("sig").alias("sig")).select("sig", F.ceil(F.col("size") / TILE).cast("int").alias("tiles"))
@@ -305,8 +315,11 @@ def crossing(posted: DataFrame, united: DataFrame | None, light: DataFrame, perc
     tiled = rows.join(same, "sig").withColumn("tile", F.pmod(F.xxhash64("class"), F.col("tiles")).cast("int"))
     # tile i meets every tile: each row goes to the pairs of tiles that hold its own
     pair = F.explode(F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda t: F.struct(F.least(t, "tile").alias("p"), F.greatest(t, "tile").alias("q"))))
-    tiled = tiled.join(one, "class").withColumn("pair", pair).withColumn("side", F.when((F.col("pair.p") != F.col("pair.q")) & (F.col("tile") == F.col("pair.q")), 1).otherwise(0)).select("sig", "pair.p", "pair.q", "side", "class", "n", "component", "sketch")
-    dealt = tiled.repartition("sig", "p", "q").sortWithinPartitions("sig", "p", "q")
+    tiled = tiled.join(one, "class").withColumn("pair", pair).withColumn("side", F.when((F.col("pair.p") != F.col("pair.q")) & (F.col("tile") == F.col("pair.q")), 1).otherwise(0))
+    # sets that are alike share many signatures: those of one component meet in a few tasks, where a pair is given once
+    slots = max(SLOTS, shuffle_partitions(posted.sparkSession) // SLOTS)
+    tiled = tiled.withColumn("slot", F.pmod("sig", F.lit(slots))).select("sig", "pair.p", "pair.q", "side", "class", "n", "component", "sketch", "x", "slot")
+    dealt = tiled.repartition("x", "slot").drop("x", "slot").sortWithinPartitions("sig", "p", "q")
     return dealt.mapInArrow(lambda it: across(it, percent, nearest), "a long, b long").distinct()
 
 
