@@ -37,7 +37,7 @@ from ledgerleaf.llm.common import tidy
 
 SPACE = "▁"
 #: Stretches and arcs that a worker remembers; beyond it starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 200_000
 LONGEST_REMEMBERED = 64
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _AFTER_LETTERS = re.compile(r"(?<=[^\W\d_])(?=[\W\d_])")
@@ -60,13 +60,12 @@ class PieceTransducer:
         self.score = {s: model.get_score(i) for s, i in self.piece.items()}
         if any(SPACE in s.lstrip(SPACE) for s in self.piece):
             raise ValueError("a piece has a space after another character; stretches between spaces would not be independent")
-        # every beginning of a piece, -1 for those that are no piece: where it ends, no longer piece begins
-        self.begun = {s[:k]: -1 for s in self.piece for k in range(1, len(s))} | self.piece
-        # every end of a piece likewise, for looking back
+        # every end of a piece, -1 for those that are no piece: looking back, where there is none no piece goes on
         self.ended = {s[k:]: -1 for s in self.piece for k in range(1, len(s))} | self.piece
         self.together = {s[k : k + 2] for s in self.piece for k in range(len(s) - 1)}
         self.arcs: dict[int, float] = {}
         self.sides: dict[int, tuple] = {}
+        self.longest = max(map(len, self.piece), default=1)
         self.known: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> tuple[list[str], list[tuple[str, str]]]:
@@ -139,18 +138,16 @@ class PieceTransducer:
     def shortest_path(self, stretch: str) -> tuple[int, ...]:
         """The ids on the lightest path of the composition with a stretch of normalised text."""
         # states[i]: last piece -> (weight, position before, last piece before, ids of the arc)
-        size, begun, arcs = len(stretch), self.begun, self.arcs
+        size, pieces, longest, arcs = len(stretch), self.piece, self.longest, self.arcs
         states: list[dict[int, tuple]] = [{} for _ in range(size + 1)]
         states[0][-1] = (0.0, -1, -1, ())
         for i in range(size):
             here = states[i]
             if not here:
                 continue
-            for j in range(i + 1, size + 1):
-                piece = begun.get(stretch[i:j])
+            for j in range(i + 1, min(size, i + longest) + 1):
+                piece = pieces.get(stretch[i:j])
                 if piece is None:
-                    break
-                if piece < 0:
                     continue
                 there = states[j]
                 for last, (weight, *_) in here.items():
@@ -160,7 +157,7 @@ class PieceTransducer:
                     total = weight + 1 + arc
                     if total < INFINITY and (piece not in there or total < there[piece][0]):
                         there[piece] = (total, i, last, (piece,))
-            if begun.get(stretch[i], -1) < 0:
+            if stretch[i] not in pieces:
                 ids = tuple(self.of_byte.get(b, self.unknown) for b in stretch[i].encode()) if self.of_byte else (self.unknown,)
                 there = states[i + 1]
                 for last, (weight, *_) in here.items():
@@ -303,7 +300,7 @@ def machine(path: str) -> PieceTransducer:
     return _machines[path]
 
 
-def _slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+def _slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of batches with about the size of text, one row at least."""
     for batch in batches:
         a = held = 0
@@ -318,18 +315,21 @@ def _slices(batches: Iterator[pa.RecordBatch], column: int, size: int = 4 << 20)
     tidy()
 
 
-def encode(docs: DataFrame, path: str, output: str = "input_ids") -> DataFrame:
-    """docs with the ids of each text."""
-    rest = docs.drop(output)
+def encode(docs: DataFrame, path: str, output: str = "input_ids", decoded: str | None = None) -> DataFrame:
+    """docs with the ids of each text, and, where a name for it is given, the text that they decode to."""
+    names = [output, *([decoded] if decoded else [])]
+    rest = docs.drop(*names)
     at = rest.columns.index("text")
-    schema = T.StructType([*rest.schema.fields, T.StructField(output, T.ArrayType(T.IntegerType()))])
+    kinds = [T.ArrayType(T.IntegerType()), T.StringType()]
+    schema = T.StructType([*rest.schema.fields, *[T.StructField(n, k) for n, k in zip(names, kinds, strict=False)]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, at):
             ids = machine(path).encode_many([x or "" for x in batch.column(at).to_pylist()])
             flat = pa.array(np.concatenate(ids).astype(np.int32)) if ids else pa.array([], pa.int32())
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.ListArray.from_arrays(pa.array(ends), flat)], names=[*batch.schema.names, output])
+            made = [pa.ListArray.from_arrays(pa.array(ends), flat), *([pa.array(machine(path).decode_many(ids), pa.string())] if decoded else [])]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *names])
 
     return rest.mapInArrow(run, schema)
 
