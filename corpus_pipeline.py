@@ -40,8 +40,8 @@ def sanitise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every text as token ids, beside the text that they decode to."""
-    path = public_tokenizers.path("piece_bpe_32k.model")
-    out = piece_transducer.decode(piece_transducer.encode(docs, path), path)
+    columns = docs.select("doc_id", "lang", "source", "text")
+    out = piece_transducer.encode(columns, public_tokenizers.path("piece_bpe_32k.model"), decoded="decoded")
     return out.select("doc_id", "lang", "source", F.size("input_ids").cast("long").alias("n_tokens"), "input_ids", F.col("decoded").alias("text"))
 
 
