@@ -1,6 +1,7 @@
 """The classifier, decontamination, licences."""
 
 import random
+import re
 import zlib
 
 import cases
@@ -86,6 +87,35 @@ def test_leaks_verbatim_and_paraphrased(spark):
     assert sorted(x.doc_id for x in kept.collect()) == sorted({x[0] for x in rows} - {i for i, _ in want})
 
 
+def test_leaks_that_the_space_does_not_show(spark):
+    r = random.Random(11)
+    pool = item(r, 900).split()
+    few = lambda n: " ".join(r.choice(pool) for _ in range(n))
+    # on the same terms, so that passages hold terms of many items
+    items = {k: f"{few(r.choice([4, 9, 20, 70]))}. {few(4)}." for k in range(120)}
+    terms = lambda text: re.findall(r"[a-z0-9]+", text.lower())
+    rows = []
+    for i in range(90):
+        words = few(r.choice([0, 30, 400])).split()
+        leak = [few(1) if r.random() < r.choice([0, 0.1, 0.4]) else w for w in items[r.randrange(120)].split()]
+        at = r.randint(0, len(words))
+        rows.append((i, " ".join([*words[:at], *leak, *words[at:]])))
+    want = {}
+    for i, text in rows:
+        w = terms(text)
+        for k, q in items.items():
+            x, told = terms(q), terms(q)[-4:]
+            for a in range(0, max(len(w) - 64, 0) + 32, 32):
+                region = w[max(0, a - len(x)) : min(a + 64, len(w)) + len(x)]
+                share, answer = (decontamination.lcs_share(np.array(y), region) for y in (x, told))
+                if share >= 0.8 or share >= 0.6 and answer >= 0.6:
+                    want[i, k] = max(want.get((i, k), 0), share)
+    df, bench = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string")
+    for limits in ({}, {"cosine": 2.0}):  # at 2 the space shows nothing
+        got = {(x.doc_id, x.item_id): x.lcs for x in decontamination.leaks(df, bench, stop_share=1.0, **limits).collect()}
+        assert got == want and len(want) > 50
+
+
 def test_leaks_of_empty_tables(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     df, _ = cases.documents(spark)
