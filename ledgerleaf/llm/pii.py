@@ -3,17 +3,18 @@
 Protected entities are the e-mail addresses, IP addresses, card numbers and phone numbers that patterns and checks
 (parts at most 255, Luhn, number of digits) find. Corpus co-occurrence then estimates how strongly a term reveals them:
 of a term t the documents that have it on a line with an entity are set against all documents that have it. With
-p = P(entity on its line | t) and the base rate q of documents with entities, log2(p / q) is the information that
-seeing t gives about an entity. Terms with at least `min_entities` different entities, p >= min_share and
-log2(p / q) >= min_bits disclose; on lines with an entity they become spans of the kind "term". `sanitise` generalises
-every span to a placeholder of its kind.
+p = P(entity on its line | t) and the base rate q of texts with entities, log2(p / q) is the information that
+seeing t gives about an entity; no term can give more than -log2(q). Terms with at least `min_entities` different
+entities, p >= min_share and log2(p / q) of min_bits, or of REACHED of what can be given where that is less, disclose;
+on lines with an entity they become spans of the kind "term". So a term that never stands away from entities discloses
+at every base rate. `sanitise` generalises every span to a placeholder of its kind.
 
 Spans are in code points, the end exclusive. Positions come from the pieces that splitting by the same pattern leaves:
 a span starts after the pieces and matches before it, summed by a scan in chunks. The patterns are written so
 that no start is tried twice in a run of its characters and no group recurses: time is linear in the text.
 
-Defined cases: null text is the empty text, without spans; copies of a text count once as an entity, so no term gets
-its weight from copies; rows with the same doc_id and text get the same spans; other columns are kept by `sanitise` and
+Defined cases: null text is the empty text, without spans; copies of a text count once, in p, in q and as an entity, so
+no term gains or loses weight by copies; rows with the same doc_id and text get the same spans; other columns are kept by `sanitise` and
 not read by `find`; an empty table gives an empty table.
 """
 
@@ -39,6 +40,8 @@ TERM = r"[\p{L}\p{N}]+"
 MIN_ENTITIES = 5
 MIN_SHARE = 0.8
 MIN_BITS = 2.0
+#: Of the greatest reachable information, -log2(q): what is enough where min_bits is more.
+REACHED = 0.5
 #: What a scan sums at once.
 CHUNK = 256
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -125,17 +128,19 @@ def terms_of(text: Column) -> Column:
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, min_entities: int, min_share: float, min_bits: float) -> DataFrame:
-    """(term, n_docs, n_with_entity, n_entities, bits) of the terms over the thresholds."""
-    hit = found.where(F.size("spans") > 0)
+    """(term, n_docs, n_with_entity, n_entities, bits) of the terms over the thresholds; of distinct texts."""
+    hit = found.where(F.size("spans") > 0).dropDuplicates(["text_hash"])
     entity = F.xxhash64(F.transform("spans", lambda s: s["value"])).alias("entity")
     near = hit.select(entity, F.explode(F.array_distinct(F.flatten(F.transform("lines", lambda r: terms_of(r["line"]))))).alias("term"))
     joint = near.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n")).groupBy("term").agg(F.count(F.lit(1)).alias("n_entities"), F.sum("n").alias("n_with_entity")).where(F.col("n_entities") >= min_entities).withColumn("key", F.xxhash64("term"))
-    all_docs = docs.select(F.explode(F.array_distinct(terms_of(F.coalesce("text", F.lit(""))))).alias("t")).groupBy(F.xxhash64("t").alias("key")).agg(F.count(F.lit(1)).alias("n_docs"))
-    rate = found.agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.size("spans") > 0, 1)).alias("hits"))
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
+    all_docs = texts.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("t")).groupBy(F.xxhash64("t").alias("key")).agg(F.count(F.lit(1)).alias("n_docs"))
+    rate = found.select("text_hash", (F.size("spans") > 0).alias("hit")).distinct().agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("hit"), 1)).alias("hits"))
     share = F.col("n_with_entity") / F.col("n_docs")
     # the rate is one row, an aggregate's
     scored = joint.join(all_docs, "key").join(F.broadcast(rate)).withColumn("bits", F.log2(share * F.col("all") / F.col("hits")))
-    return scored.where((share >= min_share) & (F.col("bits") >= min_bits)).select("term", "n_docs", "n_with_entity", "n_entities", "bits")
+    enough = F.least(F.lit(float(min_bits)), REACHED * F.log2(F.col("all") / F.col("hits")))
+    return scored.where((share >= min_share) & (F.col("bits") >= enough)).select("term", "n_docs", "n_with_entity", "n_entities", "bits")
 
 
 def term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:

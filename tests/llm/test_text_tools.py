@@ -66,6 +66,24 @@ def test_disclosing_terms(spark):
     assert not any("term" in x.s for x in pii.find(same).select(pii.as_text(F.col("all_spans")).alias("s")).collect())
 
 
+def test_terms_disclose_at_every_rate_of_entities(spark):
+    def terms(rows):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        return {x.term for x in pii.disclosing_terms(df, pii.scanned(df), pii.MIN_ENTITIES, pii.MIN_SHARE, pii.MIN_BITS).collect()}
+
+    own = [(i, f"today some words {i}\nplease reachme today user{i}@mail.example") for i in range(12)]
+    own += [(50 + i, f"please wait today {i}") for i in range(8)]
+    # every text has an entity, or more than a quarter
+    assert terms([(i, x + "\nsome@one.example") for i, x in own]) >= {"reachme"} and not terms([(i, x + "\nsome@one.example") for i, x in own]) & {"please", "today", "words"}
+    assert terms(own) == {"reachme", "mail", "example"}
+    # a group of copies, with an entity or without, changes nothing
+    rest = [(200 + i, f"other things {i}") for i in range(60)]
+    want = terms(own + rest)
+    assert "reachme" in want and "please" not in want
+    for text in ("please other things hot@copy.example", "reachme other things"):
+        assert terms([*own, *rest, (900, text)]) == terms(own + rest + [(900 + i, text) for i in range(90)])
+
+
 def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
