@@ -1,21 +1,26 @@
 """Information-theoretic sanitisation of personal data, in DataFrame operations only.
 
-Protected entities are the e-mail addresses, IP addresses, card numbers and phone numbers that patterns and checks
-(parts at most 255, Luhn, number of digits) find. Corpus co-occurrence then estimates how strongly a term reveals them:
-of a term t the documents that have it on a line with an entity are set against all documents that have it. With
-p = P(entity on its line | t) and the base rate q of texts with entities, log2(p / q) is the information that
-seeing t gives about an entity; no term can give more than -log2(q). Terms with at least `min_entities` different
-entities, p >= min_share and log2(p / q) of min_bits, or of REACHED of what can be given where that is less, disclose;
-on lines with an entity they become spans of the kind "term". So a term that never stands away from entities discloses
-at every base rate. `sanitise` generalises every span to a placeholder of its kind.
-
-Spans are in code points, the end exclusive. Positions come from the pieces that splitting by the same pattern leaves:
-a span starts after the pieces and matches before it, summed by a scan in chunks. The patterns are written so
-that no start is tried twice in a run of its characters and no group recurses: time is linear in the text.
-
-Defined cases: null text is the empty text, without spans; copies of a text count once, in p, in q and as an entity, so
-no term gains or loses weight by copies; rows with the same doc_id and text get the same spans; other columns are kept by `sanitise` and
-not read by `find`; an empty table gives an empty table.
+Protected entities are the values that patterns and checks find: e-mail addresses, IP addresses (parts at most 255), card
+numbers (Luhn) and phone numbers (number of digits). They are blanked before terms are read, so no term is a piece of an
+entity. Corpus co-occurrence then estimates how strongly a term reveals that an entity is there, in two contexts: the term's
+text and the term's line. With p the share of the distinct texts with a term in which an entity is in the same context,
+and q the same share over everything (texts with an entity; pairs of a text and a term with the term on an entity's
+line), log2(p / q) is the information that seeing the term gives, and -log2(q) the most that any term can give. A term
+discloses where in either context it gives at least REACHED of the most, beside at least `min_entities` different
+entities in as many distinct texts. Terms that disclose become spans of the kind "term" wherever they stand outside
+entities, in every text. `sanitise` generalises every span to a placeholder of its kind.
+
+The plan reads the texts twice: once for a table of statistics (distinct texts, their terms and those on lines with
+entities), once to apply the terms. What is joined to the texts is the list of disclosing terms of each distinct text
+that has any. Per-text work is linear in the text: matches are located by the pieces that splitting leaves, summed by a
+scan in chunks; patterns try no start twice in a run of its characters and no group recurses; texts are cut at spans
+by chunks of code points.
+
+Defined cases: null text is the empty text, without spans (`sanitise` keeps it null); copies of a text count once, in p,
+in q and as texts of an entity; where every text has an entity (q = 1) only lines can disclose; repeated rows get the same
+spans each; a span is in code points, its end exclusive; very long texts, in one line or many, with any number of spans
+need memory and time in proportion; other columns are kept by `sanitise` and not read by `find`; an empty table gives
+an empty table.
 """
 
 from __future__ import annotations
@@ -37,11 +42,14 @@ PATTERNS = {
 }
 KINDS = [*PATTERNS, "term"]
 TERM = r"[\p{L}\p{N}]+"
-MIN_ENTITIES = 5
-MIN_SHARE = 0.8
-MIN_BITS = 2.0
-#: Of the greatest reachable information, -log2(q): what is enough where min_bits is more.
-REACHED = 0.5
+#: Least number of different entities, and of distinct texts with one, beside which a term must stand.
+MIN_ENTITIES = 10
+#: Of the greatest reachable information, -log2(q): what discloses.
+REACHED = 0.8
+#: What stands for a code point of an entity in a blanked text; no line ends at it and no term has it.
+BLANK = "\x01"
+#: Code points in a chunk that texts are cut by.
+CUT = 256
 #: What a scan sums at once.
 CHUNK = 256
 _PART = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
@@ -100,97 +108,136 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[of(kind, pattern) for kind, pattern in PATTERNS.items()])
 
 
-def entity_lines(text: Column, spans: Column) -> Column:
-    """The lines that a span begins on: array of (start, line)."""
+def regions(spans: Column) -> Column:
+    """Runs of overlapping spans: array of (start, end, kind of the first), by start."""
 
-    def placed(lines: Column) -> Column:
-        sizes = F.transform(lines, lambda x: (F.length(x) + 1).cast("long"))
-        return let(scan(sizes, lambda a, b: a + b), lambda ends: F.transform(lines, lambda x, i: F.struct((F.get(ends, i) - F.length(x) - 1).alias("start"), x.alias("line"))))
+    def merged(x: Column) -> Column:
+        s, reach = x["s"], x["reach"]
+        firsts = F.filter(F.transform(s, lambda y, i: F.when((i == 0) | (y["start"] >= F.get(reach, i - 1)), F.struct(i.alias("i"), y["start"].alias("start"), y["kind"].alias("kind")))), lambda y: y.isNotNull())
+        return let(firsts, lambda r: F.transform(r, lambda y, j: F.struct(y["start"].alias("start"), F.get(reach, F.coalesce(F.get(r, j + 1)["i"], F.size(s)) - 1).alias("end"), y["kind"].alias("kind"))))
 
-    def with_span(rows: Column) -> Column:
-        # spans and lines are both few where this is asked for; the ends of lines are found by one pass over each
-        return F.filter(rows, lambda r: F.exists(spans, lambda s: (s["start"] >= r["start"]) & (s["start"] <= r["start"] + F.length(r["line"]))))
+    ordered = F.array_sort(F.transform(spans, lambda y: F.struct(y["start"].alias("start"), y["end"].alias("end"), y["kind"].alias("kind"))))
+    return let(let(ordered, lambda s: F.struct(s.alias("s"), scan(F.transform(s, lambda y: y["end"]), lambda a, b: F.greatest(a, b)).alias("reach"))), merged)
 
-    none = F.array().cast("array<struct<start:bigint,line:string>>")
-    return F.when(F.size(spans) > 0, let(let(F.split(text, "\n", -1), placed), with_span)).otherwise(none)
 
+def rewritten(text: Column, spans: Column, fill: Callable[[Column], Column]) -> Column:
+    """The text with each run of overlapping spans replaced by fill(run)."""
 
-def scanned(docs: DataFrame) -> DataFrame:
-    """One pass over the texts, written: doc_id, text_hash, spans, lines (those with an entity)."""
-    rows = select_required(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    found = let(base_spans(F.col("text")), lambda s: F.struct(s.alias("spans"), entity_lines(F.col("text"), s).alias("lines")))
-    rows = rows.select("doc_id", F.xxhash64("text").alias("text_hash"), found.alias("f")).select("doc_id", "text_hash", "f.spans", "f.lines")
-    return written(rows, "pii")
+    def cut(chunks: Column, start: Column, end: Column) -> Column:
+        first = F.floor(start / CUT)
+        near = F.array_join(F.slice(chunks, (first + 1).cast("int"), (F.floor((end - 1) / CUT) - first + 1).cast("int")), "")
+        return F.when(end > start, F.substring(near, (start - first * CUT + 1).cast("int"), (end - start).cast("int"))).otherwise(F.lit(""))
 
+    def joined(x: Column) -> Column:
+        chunks, r = x["chunks"], x["regions"]
+        before = lambda j: F.when(j == 0, F.lit(0).cast("long")).otherwise(F.get(r, j - 1)["end"])
+        pieces = F.transform(r, lambda y, j: F.concat(cut(chunks, before(j), y["start"]), fill(y)))
+        return F.concat(F.array_join(pieces, ""), cut(chunks, F.get(r, F.size(r) - 1)["end"], F.length(text).cast("long")))
 
-def terms_of(text: Column) -> Column:
-    return F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0))
-
-
-def disclosing_terms(docs: DataFrame, found: DataFrame, min_entities: int, min_share: float, min_bits: float) -> DataFrame:
-    """(term, n_docs, n_with_entity, n_entities, bits) of the terms over the thresholds; of distinct texts."""
-    hit = found.where(F.size("spans") > 0).dropDuplicates(["text_hash"])
-    entity = F.xxhash64(F.transform("spans", lambda s: s["value"])).alias("entity")
-    near = hit.select(entity, F.explode(F.array_distinct(F.flatten(F.transform("lines", lambda r: terms_of(r["line"]))))).alias("term"))
-    joint = near.groupBy("term", "entity").agg(F.count(F.lit(1)).alias("n")).groupBy("term").agg(F.count(F.lit(1)).alias("n_entities"), F.sum("n").alias("n_with_entity")).where(F.col("n_entities") >= min_entities).withColumn("key", F.xxhash64("term"))
-    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct()
-    all_docs = texts.select(F.explode(F.array_distinct(terms_of(F.col("text")))).alias("t")).groupBy(F.xxhash64("t").alias("key")).agg(F.count(F.lit(1)).alias("n_docs"))
-    rate = found.select("text_hash", (F.size("spans") > 0).alias("hit")).distinct().agg(F.count(F.lit(1)).alias("all"), F.count(F.when(F.col("hit"), 1)).alias("hits"))
-    share = F.col("n_with_entity") / F.col("n_docs")
-    # the rate is one row, an aggregate's
-    scored = joint.join(all_docs, "key").join(F.broadcast(rate)).withColumn("bits", F.log2(share * F.col("all") / F.col("hits")))
-    enough = F.least(F.lit(float(min_bits)), REACHED * F.log2(F.col("all") / F.col("hits")))
-    return scored.where((share >= min_share) & (F.col("bits") >= enough)).select("term", "n_docs", "n_with_entity", "n_entities", "bits")
-
-
-def term_spans(found: DataFrame, terms: DataFrame) -> DataFrame:
-    """(doc_id, text_hash, extra): the spans of disclosing terms on lines with an entity, outside base spans."""
-    lines = found.where(F.size("lines") > 0).select("doc_id", "text_hash", "spans", F.explode("lines").alias("r"))
-    places = lines.select("doc_id", "text_hash", "spans", F.col("r.start").alias("at"), F.explode(located(F.col("r.line"), TERM)).alias("w"))
-    places = places.select("doc_id", "text_hash", "spans", F.lower("w.value").alias("term"), (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"), F.col("w.value").alias("value"))
-    hit = places.join(terms.select("term"), "term")
-    hit = hit.where(~F.exists("spans", lambda s: (s["start"] < F.col("end")) & (F.col("start") < s["end"])))
-    span = F.struct(F.lit("term").alias("kind"), "start", "end", "value")
-    return hit.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set(span)).alias("extra"))
-
-
-def find(docs: DataFrame, min_entities: int = MIN_ENTITIES, min_share: float = MIN_SHARE, min_bits: float = MIN_BITS) -> DataFrame:
-    """(doc_id, text_hash, spans, all_spans): base spans, and those with the terms' after them."""
-    found = scanned(docs)
-    extra = term_spans(found, disclosing_terms(docs, found, min_entities, min_share, min_bits))
-    extra = extra.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "extra")
-    joined = found.join(extra, found["doc_id"].eqNullSafe(F.col("_id")) & (found["text_hash"] == F.col("_hash")), "left")
-    return joined.select("doc_id", "text_hash", "spans", F.concat("spans", F.coalesce("extra", F.array().cast(_SPAN))).alias("all_spans"))
+    parts = F.struct(F.regexp_extract_all(text, F.lit(rf"(?s).{{1,{CUT}}}"), F.lit(0)).alias("chunks"), regions(spans).alias("regions"))
+    return F.when(F.size(spans) > 0, let(parts, joined)).otherwise(text)
 
 
-def as_text(spans: Column) -> Column:
-    """kind:start:end, comma-joined."""
-    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+def blanked(text: Column, spans: Column) -> Column:
+    """The text with BLANK for each code point of a span, and nowhere else: all other positions stay."""
+    return rewritten(F.translate(text, BLANK, " "), spans, lambda y: F.repeat(F.lit(BLANK), (y["end"] - y["start"]).cast("int")))
 
 
 def replaced(text: Column, spans: Column) -> Column:
     """The text with each span, or run of overlapping spans, replaced by a placeholder of the first one's kind."""
+    return rewritten(text, spans, lambda y: F.concat(F.lit("<"), F.upper(y["kind"]), F.lit(">")))
 
-    def regions(x: Column) -> Column:
-        s, reach = x["s"], x["reach"]
-        starts = F.filter(F.transform(s, lambda y, i: F.when((i == 0) | (y["start"] >= F.get(reach, i - 1)), F.struct(i.alias("i"), y["start"].alias("start"), y["kind"].alias("kind")))), lambda y: y.isNotNull())
 
-        def joined(r: Column) -> Column:
-            end = lambda j: F.get(reach, F.coalesce(F.get(r, j + 1)["i"], F.size(s)) - 1)
-            piece = lambda y, j: F.concat(F.substring(text, F.when(j == 0, F.lit(0)).otherwise(end(j - 1)).cast("int") + 1, (y["start"] - F.when(j == 0, F.lit(0)).otherwise(end(j - 1))).cast("int")), F.lit("<"), F.upper(y["kind"]), F.lit(">"))
-            last = end(F.size(r) - 1).cast("int")
-            return F.concat(F.array_join(F.transform(r, piece), ""), F.substring(text, last + 1, F.length(text) - last))
+def terms_of(text: Column) -> Column:
+    return F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit(TERM), F.lit(0)))
+
 
-        return let(starts, joined)
+def key_of(text: Column) -> Column:
+    """What stands for a text: 128 bits of it."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
-    ordered = F.array_sort(F.transform(spans, lambda y: F.struct(y["start"].alias("start"), y["end"].alias("end"), y["kind"].alias("kind"))))
-    parts = let(ordered, lambda s: F.struct(s.alias("s"), scan(F.transform(s, lambda y: y["end"]), lambda a, b: F.greatest(a, b)).alias("reach")))
-    return F.when(F.size(spans) > 0, let(parts, regions)).otherwise(text)
+
+def statistics(docs: DataFrame, min_entities: int = MIN_ENTITIES) -> DataFrame:
+    """One pass over the texts, written: key, entities, terms, near (the terms on lines with an entity).
+
+    Of a text's entities the `min_entities` smallest are kept: a union over texts has that many different ones exactly
+    where the union of what is kept has.
+    """
+    text = F.coalesce("text", F.lit(""))
+
+    def of_blanked(b: Column, s: Column) -> Column:
+        lines = F.filter(F.split(b, "\n", -1), lambda x: x.contains(BLANK))
+        near = F.when(F.size(s) > 0, terms_of(F.array_join(lines, "\n"))).otherwise(F.array().cast("array<string>"))
+        values = F.slice(F.array_sort(F.array_distinct(F.transform(s, lambda y: F.md5(F.concat_ws(":", y["kind"], y["value"]).cast("binary"))))), 1, min_entities)
+        return F.struct(values.alias("entities"), terms_of(b).alias("terms"), near.alias("near"))
+
+    found = let(base_spans(text), lambda s: let(blanked(text, s), lambda b: of_blanked(b, s)))
+    rows = select_required(docs, ["text"]).select(key_of(F.col("text")).alias("key"), found.alias("f"))
+    return written(rows.select("key", "f.entities", "f.terms", "f.near"), "pii")
+
+
+def disclosing_terms(found: DataFrame, min_entities: int = MIN_ENTITIES, reached: float = REACHED) -> DataFrame:
+    """(term, n_texts, n_with, n_near, n_entities) of the terms that disclose, written."""
+    hit = F.size("entities") > 0
+    # each term of a distinct text once, and once more where it is on a line with an entity
+    texts = found.select("key", hit.alias("hit"), "terms", "near").dropDuplicates(["key"])
+    flag = lambda x: F.lit(x).cast("long")
+    every = F.transform("terms", lambda t: F.struct(t.alias("term"), flag(1).alias("all"), F.col("hit").cast("long").alias("with"), flag(0).alias("near")))
+    near = F.transform("near", lambda t: F.struct(t.alias("term"), flag(0).alias("all"), flag(0).alias("with"), flag(1).alias("near")))
+    counts = texts.select(F.inline(F.concat(every, near))).groupBy("term").agg(F.sum("all").alias("n_texts"), F.sum("with").alias("n_with"), F.sum("near").alias("n_near"))
+    sizes = found.select("key", hit.alias("hit"), F.size("terms").alias("all"), F.size("near").alias("near")).distinct()
+    rates = sizes.agg(F.try_divide(F.count(F.when(F.col("hit"), 1)), F.count(F.lit(1))).alias("in_text"), F.try_divide(F.sum("near"), F.sum("all")).alias("on_line"))
+
+    def tells(n: str, q: str) -> Column:
+        bits = F.log2(F.try_divide(F.col(n) / F.col("n_texts"), F.col(q)))
+        return (F.col(n) >= min_entities) & (F.col(q) < 1) & (bits >= -reached * F.log2(F.col(q)))
+
+    # the rates are one row, an aggregate's
+    strong = counts.where(F.col("n_with") >= min_entities).join(F.broadcast(rates)).where(tells("n_with", "in_text") | tells("n_near", "on_line")).drop("in_text", "on_line")
+    strong = written(strong, "pii-strong")
+    pairs = found.where(hit).select("entities", F.explode("terms").alias("term")).join(strong.select("term"), "term", "left_semi")
+    different = pairs.select("term", F.explode("entities").alias("entity")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_entities")).where(F.col("n_entities") >= min_entities)
+    return written(strong.join(different, "term"), "pii-terms")
+
+
+def with_spans(docs: DataFrame, found: DataFrame, terms: DataFrame, base: str, extra: str) -> DataFrame:
+    """docs with the base spans and the spans of disclosing terms, each an array of (kind, start, end, value) by start."""
+    key, own = fresh(docs, "key", "own")
+    held = found.select("key", F.explode("terms").alias("term")).join(terms.select("term"), "term", "left_semi")
+    held = held.groupBy(F.col("key").alias(key)).agg(F.array_sort(F.collect_set("term")).alias(own))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    # terms are letters and digits, so they stand in a pattern as they are
+    pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(own, "|"), F.lit(r")(?![\p{L}\p{N}])"))
+
+    def both(s: Column) -> Column:
+        places = let(blanked(text, s), lambda b: F.transform(located(b, pattern), lambda m: F.struct(F.lit("term").alias("kind"), m["start"].alias("start"), m["end"].alias("end"), m["value"].alias("value"))))
+        return F.struct(s.alias("base"), F.when(F.col(own).isNotNull(), places).otherwise(F.array().cast(_SPAN)).alias("extra"))
+
+    joined = docs.join(held, key_of(docs["text"]) == F.col(key), "left")
+    (spans,) = fresh(joined, "both")
+    return joined.withColumn(spans, let(base_spans(text), both)).select(*[F.col(f"`{c}`") for c in docs.columns], F.col(spans)["base"].alias(base), F.col(spans)["extra"].alias(extra))
+
+
+def learned(docs: DataFrame, min_entities: int, reached: float) -> tuple[DataFrame, DataFrame]:
+    found = statistics(docs, min_entities)
+    return found, disclosing_terms(found, min_entities, reached)
+
+
+def find(docs: DataFrame, min_entities: int = MIN_ENTITIES, reached: float = REACHED) -> DataFrame:
+    """(doc_id, spans, all_spans) of each row: base spans, and those with the terms' after them."""
+    rows = select_required(docs, ["doc_id", "text"])
+    out = with_spans(rows, *learned(docs, min_entities, reached), "spans", "extra")
+    return out.select(F.col("doc_id").cast("long").alias("doc_id"), "spans", F.concat("spans", "extra").alias("all_spans"))
+
+
+def as_text(spans: Column) -> Column:
+    """kind:start:end, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
 
-def sanitise(docs: DataFrame, **limits: float) -> DataFrame:
+def sanitise(docs: DataFrame, min_entities: int = MIN_ENTITIES, reached: float = REACHED) -> DataFrame:
     """docs with every span generalised to its kind; null text stays null, other columns stay."""
-    doc, key, spans = fresh(docs, "doc", "key", "spans")
-    found = find(docs, **limits).where(F.size("all_spans") > 0).dropDuplicates(["doc_id", "text_hash"]).select(F.col("doc_id").alias(doc), F.col("text_hash").alias(key), F.col("all_spans").alias(spans))
-    joined = docs.join(found, docs["doc_id"].cast("long").eqNullSafe(F.col(doc)) & (F.xxhash64(docs["text"]) == F.col(key)), "left")
-    return joined.withColumn("text", F.when(F.col(spans).isNull(), F.col("text")).otherwise(replaced(F.col("text"), F.col(spans)))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    base, extra = fresh(docs, "base", "extra")
+    found = with_spans(docs, *learned(docs, min_entities, reached), base, extra)
+    spans = F.concat(F.col(base), F.col(extra))
+    return found.withColumn("text", F.when(F.size(spans) > 0, let(spans, lambda s: replaced(F.col("text"), s))).otherwise(F.col("text"))).select(*[F.col(f"`{c}`") for c in docs.columns])

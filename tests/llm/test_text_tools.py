@@ -50,38 +50,97 @@ def test_base_spans(spark):
     assert pii.sanitise(df).columns == df.columns
 
 
-def test_disclosing_terms(spark):
-    rows = [(i, f"Some words {i}.\nplease reachme at user{i}@mail.example today") for i in range(12)]
-    rows += [(100 + i, f"please do something today {i}") for i in range(100)]
-    rows += [(300, rows[0][1]), (None, rows[1][1]), (None, rows[1][1])]
-    df = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {x.doc_id: x.s for x in pii.find(df).select("doc_id", pii.as_text(F.col("all_spans")).alias("s")).collect()}
-    text = rows[3][1]
-    at = text.index("reachme")
-    assert f"term:{at}:{at + 7}" in got[3] and got[3].startswith("email:") and got[100] == ""
-    assert "<TERM>" in {x.doc_id: x.text for x in pii.sanitise(df).collect()}[3]
+def at_of(x):
+    kind, start, end = x.split(":")
+    return kind, int(start), int(end)
+
+
+def disclosing(texts, least=pii.MIN_ENTITIES, reached=pii.REACHED):
+    """Brute force: (terms, spans of each text)."""
+    own = {}
+    for t in {t or "" for t in texts}:
+        found = [at_of(x) for x in spans(t).split(",") if x]
+        b = list(t.replace("\x01", " "))
+        for _, i, j in found:
+            b[i:j] = "\x01" * (j - i)
+        b = "".join(b)
+        words = lambda x: set(re.findall(r"[^\W_]+", x.lower()))
+        own[t] = ({(k, t[i:j]) for k, i, j in found}, words(b), words("\n".join(x for x in b.split("\n") if "\x01" in x)), b)
+    q_text = sum(bool(e) for e, *_ in own.values()) / max(1, len(own))
+    q_line = sum(len(n) for _, _, n, _ in own.values()) / max(1, sum(len(w) for _, w, _, _ in own.values()))
+    out = set()
+    for term in set().union(*[w for _, w, _, _ in own.values()]):
+        held = [x for x in own.values() if term in x[1]]
+        hit, near = [x for x in held if x[0]], [x for x in held if term in x[2]]
+        for n, q in ((len(hit), q_text), (len(near), q_line)):
+            if n >= least and len(hit) >= least and 0 < q < 1 and n / len(held) >= q ** (1 - reached) - 1e-12 and len(set().union(*[x[0] for x in hit])) >= least:
+                out.add(term)
+    places = {t: [f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W_]+", b) if m[0].lower() in out] for t, (*_, b) in own.items()}
+    return out, [",".join([x for x in [spans(t or "")] if x] + places[t or ""]) for t in texts]
+
+
+def term_texts(seed):
+    r = random.Random(seed)
+    vocabulary = [f"w{k}" for k in range(40)] + ["été", "Größe", "\x01", "日本"]
+    texts = [None, "", "Reachme", "secretly\x01 reachme", "one u1@a.example REACHME " * 3]
+    for k in range(150):
+        lines = [" ".join(r.choices(vocabulary, k=r.randint(0, 9))) for _ in range(r.randint(1, 5))]
+        if r.random() < 0.3:
+            i = r.randrange(len(lines))
+            lines[i] += r.choice([" reachme ", " ", " Großbrief: "]) + r.choice([f"u{k % 60}@mail.example", "10.0.0.1", f"+1 (555) 000-{1000 + k}"]) + " " + r.choice(["secretly", "w1"])
+            if r.random() < 0.8:
+                lines.insert(0, r.choice(["token here", "Token there"]))
+        texts.append("\n".join(lines))
+    return texts + r.choices(texts, k=30) + [texts[-1]] * 200
+
+
+def test_terms_are_those_of_brute_force(spark):
+    texts = term_texts(0)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").selectExpr("*", *[f"{i} AS `{c}`" for i, c in enumerate(cases.CLASHING)]).repartition(3)
+    want_terms, want = disclosing(texts)
+    terms = {x.term: x for x in pii.disclosing_terms(pii.statistics(df)).collect()}
+    assert set(terms) == want_terms >= {"token", "reachme"} and not want_terms & {"w2", "a", "mail", "example", "555"}
+    assert [x.s for x in pii.find(df).orderBy("doc_id").select(pii.as_text(F.col("all_spans")).alias("s")).collect()] == want
+    clean = pii.sanitise(df)
+    assert clean.columns == df.columns
+    got = [x.text for x in clean.orderBy("doc_id").collect()]
+    for t, x, s in zip(texts, got, want, strict=True):
+        for kind, i, j in sorted((at_of(y) for y in s.split(",") if y), key=lambda y: -y[1]):
+            t = t[:i] + f"<{kind.upper()}>" + t[j:]
+        assert x == t
+
+
+def test_terms_at_the_edges(spark):
     assert pii.find(cases.empty(spark)).count() == pii.sanitise(cases.empty(spark)).count() == 0
-    # copies of one text are one entity
-    same = spark.createDataFrame([(i, rows[0][1]) for i in range(30)] + rows[20:60], "doc_id long, text string")
-    assert not any("term" in x.s for x in pii.find(same).select(pii.as_text(F.col("all_spans")).alias("s")).collect())
-
-
-def test_terms_disclose_at_every_rate_of_entities(spark):
-    def terms(rows):
-        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-        return {x.term for x in pii.disclosing_terms(df, pii.scanned(df), pii.MIN_ENTITIES, pii.MIN_SHARE, pii.MIN_BITS).collect()}
-
-    own = [(i, f"today some words {i}\nplease reachme today user{i}@mail.example") for i in range(12)]
-    own += [(50 + i, f"please wait today {i}") for i in range(8)]
-    # every text has an entity, or more than a quarter
-    assert terms([(i, x + "\nsome@one.example") for i, x in own]) >= {"reachme"} and not terms([(i, x + "\nsome@one.example") for i, x in own]) & {"please", "today", "words"}
-    assert terms(own) == {"reachme", "mail", "example"}
-    # a group of copies, with an entity or without, changes nothing
-    rest = [(200 + i, f"other things {i}") for i in range(60)]
-    want = terms(own + rest)
-    assert "reachme" in want and "please" not in want
-    for text in ("please other things hot@copy.example", "reachme other things"):
-        assert terms([*own, *rest, (900, text)]) == terms(own + rest + [(900 + i, text) for i in range(90)])
+    own = [f"please reachme today user{i}@mail.example" for i in range(12)]
+    for texts in (
+        [x + "\nsome words" for x in own] + ["words to reachme"],
+        # every text has an entity, so a text's terms tell nothing and a line's do
+        [x + "\nsome more words" for x in own] + [f"mail {i}\nplease, 10.0.0.{i}" for i in range(9)],
+        # a group of copies changes nothing; one entity in many texts, or many in one text, is not enough
+        own + [f"other things {i}" for i in range(30)] + [own[0]] * 100,
+        [f"hot{i % 3} always the@same.example {i}" for i in range(40)] + [f"plain {i}" for i in range(40)],
+        [" ".join(f"once u{i}@x.example" for i in range(50))] + [f"plain {i}" for i in range(40)],
+    ):
+        df = spark.createDataFrame([(i % 7 or None, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(2)
+        want_terms, want = disclosing(texts)
+        found, terms = pii.learned(df, pii.MIN_ENTITIES, pii.REACHED)
+        assert {x.term for x in terms.collect()} == want_terms
+        got = pii.with_spans(df, found, terms, "spans", "extra").select(pii.as_text(F.concat("spans", "extra")).alias("s"))
+        assert sorted(x.s for x in got.collect()) == sorted(want)
+    assert not want_terms
+
+
+def test_a_very_long_text_of_many_entities(spark):
+    n, m = 100_000, 20_000
+    lines = [f"write token u{i}@ex.example" for i in range(n)]
+    texts = ["\n".join(lines), " ".join(lines[:m])] + [f"token u{i}@ex.example" for i in range(9)] + [f"other {i}" for i in range(30)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    out = pii.with_spans(df, *pii.learned(df, pii.MIN_ENTITIES, pii.REACHED), "spans", "extra")
+    out = out.select("doc_id", F.size("spans").alias("n"), F.size("extra").alias("m"), pii.replaced(F.col("text"), F.concat("spans", "extra")).alias("clean"))
+    got = {x.doc_id: x for x in out.collect()}
+    assert [got[i][1:3] for i in (0, 1, 2, 20)] == [(n, n), (m, m), (1, 1), (0, 0)]
+    assert got[0].clean == "\n".join(["write <TERM> <EMAIL>"] * n) and got[1].clean == " ".join(["write <TERM> <EMAIL>"] * m)
 
 
 def test_token_files_round_trip(spark, tmp_path):
