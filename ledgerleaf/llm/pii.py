@@ -158,7 +158,7 @@ def key_of(text: Column) -> Column:
 
 
 def statistics(docs: DataFrame, min_entities: int = MIN_ENTITIES) -> DataFrame:
-    """One pass over the texts, written: key, entities, terms, near (the terms on lines with an entity).
+    """One pass over the texts, written: key, entities, terms, near (the terms on lines with an entity); terms joined by spaces.
 
     Of a text's entities the `min_entities` smallest are kept: a union over texts has that many different ones exactly
     where the union of what is kept has.
@@ -173,7 +173,12 @@ def statistics(docs: DataFrame, min_entities: int = MIN_ENTITIES) -> DataFrame:
 
     found = let(base_spans(text), lambda s: let(blanked(text, s), lambda b: of_blanked(b, s)))
     rows = select_required(docs, ["text"]).select(key_of(F.col("text")).alias("key"), found.alias("f"))
-    return written(rows.select("key", "f.entities", "f.terms", "f.near"), "pii")
+    return written(rows.select("key", "f.entities", F.array_join("f.terms", " ").alias("terms"), F.array_join("f.near", " ").alias("near")), "pii")
+
+
+def apart(terms: str) -> Column:
+    """The terms of a column of joined ones."""
+    return F.when(F.length(terms) > 0, F.split(terms, " ")).otherwise(F.array().cast("array<string>"))
 
 
 def disclosing_terms(found: DataFrame, min_entities: int = MIN_ENTITIES, reached: float = REACHED) -> DataFrame:
@@ -182,10 +187,10 @@ def disclosing_terms(found: DataFrame, min_entities: int = MIN_ENTITIES, reached
     # each term of a distinct text once, and once more where it is on a line with an entity
     texts = found.select("key", hit.alias("hit"), "terms", "near").dropDuplicates(["key"])
     flag = lambda x: F.lit(x).cast("long")
-    every = F.transform("terms", lambda t: F.struct(t.alias("term"), flag(1).alias("all"), F.col("hit").cast("long").alias("with"), flag(0).alias("near")))
-    near = F.transform("near", lambda t: F.struct(t.alias("term"), flag(0).alias("all"), flag(0).alias("with"), flag(1).alias("near")))
+    every = F.transform(apart("terms"), lambda t: F.struct(t.alias("term"), flag(1).alias("all"), F.col("hit").cast("long").alias("with"), flag(0).alias("near")))
+    near = F.transform(apart("near"), lambda t: F.struct(t.alias("term"), flag(0).alias("all"), flag(0).alias("with"), flag(1).alias("near")))
     counts = texts.select(F.inline(F.concat(every, near))).groupBy("term").agg(F.sum("all").alias("n_texts"), F.sum("with").alias("n_with"), F.sum("near").alias("n_near"))
-    sizes = found.select("key", hit.alias("hit"), F.size("terms").alias("all"), F.size("near").alias("near")).distinct()
+    sizes = found.select("key", hit.alias("hit"), F.size(apart("terms")).alias("all"), F.size(apart("near")).alias("near")).distinct()
     rates = sizes.agg(F.try_divide(F.count(F.when(F.col("hit"), 1)), F.count(F.lit(1))).alias("in_text"), F.try_divide(F.sum("near"), F.sum("all")).alias("on_line"))
 
     def tells(n: str, q: str) -> Column:
@@ -195,7 +200,7 @@ def disclosing_terms(found: DataFrame, min_entities: int = MIN_ENTITIES, reached
     # the rates are one row, an aggregate's
     strong = counts.where(F.col("n_with") >= min_entities).join(F.broadcast(rates)).where(tells("n_with", "in_text") | tells("n_near", "on_line")).drop("in_text", "on_line")
     strong = written(strong, "pii-strong")
-    pairs = found.where(hit).select("entities", F.explode("terms").alias("term")).join(strong.select("term"), "term", "left_semi")
+    pairs = found.where(hit).select("entities", F.explode(apart("terms")).alias("term")).join(strong.select("term"), "term", "left_semi")
     different = pairs.select("term", F.explode("entities").alias("entity")).distinct().groupBy("term").agg(F.count(F.lit(1)).alias("n_entities")).where(F.col("n_entities") >= min_entities)
     return written(strong.join(different, "term"), "pii-terms")
 
@@ -203,8 +208,9 @@ def disclosing_terms(found: DataFrame, min_entities: int = MIN_ENTITIES, reached
 def with_spans(docs: DataFrame, found: DataFrame, terms: DataFrame, base: str, extra: str) -> DataFrame:
     """docs with the base spans and the spans of disclosing terms, each an array of (kind, start, end, value) by start."""
     key, own = fresh(docs, "key", "own")
-    held = found.select("key", F.explode("terms").alias("term")).join(terms.select("term"), "term", "left_semi")
-    held = held.groupBy(F.col("key").alias(key)).agg(F.array_sort(F.collect_set("term")).alias(own))
+    held = found.select("key", F.explode(apart("terms")).alias("term")).join(terms.select("term"), "term", "left_semi")
+    # written, so that its size is known before the join is planned: the texts are shuffled only where it is too large to broadcast
+    held = written(held.groupBy(F.col("key").alias(key)).agg(F.array_sort(F.collect_set("term")).alias(own)), "pii-held")
     text = F.coalesce(F.col("text"), F.lit(""))
     # terms are letters and digits, so they stand in a pattern as they are
     pattern = F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}])(?:"), F.array_join(own, "|"), F.lit(r")(?![\p{L}\p{N}])"))
