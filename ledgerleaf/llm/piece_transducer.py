@@ -36,8 +36,9 @@ from pyspark.sql import types as T
 from ledgerleaf.llm.common import tidy
 
 SPACE = "▁"
-#: Stretches and arcs that a worker remembers; beyond it starts anew.
-REMEMBERED = 200_000
+#: Stretches that a worker remembers before those not used since are forgotten, and arcs before it starts anew.
+REMEMBERED = 120_000
+ARCS_REMEMBERED = 300_000
 LONGEST_REMEMBERED = 64
 _STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _AFTER_LETTERS = re.compile(r"(?<=[^\W\d_])(?=[\W\d_])")
@@ -67,6 +68,7 @@ class PieceTransducer:
         self.sides: dict[int, tuple] = {}
         self.longest = max(map(len, self.piece), default=1)
         self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
 
     def merged(self, text: str) -> tuple[list[str], list[tuple[str, str]]]:
         """What merging neighbours, best score first and leftmost of equals, makes of a short text, and the merges in order."""
@@ -127,18 +129,19 @@ class PieceTransducer:
 
     def constraint(self, last: int, piece: int) -> float:
         """The weight of C's arc from one piece to the next; -1 stands for the start, and for bytes, which never merge."""
-        arc = self.arcs.get(last << 32 | piece)
+        key = last * len(self.text) + piece
+        arc = self.arcs.get(key)
         if arc is None:
-            if len(self.arcs) > REMEMBERED:
+            if len(self.arcs) > ARCS_REMEMBERED:
                 self.arcs.clear()
             fits = self.of_sides(piece)[0] if last < 0 else self.apart(last, piece)
-            arc = self.arcs[last << 32 | piece] = 0.0 if fits else INFINITY
+            arc = self.arcs[key] = 0.0 if fits else INFINITY
         return arc
 
     def shortest_path(self, stretch: str) -> tuple[int, ...]:
         """The ids on the lightest path of the composition with a stretch of normalised text."""
         # states[i]: last piece -> (weight, position before, last piece before, ids of the arc)
-        size, pieces, longest, arcs = len(stretch), self.piece, self.longest, self.arcs
+        size, pieces, longest, arcs, n_pieces = len(stretch), self.piece, self.longest, self.arcs, len(self.text)
         states: list[dict[int, tuple]] = [{} for _ in range(size + 1)]
         states[0][-1] = (0.0, -1, -1, ())
         for i in range(size):
@@ -151,7 +154,7 @@ class PieceTransducer:
                     continue
                 there = states[j]
                 for last, (weight, *_) in here.items():
-                    arc = arcs.get(last << 32 | piece)
+                    arc = arcs.get(last * n_pieces + piece)
                     if arc is None:
                         arc = self.constraint(last, piece)
                     total = weight + 1 + arc
@@ -177,7 +180,8 @@ class PieceTransducer:
         Merging reaches every place of a stretch in one state, so the search keeps one, found by looking back from the
         place; what a stretch has in common with the one before it is not searched again.
         """
-        ended, arcs = self.ended, self.arcs
+        ended, n_pieces = self.ended, len(self.text)
+        piece_of, arc_of = ended.get, self.arcs.get
         out: list[tuple[int, ...] | None] = []
         last: list[int | None] = [-1]
         before = [0]
@@ -189,25 +193,27 @@ class PieceTransducer:
             del last[k + 1 :], before[k + 1 :]
             previous = s
             for j in range(k + 1, len(s) + 1):
-                state, i = None, j - 1
-                while i >= 0:
-                    piece = ended.get(s[i:j])
+                for i in range(j - 1, -1, -1):
+                    piece = piece_of(s[i:j])
                     if piece is None:
+                        piece = -1
                         break
                     if piece >= 0:
                         at = last[i]
                         if at is not None:
-                            arc = arcs.get(at << 32 | piece)
+                            arc = arc_of(at * n_pieces + piece)
                             if arc is None:
                                 arc = self.constraint(at, piece)
                             if not arc:
-                                state = piece
                                 break
-                    i -= 1
-                if state is None and last[j - 1] is not None and ended.get(s[j - 1], -1) < 0:
-                    state, i = -1, j - 1
-                last.append(state)
-                before.append(i)
+                            piece = -1
+                if piece >= 0:
+                    last.append(piece)
+                    before.append(i)
+                else:
+                    # no piece ends the path here: a character that is none goes out as bytes
+                    last.append(-1 if last[j - 1] is not None and ended.get(s[j - 1], -1) < 0 else None)
+                    before.append(j - 1)
             ids: list[int] | None = []
             j = len(s)
             while j:
@@ -238,9 +244,11 @@ class PieceTransducer:
 
     def of_stretches(self, stretches: list[str]) -> list[tuple[int, ...]]:
         """The ids of different stretches."""
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+        if len(self.known) > REMEMBERED:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
+        if older:  # what is still in use comes over
+            known.update((s, older[s]) for s in stretches if s in older)
         divided = {s: self.divided(s) for s in stretches if s not in known}
         new = sorted({p for parts in divided.values() for p in parts if p not in known})
         found = dict(zip(new, self.only_paths(new), strict=True))
