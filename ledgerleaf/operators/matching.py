@@ -19,8 +19,12 @@ def all_targets(rows: DataFrame, text: Column, targets: DataFrame, match: Match
 
     The list of targets is a control input of dozens of rows, so it is the side that is broadcast.
     """
+    listed = usable(targets).select(F.col("ord").alias("target_ord"), "target")
+    if match is target_match:  # each side is normalised once, not once a pair
+        rows, listed = rows.withColumn("_text", normalize_string(text)), listed.withColumn("_norm", normalize_string(F.col("target")))
+        return rows.join(F.broadcast(listed), F.col("_text").contains(F.col("_norm"))).drop("_text", "_norm")
     rows = rows.withColumn("_text", text)
-    return rows.join(F.broadcast(usable(targets).select(F.col("ord").alias("target_ord"), "target")), match(F.col("_text"), F.col("target"))).drop("_text")
+    return rows.join(F.broadcast(listed), match(F.col("_text"), F.col("target"))).drop("_text")
 
 
 def first_target(rows: DataFrame, key: list[str], text: Column, targets: DataFrame, match: Match = target_match) -> DataFrame:
@@ -38,4 +42,5 @@ def first_target_of(text: Column, targets: list[str], match: Match = target_matc
 
 
 def members(rows: DataFrame, column: str, targets: DataFrame) -> DataFrame:
-    return rows.join(F.broadcast(targets.select(F.col("target").alias(column)).distinct()), column, "left_semi")
+    """rows whose column is a target; the targets are broadcast only where Spark finds them small enough."""
+    return rows.join(targets.select(F.col("target").alias(column)), column, "left_semi")
