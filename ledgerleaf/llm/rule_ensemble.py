@@ -180,7 +180,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
     known = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     # max_rows bounds this side
     rows = with_statistics(docs.select("doc_id", "text").join(F.broadcast(known.select("doc_id")), "doc_id", "left_semi"))
-    got = rows.join(F.broadcast(known), "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "_label", *STATISTICS).collect()
+    # of texts that share an id the least statistics count, so that the same tables give the same model
+    one = rows.groupBy("doc_id").agg(F.min(F.struct(*STATISTICS)).alias("s")).select("doc_id", "s.*")
+    got = one.join(F.broadcast(known), "doc_id").select("doc_id", "_label", *STATISTICS).collect()
     got.sort(key=lambda r: r["doc_id"])
     return fit(np.array([[r[k] for k in STATISTICS] for r in got]).reshape(-1, len(STATISTICS)), np.array([r["_label"] for r in got]))
 

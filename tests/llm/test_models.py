@@ -154,3 +154,23 @@ def test_licences_and_inheritance(spark):
     got = sorted(((r.doc_id or 0, r.license, r.origin) for r in licenses.scan(df).collect()), key=str)
     assert got == sorted([(0, "MIT", "inherited"), (1, "MIT", "file"), (2, "MIT", "inherited"), (2, "MIT", "inherited"), (3, "Apache-2.0", "header"), (4, "GPL-3.0", "inherited"), (5, "GPL-3.0", "file"), (6, None, None), (7, None, None), (8, "CC-BY-NC-4.0", "file")], key=str)
     assert licenses.scan(spark.createDataFrame([], "doc_id long, path string, text string")).count() == 0
+
+
+def test_the_sample_is_that_of_the_smallest_hashes(spark):
+    df, rows = cases.documents(spark, seed=12, n=300)
+    items = decontamination.prepared(df.select("doc_id", "text"), [(1, "alpha beta gamma delta epsilon zeta eta"), (2, "theta iota kappa lambda mu nu xi")], decontamination.STOP_SHARE)
+    take = lambda d, n: [(r.h, r.terms) for r in decontamination.sample_of(d, items, n).collect()]
+    every = take(df, 10**6)
+    assert len(every) > 60 and every == sorted(every, key=lambda r: r[0])
+    for n in (1, 20, 60):
+        for parts in (1, 5):
+            assert sorted(take(df.repartition(parts), n)) == sorted(every[:n])
+
+
+def test_the_model_does_not_depend_on_the_order_of_repeated_rows(spark):
+    r = random.Random(4)
+    rows = [(i, cases.sentence(r, r.randint(1, 80)), None, None, None) for i in range(120)]
+    rows += [(i, cases.sentence(r, 5), None, None, None) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id long, quality int")
+    one, two = (rule_ensemble.train(spark.createDataFrame(x, cases.SCHEMA).repartition(k), labels) for x, k in ((rows, 2), (rows[::-1], 5)))
+    assert str(one.column()) == str(two.column())
