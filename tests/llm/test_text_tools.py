@@ -246,3 +246,29 @@ def test_pipeline_stages(spark, tmp_path):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, str(tmp_path))
         assert docs.columns == [f.name for f in cases.SCHEMA]
+
+
+def test_pipeline_stages_stand_odd_tables(spark, tmp_path):
+    import corpus_pipeline
+
+    df, rows = cases.documents(spark, seed=21, n=40)
+    df = df.unionByName(df.where("doc_id < 12")).unionByName(df.where("doc_id = 20").withColumn("doc_id", F.lit(None).cast("long")))
+    spark.createDataFrame([(1, None), (None, "alpha beta"), (2, "")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    for table, stages in ((df, corpus_pipeline.STAGES), (cases.empty(spark), corpus_pipeline.STAGES)):
+        for name, stage in stages:
+            out = stage(spark, table, str(tmp_path))
+            ids = [r.doc_id for r in out.select("doc_id").collect()]
+            if name == "SentencePiece encoding and decoding":
+                assert out.columns == ["doc_id", "lang", "source", "n_tokens", "input_ids", "text"]
+            else:
+                assert out.columns == table.columns
+            if table is not df:
+                assert ids == []
+            elif name == "n-gram Jaccard join":
+                assert len(ids) == len(set(ids)) and {None, 0, 1, 2} <= set(ids) <= {None, *(r[0] for r in rows)}
+            elif name == "quality rules":
+                assert not {0, 1, 2, 3} & set(ids) and ids
+            else:  # nothing is taken away
+                assert len(ids) == len(rows) + 13
+            if name == "PII":
+                assert {r.text for r in out.where("doc_id = 0").collect()} <= {None}
