@@ -5,7 +5,7 @@ from __future__ import annotations
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +63,20 @@ def tidy() -> None:
         ctypes.CDLL(None).malloc_trim(0)
 
 
+@contextlib.contextmanager
+def collector_paused() -> Iterator[None]:
+    """In a Python worker: no search for cycles meanwhile, for code that makes many small objects and no cycles."""
+    import gc
+
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

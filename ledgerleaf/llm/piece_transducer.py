@@ -25,15 +25,17 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerleaf.llm.common import tidy
+from ledgerleaf.llm.common import collector_paused, tidy
 
 SPACE = "▁"
 #: Stretches that a worker remembers before those not used since are forgotten, and arcs before it starts anew.
@@ -67,8 +69,9 @@ class PieceTransducer:
         self.arcs: dict[int, float] = {}
         self.sides: dict[int, tuple] = {}
         self.longest = max(map(len, self.piece), default=1)
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        # ids as the bytes of 32-bit integers, which the collector of cycles does not follow
+        self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def merged(self, text: str) -> tuple[list[str], list[tuple[str, str]]]:
         """What merging neighbours, best score first and leftmost of equals, makes of a short text, and the merges in order."""
@@ -242,40 +245,50 @@ class PieceTransducer:
     def stretches(self, text: str) -> list[str]:
         return _STRETCH.findall(SPACE + text.replace(" ", SPACE)) if text else []
 
-    def of_stretches(self, stretches: list[str]) -> list[tuple[int, ...]]:
-        """The ids of different stretches."""
+    def of_stretches(self, stretches: list[str]) -> list[bytes]:
+        """The ids of different stretches, each as the bytes of 32-bit integers."""
         if len(self.known) > REMEMBERED:
             self.older, self.known = self.known, {}
         known, older = self.known, self.older
+        unknown = [s for s in stretches if s not in known]
         if older:  # what is still in use comes over
-            known.update((s, older[s]) for s in stretches if s in older)
-        divided = {s: self.divided(s) for s in stretches if s not in known}
+            known.update((s, older[s]) for s in unknown if s in older)
+            unknown = [s for s in unknown if s not in known]
+        divided = {s: self.divided(s) for s in unknown}
         new = sorted({p for parts in divided.values() for p in parts if p not in known})
-        found = dict(zip(new, self.only_paths(new), strict=True))
-        for p, ids in found.items():
-            if ids is None:
-                found[p] = self.shortest_path(p)
+        found = {}
+        for p, ids in zip(new, self.only_paths(new), strict=True):
+            found[p] = array("i", self.shortest_path(p) if ids is None else ids).tobytes()
         get = lambda p: known[p] if p in known else found[p]
-        out = [known[s] if s not in divided else get(s) if len(divided[s]) == 1 else tuple(x for p in divided[s] for x in get(p)) for s in stretches]
-        known.update((s, ids) for s, ids in found.items() if len(s) <= LONGEST_REMEMBERED)
-        known.update((s, ids) for s, ids in zip(stretches, out, strict=True) if len(s) <= LONGEST_REMEMBERED)
+        made = {s: get(s) if len(parts) == 1 else b"".join(map(get, parts)) for s, parts in divided.items()}
+        out = [made[s] if s in made else known[s] for s in stretches]
+        known.update((s, ids) for s, ids in (found | made).items() if len(s) <= LONGEST_REMEMBERED)
         return out
 
     def encode_many(self, texts: list[str]) -> list[np.ndarray]:
-        parts = [self.stretches(t) for t in texts]
-        coded = pa.array([s for p in parts for s in p], pa.string()).dictionary_encode()
-        ids = self.of_stretches(coded.dictionary.to_pylist())
+        with collector_paused():
+            return self._encode_many(texts)
+
+    def _encode_many(self, texts: list[str]) -> list[np.ndarray]:
+        # words between single spaces are cut out by the column library, other texts by `stretches`
+        plain = [bool(t) and t[0] != " " and t[-1] != " " and "  " not in t and SPACE not in t for t in texts]
+        words = pc.split_pattern(pa.array([t for t, p in zip(texts, plain, strict=True) if p], pa.large_string()), " ")
+        parts = [self.stretches(t) for t, p in zip(texts, plain, strict=True) if not p]
+        cut = words.flatten().dictionary_encode(), pa.array([s for p in parts for s in p], pa.large_string()).dictionary_encode()
+        n_words = len(cut[0].dictionary)
+        ids = self.of_stretches([*map(SPACE.__add__, cut[0].dictionary.to_pylist()), *cut[1].dictionary.to_pylist()])
         if not ids:
             return [np.zeros(0, np.int32) for _ in texts]
-        length = np.array([len(x) for x in ids])
-        flat = np.fromiter((x for i in ids for x in i), np.int32, int(length.sum()))
+        length = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat = np.frombuffer(b"".join(ids), np.int32)
         begin = np.cumsum(length) - length
-        at = coded.indices.to_numpy()
-        n = length[at]
-        after = np.cumsum(n)
-        out = flat[np.repeat(begin[at] - (after - n), n) + np.arange(int(after[-1]))]
-        ends = np.concatenate([[0], after])[np.cumsum([len(p) for p in parts])]
-        return np.split(out, ends[:-1])
+        rows = []
+        for at, sizes in ((cut[0].indices.to_numpy(), np.diff(words.offsets.to_numpy())), (cut[1].indices.to_numpy() + n_words, [len(p) for p in parts])):
+            n = length[at]
+            after = np.concatenate([[0], np.cumsum(n)])
+            out = flat[np.repeat(begin[at] - after[:-1], n) + np.arange(int(after[-1]))]
+            rows.append(iter(np.split(out, after[np.cumsum(sizes, dtype=np.int64)][:-1])))
+        return [next(rows[not p]) for p in plain]
 
     def encode(self, text: str) -> list[int]:
         return self.encode_many([text])[0].tolist()
