@@ -34,13 +34,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import rows_of
-from ledgerleaf.llm.common import free_shuffles, shared_folder, shuffle_partitions, tidy, written
+from ledgerleaf.llm.common import collector_paused, free_shuffles, shared_folder, shuffle_partitions, tidy, written
 
 SCALE = 20
 LANES = 1024
 CHECKPOINT = 512
 BLOCK_BYTES = 4 << 20
-#: Words that a worker remembers; beyond it starts anew.
+#: Words that a worker remembers; beyond it the half used longest ago is forgotten.
 REMEMBERED = 700_000
 _LOW = np.uint64(1 << 31)
 _U = np.uint64
@@ -76,14 +76,29 @@ class WordEncoder:
         self.cut = plain[0] if plain else None
         self.added = [x["content"] for x in form["added_tokens"]]
         self.parts: dict[str, bytes] = {}
-        self.forget()
-
-    def forget(self) -> None:
+        self.older: dict[str, bytes] = {}
         self.number: dict[str, int] = {}
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 1
-        self.flat[0] = self.end_id
-        self.begin, self.length = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.flat[0] = end_id
+        self.begin, self.length, self.seen = (np.zeros(1 << 16, np.int64) for _ in range(3))
         self.length[0] = 1  # number 0 is the end of a document
+        self.clock = 0
+
+    def forget(self, keep: int) -> None:
+        """Remember the `keep` words used last, and no others."""
+        n = len(self.number) + 1
+        kept = np.zeros(n, bool)
+        kept[1 + np.argsort(-self.seen[1:n], kind="stable")[:keep]] = True
+        kept[0] = True
+        length, old = self.length[:n][kept], self.begin[:n][kept]
+        begin = np.cumsum(length) - length
+        self.used = int(length.sum())
+        flat = self.flat[np.repeat(old - begin, length) + np.arange(self.used)]
+        self.flat = np.concatenate([flat, np.zeros(1 << 16, np.uint32)])
+        seen = self.seen[:n][kept]
+        self.begin, self.length, self.seen = (np.concatenate([x, np.zeros(1 << 16, np.int64)]) for x in (begin, length, seen))
+        words = [w for w, k in zip(self.number, kept[1:].tolist(), strict=True) if k]  # numbers follow the order of entry
+        self.number = dict(zip(words, range(1, len(words) + 1), strict=True))
 
     def encoded(self, words: list[str]) -> list[list[int]]:
         """The ids of each word, from the library."""
@@ -110,20 +125,22 @@ class WordEncoder:
         return out
 
     def learn(self, new: list[str]) -> None:
-        split = [_LETTERS_SIGNS.fullmatch(w) if self.apart else None for w in new]
-        parts = {x for m in split if m for x in m.groups()} | {w for w, m in zip(new, split, strict=True) if not m}
-        if len(self.parts) + len(parts) > REMEMBERED:
-            self.parts.clear()
-        known = self.parts
+        split = [m.groups() if m else None for m in map(_LETTERS_SIGNS.fullmatch, new)] if self.apart else [None] * len(new)
+        parts = {x for m in split if m for x in m} | {w for w, m in zip(new, split, strict=True) if not m}
+        if len(self.parts) > REMEMBERED // 2:
+            self.older, self.parts = self.parts, {}
+        known, older = self.parts, self.older
+        if older:  # what is still in use comes over
+            known.update((x, older[x]) for x in parts if x in older and x not in known)
         ask = [x for x in parts if x not in known]
         known.update((x, array("I", ids).tobytes()) for x, ids in zip(ask, self.encoded(ask), strict=True))
-        got = [known[m[1]] + known[m[2]] if m else known[w] for w, m in zip(new, split, strict=True)]
+        got = [known[m[0]] + known[m[1]] if m else known[w] for w, m in zip(new, split, strict=True)]
         first, n = len(self.number) + 1, len(new)
         self.number.update(zip(new, range(first, first + n), strict=True))
         length = np.fromiter(map(len, got), np.int64, n) // 4
         total = int(length.sum())
         while first + n > len(self.begin):
-            self.begin, self.length = np.resize(self.begin, 2 * len(self.begin)), np.resize(self.length, 2 * len(self.length))
+            self.begin, self.length, self.seen = (np.resize(x, 2 * len(x)) for x in (self.begin, self.length, self.seen))
         while self.used + total > len(self.flat):
             self.flat = np.resize(self.flat, 2 * len(self.flat))
         self.flat[self.used : self.used + total] = np.frombuffer(b"".join(got), np.uint32)
@@ -140,11 +157,13 @@ class WordEncoder:
         coded = parts.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         if len(self.number) + len(distinct) > REMEMBERED:
-            self.forget()
+            self.forget(REMEMBERED // 2)
         new = [w for w in distinct if w not in self.number]
         if new:
             self.learn(new)
         numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
+        self.clock += 1
+        self.seen[numbers] = self.clock
         word = numbers[coded.indices.to_numpy()] if len(distinct) else np.zeros(0, np.int64)
         ends = np.cumsum(in_text)
         word = np.insert(word, ends, 0)
@@ -179,7 +198,8 @@ def tokenised(batches: Iterator[pa.RecordBatch], path: str, end_id: int, block_b
 
     def flush(last: bool) -> pa.RecordBatch:
         nonlocal total
-        tokens, sizes = encoder(path, end_id).encode(texts)
+        with collector_paused():
+            tokens, sizes = encoder(path, end_id).encode(texts)
         n = np.bincount(tokens, minlength=len(total))
         n[: len(total)] += total
         total = n
