@@ -8,7 +8,7 @@ import cases
 import numpy as np
 import public_tokenizers
 import pytest
-from ledgerleaf.llm import pii, token_files
+from ledgerleaf.llm import piece_transducer, pii, token_files
 from ledgerleaf.llm.piece_transducer import PieceTransducer, decode, encode, round_trip
 from pyspark.sql import functions as F
 
@@ -272,3 +272,23 @@ def test_pipeline_stages_stand_odd_tables(spark, tmp_path):
                 assert len(ids) == len(rows) + 13
             if name == "PII":
                 assert {r.text for r in out.where("doc_id = 0").collect()} <= {None}
+
+
+def test_encoders_that_forget_give_the_same_ids(monkeypatch):
+    """Little memory: words and stretches are forgotten and met again, beside odd spaces, white space and long words."""
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(token_files, "REMEMBERED", 60)
+    monkeypatch.setattr(piece_transducer, "REMEMBERED", 20)
+    r = random.Random(3)
+    vocabulary = ["".join(r.choice("abcdeé,.1") for _ in range(r.randint(1, 9))) for _ in range(400)] + ["x" * 500, "日本", "▁"]
+    word_path, piece_path = public_tokenizers.path("word_bpe_49k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    words, pieces = token_files.WordEncoder(word_path, 1), piece_transducer.PieceTransducer(piece_path)
+    library, fresh = Tokenizer.from_file(word_path), piece_transducer.PieceTransducer(piece_path)
+    for _ in range(30):
+        texts = ["".join(r.choice(vocabulary) + r.choice([" ", " ", " ", "  ", "\n"]) for _ in range(r.randint(0, 12))).rstrip(r.choice([" ", "\n"])) for _ in range(r.randint(1, 9))]
+        ids, sizes = words.encode(texts)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(sizes)[:-1])] == [[*library.encode(t, add_special_tokens=False).ids, 1] for t in texts]
+        got = pieces.encode_many(texts)
+        assert [x.tolist() for x in got] == [[i for s in fresh.stretches(t) for i in fresh.shortest_path(s)] for t in texts]
+    assert len(words.number) <= 30 + 120
