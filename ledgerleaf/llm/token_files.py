@@ -53,13 +53,18 @@ BLOCKS = "block long, ids array<bigint>, sizes array<bigint>, n_tokens long, wor
 _SIMPLE = {"NFC", "Replace", "Lowercase"}
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _LETTERS_SIGNS = re.compile(r"([a-zß-öø-ÿ]+)([!-&(-/:-@\[-`{-~]+)")
+_RUN = re.compile(r"[a-zß-öø-ÿ]+|[!-&(-/:-@\[-`{-~]+")
+#: The bytes that a byte-level model spells as themselves; the others, in order, are the code points from 256 on.
+_SPELLED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LEVEL = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SPELLED)}
 
 
 class WordEncoder:
     """Token ids of many texts, each word encoded once for as long as it is remembered.
 
     Where the tokenizer is known to encode letters and the signs after them apart, words are put together from those.
-    Words to be encoded are joined by a special token, whose id then cuts the ids: one call of the library for many.
+    A run of either is one piece to the pre-tokeniser and nothing to the normaliser, so the library's model is asked for
+    it directly. Other words are joined by a special token, whose id then cuts the ids: one call of the library for many.
     """
 
     def __init__(self, path: str, end_id: int):
@@ -75,6 +80,9 @@ class WordEncoder:
         plain = [x for x in form["added_tokens"] if x["special"] and not (x["lstrip"] or x["rstrip"] or x["normalized"] or x["single_word"])]
         self.cut = plain[0] if plain else None
         self.added = [x["content"] for x in form["added_tokens"]]
+        byte_level = len(splits) == 2 and {k: splits[1].get(k) for k in ("type", "add_prefix_space", "use_regex")} == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": False}
+        self.direct = self.apart and byte_level and not any(_RUN.fullmatch(x.lower()) for x in self.added)
+        self.model = self.tokenizer.model
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.number: dict[str, int] = {}
@@ -102,6 +110,15 @@ class WordEncoder:
 
     def encoded(self, words: list[str]) -> list[list[int]]:
         """The ids of each word, from the library."""
+        if not self.direct:
+            return self.through_all(words)
+        tokenize = self.model.tokenize
+        runs = [bool(_RUN.fullmatch(w)) for w in words]
+        rest = iter(self.through_all([w for w, run in zip(words, runs, strict=True) if not run]))
+        return [[t.id for t in tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(_BYTE_LEVEL))] if run else next(rest) for w, run in zip(words, runs, strict=True)]
+
+    def through_all(self, words: list[str]) -> list[list[int]]:
+        """The ids of each word, through all steps of the tokenizer."""
         if not self.cut:
             return [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         text, token = self.cut["content"], self.cut["id"]

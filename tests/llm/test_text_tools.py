@@ -292,3 +292,17 @@ def test_encoders_that_forget_give_the_same_ids(monkeypatch):
         got = pieces.encode_many(texts)
         assert [x.tolist() for x in got] == [[i for s in fresh.stretches(t) for i in fresh.shortest_path(s)] for t in texts]
     assert len(words.number) <= 30 + 120
+
+
+def test_runs_asked_of_the_model_alone_have_the_librarys_ids():
+    """Runs of letters or signs, also accented, doubled, very long, or like an added token; and words that are no such run."""
+    from tokenizers import Tokenizer
+
+    r = random.Random(5)
+    letters, signs = "abcdefghijklmnopqrstuvwxyzßàéöøüÿ", "!#$%&()*+,-./:;<=>?@[]^_`{|}~\"\\"
+    runs = ["".join(r.choice(some) for _ in range(r.randint(1, 14))) for some in (letters, signs) for _ in range(2000)] + ["é" * 3000, "<|", "startoftext", "ÿ"]
+    other = ["<|startoftext|>", "a1", "don't", "x.y", "1999", "日本", "Ä", "÷", "é", "ﬁ", "'s", "ab'", " a"]
+    words = [w for w in runs for w in (w, r.choice(other))]
+    library, ours = Tokenizer.from_file(WORDS), token_files.WordEncoder(WORDS, 1)
+    assert ours.direct
+    assert ours.encoded(words) == [library.encode(w, add_special_tokens=False).ids for w in words]
