@@ -72,6 +72,7 @@ class PieceTransducer:
         # ids as the bytes of 32-bit integers, which the collector of cycles does not follow
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
+        self.spelled: pa.Array | None = None  # the bytes of each piece, once something is decoded
 
     def merged(self, text: str) -> tuple[list[str], list[tuple[str, str]]]:
         """What merging neighbours, best score first and leftmost of equals, makes of a short text, and the merges in order."""
@@ -302,11 +303,17 @@ class PieceTransducer:
 
     def decode_many(self, rows: list[np.ndarray]) -> list[str]:
         """As decode, the pieces of many rows looked up at once."""
-        spelled = [bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else s.encode() for i, s in enumerate(self.text)] if not hasattr(self, "_spelled") else self._spelled
-        self._spelled = spelled
+        if self.spelled is None:
+            self.spelled = pa.array([bytes([self.byte_of[i]]) if i in self.byte_of else b"" if i in self.silent else s.encode() for i, s in enumerate(self.text)], pa.large_binary())
+        if not rows:
+            return []
+        taken = self.spelled.take(pa.array(np.concatenate(rows)))
+        _, offsets, data = taken.buffers()
+        raw = data.to_pybytes() if data else b""
+        ends = np.frombuffer(offsets, np.int64)[np.cumsum([len(row) for row in rows])].tolist() if len(taken) else [0] * len(rows)
         out = []
-        for row in rows:
-            text = b"".join(map(spelled.__getitem__, row.tolist())).decode("utf-8", "replace").replace(SPACE, " ")
+        for begin, end in zip([0, *ends[:-1]], ends, strict=True):
+            text = raw[begin:end].decode("utf-8", "replace").replace(SPACE, " ")
             out.append(text[1:] if text[:1] == " " else text)
         return out
 

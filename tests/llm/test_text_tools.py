@@ -306,3 +306,14 @@ def test_runs_asked_of_the_model_alone_have_the_librarys_ids():
     library, ours = Tokenizer.from_file(WORDS), token_files.WordEncoder(WORDS, 1)
     assert ours.direct
     assert ours.encoded(words) == [library.encode(w, add_special_tokens=False).ids for w in words]
+
+
+def test_rows_decoded_together_equal_rows_decoded_alone():
+    """Empty rows first, between and last; bytes that are no text; control pieces; no row at all."""
+    r = random.Random(7)
+    ours = PieceTransducer(PIECES)
+    texts = ["", "one", "", "日本 ok", "\U0001f984", " two  three ", "", ""]
+    rows = [np.array(ours.encode(t), np.int32) for t in texts] + [np.array([r.randrange(len(ours.text)) for _ in range(r.randint(0, 40))], np.int32) for _ in range(300)]
+    rows += [np.array([ours.of_byte[0xFF], *ours.silent], np.int32), np.zeros(0, np.int32)]
+    assert ours.decode_many(rows) == [ours.decode(row.tolist()) for row in rows]
+    assert ours.decode_many([np.zeros(0, np.int32)] * 2) == ["", ""] and ours.decode_many([]) == []
