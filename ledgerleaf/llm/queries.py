@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import decontamination, licenses, line_rules, ngram_join, piece_transducer, pii, rule_ensemble, token_files
+from ledgerleaf.llm import decontamination, licenses, line_rules, mixing, ngram_join, piece_transducer, pii, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 from ledgerleaf.llm.suffix_dedup import dedup_bytes
@@ -66,6 +66,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"))
 
 
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_rule_ensemble": op1_rule_ensemble,
     "op2_line_rules": op2_line_rules,
@@ -77,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_ngram_join": op10_ngram_join,
+    "op13_mixing": op13_mixing,
 }
 
 #: Word positions restart in each document; lists are 1-based.
@@ -134,4 +139,22 @@ SELECT d.doc_id, d.path, coalesce(h.license, f.license) AS license, coalesce(h.s
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN f ON h.license IS NULL AND f.dir = regexp_replace(d.path, '/[^/]*$', '')
 """
 
-ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL, "op8_licenses": OP8_SQL}
+#: Sources from the one with the fewest words for its weight on: the first that isn't above its limit sets the level of the rest.
+OP13_SQL = f"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
+                  ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 15))::BIGINT AS place FROM documents),
+w AS (SELECT source, sum(size)::BIGINT AS source_size, [{", ".join(f"{float(w)}" for w in mixing.WEIGHTS)}][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.WEIGHTS)}] AS w FROM d GROUP BY source),
+o AS (SELECT *, source_size / w AS ratio, sum({mixing.LIMIT} * source_size) OVER u AS most, sum(w) OVER u AS weighs FROM w
+      WINDOW u AS (ORDER BY source_size / w, source NULLS LAST ROWS UNBOUNDED PRECEDING)),
+l AS (SELECT *, (sum(source_size) OVER () - most + {mixing.LIMIT} * source_size)::DOUBLE AS rest, (sum(w) OVER () - weighs + w)::DOUBLE AS among FROM o),
+level AS (SELECT rest, among FROM l WHERE {mixing.LIMIT} * source_size > rest * w / among ORDER BY ratio, source NULLS LAST LIMIT 1),
+t AS (SELECT w.source, source_size, CASE WHEN {mixing.LIMIT} * source_size > rest * w / among THEN rest * w / among ELSE {mixing.LIMIT} * source_size END AS target
+      FROM w LEFT JOIN level ON true),
+x AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS whole,
+             sum(size) OVER (PARTITION BY d.source ORDER BY place, size, doc_id ROWS UNBOUNDED PRECEDING) - size AS before
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target::DOUBLE AS target,
+       (size * (whole + CASE WHEN 2 * (target - whole * source_size - before) >= size THEN 1 ELSE 0 END))::BIGINT AS taken FROM x
+"""
+
+ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL, "op8_licenses": OP8_SQL, "op13_mixing": OP13_SQL}
