@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import decontamination, licenses, line_rules, mixing, ngram_join, piece_transducer, pii, rule_ensemble, token_files
+from ledgerleaf.llm import decontamination, licenses, line_rules, mixing, ngram_join, piece_transducer, pii, ranking, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 from ledgerleaf.llm.suffix_dedup import dedup_bytes
@@ -66,6 +66,31 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    apart = F.col("sale_id").isNotNull() & (F.crc32(F.col("sale_id").cast("string").cast("binary")) % 5 == 0)
+
+    def key(value: Column) -> Column:
+        return F.when(apart, F.lit(-1)).otherwise(value).cast("long")
+
+    def rounded(value: Column) -> Column:  # a double that is no number of a long's range is none
+        whole = F.floor(F.lit(100) * value + 0.5)
+        return F.when(F.abs(value) < 9e16, whole).cast("long")
+
+    lines = table(spark, sf_dir, "sale_lines").select(
+        key(F.col("vendor_id")).alias("vendor_id"),
+        key(F.coalesce(F.col("item_id") % 2, F.lit(-1))).alias("part"),
+        key(F.coalesce(100 * F.year("shipped_at") + F.month("shipped_at"), F.lit(-1))).alias("month"),
+        F.col("sale_id").cast("long").alias("sale_id"),
+        F.col("line_no").cast("long").alias("line_no"),
+        F.col("quantity").cast("long").alias("quantity"),
+        F.floor(F.col("quantity") / 10).cast("long").alias("tens"),
+        rounded(F.col("discount")).alias("percent"),
+        rounded(F.col("amount")).alias("amount_cents"),
+    )
+    out = ranking.ranked(lines, ["vendor_id", "part", "month"], [("tens", True), ("percent", False)], ["sale_id", "line_no", "quantity", "amount_cents"], top=5)
+    return out.select("vendor_id", "part", "month", "pos", "place", "sale_id", "line_no", "quantity", "percent", "amount_cents", "tied")
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -81,6 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_token_files": op9_token_files,
     "op10_ngram_join": op10_ngram_join,
+    "op11_ranked_ties": op11_ranked_ties,
     "op13_mixing": op13_mixing,
 }
 
@@ -139,6 +165,22 @@ SELECT d.doc_id, d.path, coalesce(h.license, f.license) AS license, coalesce(h.s
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN f ON h.license IS NULL AND f.dir = regexp_replace(d.path, '/[^/]*$', '')
 """
 
+#: Places by dense_rank over a sort of each group; crc32 by steps over a list of bytes, eight shifts (-1) after each.
+OP11_SQL = """
+WITH ids AS (SELECT sale_id, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], flatten(list_transform(string_split(sale_id::VARCHAR, ''),
+                 lambda c: [ord(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+                 lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END)) % 5 = 0 AS apart
+             FROM (SELECT DISTINCT sale_id FROM sale_lines WHERE sale_id IS NOT NULL)),
+l AS (SELECT CASE WHEN apart THEN -1 ELSE vendor_id END AS vendor_id, CASE WHEN apart THEN -1 ELSE coalesce(item_id % 2, -1) END AS part,
+             CASE WHEN apart THEN -1 ELSE coalesce(100 * year(shipped_at) + month(shipped_at), -1) END::BIGINT AS month, sale_id, line_no::BIGINT AS line_no,
+             quantity::BIGINT AS quantity, floor(quantity / 10) AS tens, floor(100 * discount + 0.5)::BIGINT AS percent, floor(100 * amount + 0.5)::BIGINT AS amount_cents
+      FROM sale_lines LEFT JOIN ids USING (sale_id)),
+r AS (SELECT *, row_number() OVER (w ORDER BY tens DESC NULLS LAST, percent NULLS LAST, sale_id NULLS LAST, line_no NULLS LAST, quantity NULLS LAST, amount_cents NULLS LAST) AS pos,
+             dense_rank() OVER (w ORDER BY tens DESC NULLS LAST, percent NULLS LAST) AS place, count(*) OVER (PARTITION BY vendor_id, part, month, tens, percent) AS tied
+      FROM l WINDOW w AS (PARTITION BY vendor_id, part, month))
+SELECT vendor_id, part, month, pos, place, sale_id, line_no, quantity, percent, amount_cents, tied FROM r WHERE place <= 5
+"""
+
 #: Sources from the one with the fewest words for its weight on: the first that isn't above its limit sets the level of the rest.
 OP13_SQL = f"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
@@ -157,4 +199,4 @@ SELECT doc_id, size, source_size, target::DOUBLE AS target,
        (size * (whole + CASE WHEN 2 * (target - whole * source_size - before) >= size THEN 1 ELSE 0 END))::BIGINT AS taken FROM x
 """
 
-ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL, "op8_licenses": OP8_SQL, "op13_mixing": OP13_SQL}
+ORACLES: dict[str, str] = {"op2_line_rules": OP2_SQL, "op8_licenses": OP8_SQL, "op11_ranked_ties": OP11_SQL, "op13_mixing": OP13_SQL}
