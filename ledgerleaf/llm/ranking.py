@@ -24,6 +24,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from ledgerleaf.llm.common import fresh, shuffle_partitions, written
 
@@ -45,8 +46,9 @@ class Encoding:
         if self.codes > MOST_CODES:
             raise ValueError("the ranges of a pair's parts are too wide together")
         self.kind = "long" if self.codes <= LONG_CODES else "decimal(38,0)"
+        self.second = spans[1]
         first, second = (self._part(k) for k in (0, 1))
-        self.code = (first * self.number(spans[1]) + second).cast(self.kind)
+        self.code = (first * self.number(self.second) + second).cast(self.kind)
 
     def number(self, n: int) -> Column:
         return F.lit(str(n)).cast(self.kind)
@@ -56,6 +58,14 @@ class Encoding:
         value = F.col(f"`{name}`").cast(self.kind)
         return F.coalesce(self.number(high) - value if descending else value - self.number(low), self.number(high - low + 1))
 
+    def decoded(self, code: Column, k: int, kind: DataType) -> Column:
+        """Part k of the pair with this code."""
+        (_, descending), (low, high) = self.pair[k], self.ranges[k]
+        rest = code % self.number(self.second)
+        n = rest if k else F.call_function("div", code - rest, self.number(self.second)).cast(self.kind)
+        value = self.number(high) - n if descending else n + self.number(low)
+        return F.when(n <= self.number(high - low), value).cast(kind)
+
 
 def bisected(counts: DataFrame, keys: Sequence[str], top: int, cells: int) -> DataFrame:
     """counts (keys, cell, pairs) with chosen: the first cell up to which the group has `top` pairs, the last where it never has."""
@@ -112,7 +122,7 @@ def ranked(lines: DataFrame, keys: Sequence[str], pair: Sequence[tuple[str, bool
     own = [f"{x}_{k}" for k, x in enumerate(own)]
     ends = lines.agg(F.min(f"`{a}`"), F.max(f"`{a}`"), F.min(f"`{b}`"), F.max(f"`{b}`")).first()
     encoding = Encoding(pair, [ends[:2], ends[2:]])
-    # keys without nulls, which of them are null as one number
+    # keys without nulls, and which of them are null as one number; the code says the pair: neither is shuffled twice
     null_keys = reduce(lambda x, y: x + y, [F.when(F.col(f"`{k}`").isNull(), F.lit(1 << i)).otherwise(F.lit(0)) for i, k in enumerate(keys)])
     zeros = {name: F.coalesce(F.col(f"`{k}`"), F.lit(0).cast(lines.schema[k].dataType)) for name, k in zip(own, keys, strict=True)}
     coded = lines.withColumns(zeros | {nulls: null_keys, code: encoding.code})
@@ -121,9 +131,11 @@ def ranked(lines: DataFrame, keys: Sequence[str], pair: Sequence[tuple[str, bool
     pairs = written(pairs, "rank-pairs") if encoding.codes > CELLS else pairs
     places = first_places(pairs, group, top, encoding).withColumnRenamed("code", code)
     renamed = dict(zip(["tied", "place", "ahead"], fresh(lines, "tied", "place", "ahead"), strict=True))
-    kept = coded.withColumn(row, F.monotonically_increasing_id()).join(places.withColumnsRenamed(renamed), [*group, code])
+    kept = coded.drop(*[c for c in (*keys, a, b) if c not in order]).withColumn(row, F.monotonically_increasing_id()).join(places.withColumnsRenamed(renamed), [*group, code])
     by = [F.col(f"`{c}`").asc_nulls_last() for c in order] + [F.col(row).asc()]
     out = numbered(kept, [*group, code], by, shuffle_partitions(lines.sparkSession), [number, task, count])
     pos = F.col(renamed["ahead"]) + F.col(number)
-    held = [F.col(f"`{c}`") for c in lines.columns if c not in ("pos", "place", "tied")]
+    back = {k: F.when(F.col(nulls).bitwiseAND(1 << i) == 0, F.col(name)) for i, (k, name) in enumerate(zip(keys, own, strict=True))}
+    back |= {x: encoding.decoded(F.col(code), i, lines.schema[x].dataType) for i, x in enumerate((a, b))}
+    held = [F.col(f"`{c}`") if c in order else back.get(c, F.col(f"`{c}`")).alias(c) for c in lines.columns if c not in ("pos", "place", "tied")]
     return out.select(*held, pos.cast("long").alias("pos"), F.col(renamed["place"]).cast("long").alias("place"), F.col(renamed["tied"]).cast("long").alias("tied"))
