@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.llm import decontamination, licenses, line_rules, mixing, ngram_join, piece_transducer, pii, ranking, rule_ensemble, token_files
+from ledgerleaf.llm import alignment, decontamination, licenses, line_rules, mixing, ngram_join, piece_transducer, pii, ranking, rule_ensemble, token_files
 from ledgerleaf.llm.common import table
 from ledgerleaf.llm.substring_dedup import dedup_substrings
 from ledgerleaf.llm.suffix_dedup import dedup_bytes
@@ -91,6 +91,10 @@ def op11_ranked_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("vendor_id", "part", "month", "pos", "place", "sale_id", "line_no", "quantity", "percent", "amount_cents", "tied")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
@@ -107,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_token_files": op9_token_files,
     "op10_ngram_join": op10_ngram_join,
     "op11_ranked_ties": op11_ranked_ties,
+    "op12_alignment": op12_alignment,
     "op13_mixing": op13_mixing,
 }
 
