@@ -34,20 +34,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.common import collector_paused, select_required, tidy, written
 
-BLOCK = 8 << 20
+BLOCK = 6 << 20
 #: DuckDB's limit in a task; beyond it, it writes to the task's own temporary folder.
-MEMORY = "400MB"
+MEMORY = "256MB"
 STRETCH = re.compile(r"(?<=\S)(?= \S)")
 GROUPS = "block string, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, stretches array<int>, times array<int>, a array<int>, b array<int>, docs array<long>, link_stretch array<int>, link_pair array<int>, link_times array<long>"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
 
+#: The ids of stretches one after the other, and how many each stretch has.
+Ids = tuple[np.ndarray, np.ndarray]
+
+
 class Pair:
     """The two tokenizers of a task; they are made once in a worker."""
 
@@ -67,13 +72,37 @@ class Pair:
         self.bytes_a = {n: bytes(byte.get(c, 0) for c in entry) for entry, n in vocabulary.items()}
         pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
         self.bytes_b = {n: bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)}
+        self.size_a = np.zeros(max(self.bytes_a) + 1, np.int64)
+        self.size_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece goes over a space; stretches between spaces would not be independent")
 
-    def encode(self, stretches: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        parts = (stretches[k : k + 8192] for k in range(0, len(stretches), 8192))  # an encoding holds much beside its ids
-        a = [e.ids for x in parts for e in self.a.encode_batch_fast(x, add_special_tokens=False)]
-        return a, self.b.encode([s[1:] for s in stretches], num_threads=1)
+    def encode_joined(self, stretches: list[str]) -> Ids:
+        """A's ids. Stretches that don't end in white space are independent in one long text too, which takes less time."""
+        if not any(map(ends_blank, stretches)):
+            flat = packed([e.ids for e in self.a.encode_batch_fast(["".join(stretches)], add_special_tokens=False)])[0]
+            stops, ends = np.cumsum(self.size_a[flat]), np.cumsum([len(s.encode()) for s in stretches])
+            last = np.searchsorted(stops, ends, "right")
+            if np.array_equal(stops[last - 1], ends):
+                return flat, np.diff(last, prepend=0).astype(np.int32)
+        return packed([e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)])
+
+    def encode(self, stretches: list[str]) -> tuple[Ids, Ids]:
+        made: tuple[list[Ids], list[Ids]] = ([], [])
+        for k in range(0, len(stretches), 4096):  # what the libraries return is many times what is kept of it
+            part = stretches[k : k + 4096]
+            made[0].append(self.encode_joined(part))
+            made[1].append(packed(self.b.encode([s[1:] for s in part], num_threads=1)))
+        return tuple((np.concatenate([x for x, _ in side]), np.concatenate([n for _, n in side])) if side else packed([]) for side in made)
+
+
+def ends_blank(stretch: str) -> bool:
+    return stretch[-1].isspace()
+
+
+def packed(ids: list[list[int]]) -> Ids:
+    sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+    return np.fromiter(itertools.chain.from_iterable(ids), np.int32, int(sizes.sum())), sizes
 
 
 _pairs: dict[tuple[str, str], Pair] = {}
@@ -86,21 +115,26 @@ def pair(a_path: str, b_path: str) -> Pair:
     return _pairs[a_path, b_path]
 
 
-def broken(ids: list[list[int]], of: dict[int, bytes], stretches: list[str]) -> list[int]:
+def broken(ids: Ids, of: dict[int, bytes], stretches: list[str]) -> list[int]:
     """Stretches whose tokens' bytes are not their own."""
-    if b"".join(map(of.__getitem__, itertools.chain.from_iterable(ids))) == "".join(stretches).encode():
+    flat, sizes = ids
+    if b"".join(map(of.__getitem__, flat.tolist())) == "".join(stretches).encode():
         return []
-    return [k for k, (x, s) in enumerate(zip(ids, stretches, strict=True)) if b"".join(map(of.__getitem__, x)) != s.encode()]
+    at = np.cumsum([0, *sizes]).tolist()
+    return [k for k, s in enumerate(stretches) if b"".join(map(of.__getitem__, flat[at[k] : at[k + 1]].tolist())) != s.encode()]
 
 
-def intervals(ids: list[list[int]], of: dict[int, bytes], stretch: np.ndarray) -> pa.Table:
-    """(s, id, start, stop): a row a token, the stretches laid end to end."""
-    flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
+def intervals(ids: Ids, of: dict[int, bytes], good: np.ndarray) -> pa.Table:
+    """(s, id, start, stop): a row a token of the good stretches, laid end to end."""
+    flat, counts = ids
+    stretch = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
+    held = good[stretch]
+    flat, stretch = flat[held], stretch[held]
     sizes = np.zeros(max(of) + 1, np.int64)
     sizes[list(of)] = [len(x) for x in of.values()]
     sizes = sizes[flat]
     stop = np.cumsum(sizes)
-    return pa.table({"s": np.repeat(stretch, [len(x) for x in ids]).astype(np.int32), "id": flat, "start": stop - sizes, "stop": stop})
+    return pa.table({"s": stretch, "id": flat, "start": stop - sizes, "stop": stop})
 
 
 GROUPING = (
@@ -121,18 +155,26 @@ PER_DOC = """SELECT doc, sum(n * n_a)::BIGINT AS n_a, sum(n * n_b)::BIGINT AS n_
 PAIR_DOCS = "SELECT a, b, coalesce(docs, 0) AS docs FROM pairs LEFT JOIN (SELECT p, count(*) AS docs FROM (SELECT DISTINCT doc, p FROM held JOIN known USING (s)) GROUP BY p) USING (p) ORDER BY p"
 
 
-def spelled_groups(db) -> tuple[np.ndarray, list[str]]:
-    """Stretches and their groups as text, `a1,a2|b1;a3|b2,b3`."""
+def joined(texts: pa.Array, ends: np.ndarray, mark: str) -> pa.Array:
+    """The texts up to each end, joined by the mark."""
+    return pc.binary_join(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), texts), pa.scalar(mark, pa.large_string()))
+
+
+def last_of_runs(numbers: np.ndarray) -> np.ndarray:
+    """Where runs of equal numbers end."""
+    return np.append(np.flatnonzero(np.diff(numbers)) + 1, len(numbers))
+
+
+def spelled_groups(db) -> tuple[np.ndarray, pa.Array]:
+    """Stretches, ascending, and their groups as text, `a1,a2|b1;a3|b2,b3`."""
     sides = []
     for name in ("ga", "gb"):
         x = db.sql(f"SELECT s, g, id FROM {name} ORDER BY start").to_arrow_table()
-        g, ids = x["g"].to_numpy(), list(map(str, x["id"].to_numpy().tolist()))
-        at = [0, *(np.flatnonzero(np.diff(g)) + 1).tolist(), len(ids)]
-        sides.append([",".join(ids[i:j]) for i, j in itertools.pairwise(at)])
-    s = x["s"].to_numpy()[at[:-1]]
-    groups = list(map("|".join, zip(*sides, strict=True)))
-    ends = [0, *(np.flatnonzero(np.diff(s)) + 1).tolist(), len(s)]
-    return s[ends[:-1]], [";".join(groups[i:j]) for i, j in itertools.pairwise(ends)]
+        ends = last_of_runs(x["g"].to_numpy())
+        sides.append(joined(x["id"].combine_chunks().cast(pa.large_string()), ends, ","))
+    s = x["s"].to_numpy()[ends - 1]
+    runs = last_of_runs(s)
+    return s[runs - 1], joined(pc.binary_join_element_wise(*sides, pa.scalar("|", pa.large_string())), runs, ";")
 
 
 def connection(folder: str):
@@ -146,25 +188,30 @@ def block_rows(name: str, doc_ids: list[int | None], texts: list[str | None], to
     number: defaultdict[str, int] = defaultdict()
     number.default_factory = number.__len__
     places = [np.fromiter(map(number.__getitem__, STRETCH.split(" " + t)), np.int32) if t else np.zeros(0, np.int32) for t in texts]
-    stretches = list(number)
+    # those that end in white space come last, so that the others can be encoded together
+    stretches = sorted(number, key=ends_blank)
+    renumbered = np.zeros(len(stretches), np.int32)
+    renumbered[np.fromiter(map(number.__getitem__, stretches), np.int32, len(stretches))] = np.arange(len(stretches))
+    places = [renumbered[p] for p in places]
     ids = tokenizers.encode(stretches)
     sides = (tokenizers.bytes_a, tokenizers.bytes_b)
     bad = sorted({k for x, of in zip(ids, sides, strict=True) for k in broken(x, of, stretches)})
+    good = np.ones(len(stretches), bool)
+    good[bad] = False
     if bad:
-        lost = np.zeros(len(stretches), bool)
-        lost[bad] = True
-        places = [np.zeros(0, np.int32) if lost[p].any() else p for p in places]
-    good = np.setdiff1d(np.arange(len(stretches)), bad)
-    spelled = np.full(len(stretches), "", object)
+        places = [p if good[p].all() else np.zeros(0, np.int32) for p in places]
+    flat, ends = np.concatenate([*places, np.zeros(0, np.int32)]), np.cumsum([len(p) for p in places])
+    digests = [""] * len(places)
     n, empty = len(doc_ids), pa.nulls(len(doc_ids))
     sums = {k: np.zeros(n, np.int64) for k in ("n_a", "n_b", "n_groups", "n_links")}
     held: dict[str, list] = {"stretches": [[] for _ in range(n)], "times": [[] for _ in range(n)]}
     whole: dict[str, list] = {k: [[]] for k in ("a", "b", "docs", "link_stretch", "link_pair", "link_times")}
-    if sum(map(len, places)):
+    del number, stretches
+    if len(flat):
         with tempfile.TemporaryDirectory() as folder, connection(folder) as db:
             for side, x, of in zip("ab", ids, sides, strict=True):
-                db.register(side, intervals([x[k] for k in good], of, good))
-            db.register("places", pa.table({"doc": np.repeat(np.arange(n, dtype=np.int32), [len(p) for p in places]), "s": np.concatenate(places)}))
+                db.register(side, intervals(x, of, good))
+            db.register("places", pa.table({"doc": np.repeat(np.arange(n, dtype=np.int32), np.diff(ends, prepend=0)), "s": flat}))
             for step in GROUPING:
                 db.execute(step)
             of_docs = db.sql(PER_DOC).to_arrow_table()
@@ -179,8 +226,10 @@ def block_rows(name: str, doc_ids: list[int | None], texts: list[str | None], to
             for part in (counted, links):
                 whole |= {c: pa.ListArray.from_arrays([0, part.num_rows], part[c].combine_chunks()) for c in part.column_names}
             which, groups = spelled_groups(db)
-            spelled[which] = groups
-    digests = [hashlib.sha256(";".join(spelled[p].tolist()).encode()).hexdigest() if len(p) else "" for p in places]
+        for i, j in itertools.pairwise(range(0, n + 64, 64)):  # a few documents' texts at a time
+            end, first = ends[i:j], ends[i - 1] if i else 0
+            texts = joined(groups.take(pa.array(np.searchsorted(which, flat[first : end[-1]]))), end - first, ";") if len(end) else []
+            digests[i:j] = [hashlib.sha256(t.as_buffer()).hexdigest() if len(t.as_buffer()) else "" for t in texts]
     rows = {"block": [name] * n, "doc_id": doc_ids} | sums | {"groups_sha256": digests} | held | dict.fromkeys(whole, empty)
     last = {"block": [name], "doc_id": [None], **dict.fromkeys(sums, [0]), "groups_sha256": [None], **dict.fromkeys(held, [None])} | whole
     return pa.concat_tables([pa.table(x).cast(ARROW) for x in (rows, last)])
