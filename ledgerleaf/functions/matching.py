@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -15,6 +16,19 @@ from ledgerleaf.functions.scalars import normalize_string
 Match = Callable[[Column, Column], Column]
 
 
+@dataclass(frozen=True)
+class Likeness:
+    """How a target has to be like a text, both normalised: a share `prefix` of it begins the text, and it is alike by `ratio`; with neither, the text contains it."""
+
+    prefix: float | None = None
+    ratio: float | None = None
+
+    def predicate(self) -> Match:
+        """The same as a predicate of one text and one target."""
+        tests = ([] if self.prefix is None else [target_prefix_match(self.prefix)]) + ([] if self.ratio is None else [target_fuzzy_match(self.ratio)])
+        return both(*tests) if len(tests) > 1 else tests[0] if tests else target_match
+
+
 def target_match(text: Column, target: Column) -> Column:
     """The target is in the text, both normalised."""
     return normalize_string(text).contains(normalize_string(target))

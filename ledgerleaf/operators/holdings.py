@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,14 @@ PERMISSIVE, DROPMALFORMED, FAILFAST = "PERMISSIVE", "DROPMALFORMED", "FAILFAST"
 SENTINEL_PAGE = 9999
 
 
-def deserialize(rows: DataFrame, cost_and_value_interpret_int: bool = True, quantity_interpret_float: bool = False, canonical_currency: bool = True, page_offset: int = 2) -> DataFrame:
-    """rows with typed fields and `error`: the first field that can't be cast, or null."""
-    money = (lambda c: to_int(c).cast("double")) if cost_and_value_interpret_int else to_float
-    quantity = to_float(F.col("raw_quantity")).cast("bigint") if quantity_interpret_float else to_int(F.col("raw_quantity"))
+def deserialize(rows: DataFrame, cost_and_value_interpret_int: bool | Column = True, quantity_interpret_float: bool | Column = False, canonical_currency: bool = True, page_offset: int = 2) -> DataFrame:
+    """rows with typed fields and `error`: the first field that can't be cast, or null. How numbers are read may be a column, of each row's format."""
+
+    def either(flag: bool | Column, yes: Column, no: Column) -> Column:
+        return F.when(flag, yes).otherwise(no) if isinstance(flag, Column) else yes if flag else no
+
+    money = lambda c: either(cost_and_value_interpret_int, to_int(c).cast("double"), to_float(c))
+    quantity = either(quantity_interpret_float, to_float(F.col("raw_quantity")).cast("bigint"), to_int(F.col("raw_quantity")))
     typed = {
         "quantity": ("raw_quantity", quantity),
         "market_value": ("raw_market_value", money(F.col("raw_market_value"))),
@@ -61,11 +67,11 @@ def errors(rows: DataFrame) -> DataFrame:
     return rows.where("error IS NOT NULL")
 
 
-def to_table(rows: DataFrame) -> DataFrame:
-    """The holdings table, its columns in their fixed order and types; maturity and rate are of bonds alone."""
+def to_table(rows: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
+    """The holdings table, its columns in their fixed order and types, and more behind them; maturity and rate are of bonds alone."""
     bond = F.col("instrument") == "BOND"
     source = [F.col("page"), F.col("company"), F.col("instrument"), F.col("subfund"), F.col("quantity"), F.col("market_value"), F.col("currency"), F.col("net_assets"), F.col("acquisition_cost"), F.when(bond, F.col("maturity")), F.when(bond, F.col("interest_rate"))]
-    return rows.select(*[c.cast(kind).alias(name) for c, (name, kind) in zip(source, HOLDINGS_COLUMNS, strict=True)])
+    return rows.select(*[c.cast(kind).alias(name) for c, (name, kind) in zip(source, HOLDINGS_COLUMNS, strict=True)], *more)
 
 
 def describe() -> Column:

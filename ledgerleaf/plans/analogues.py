@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.fixed_values import CURRENCIES
 from ledgerleaf.functions import scalars
 from ledgerleaf.functions.geometry import in_range
-from ledgerleaf.functions.matching import prefix_similarity, similarity, target_match, target_prefix_match
+from ledgerleaf.functions.matching import Likeness, prefix_similarity, similarity, target_match, target_prefix_match
 from ledgerleaf.operators import holdings
 from ledgerleaf.operators.extract import Positions, Walk, extract_holdings, merge_adjacent
 from ledgerleaf.operators.layout import table_positions
@@ -136,16 +136,50 @@ def prefix_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select("p_partkey", target_prefix_match(0.5)(F.col("p_name"), target).alias("matched"), prefix_similarity(norm(target), norm(F.col("p_name"))).alias("similarity"))
 
 
-@query()
+#: Ratcliff and Obershelp: the longest common part, the first in a and then in b, and the same left and right of it.
+_RATIO_SQL = """
+WITH RECURSIVE p AS (SELECT DISTINCT lower(c_mktsegment) AS a, lower(p_type) AS b FROM part, customer WHERE c_mktsegment <> ''),
+seg AS (SELECT a, b, 0 AS alo, length(a)::INT AS ahi, 0 AS blo, length(b)::INT AS bhi, 0 AS k FROM p
+        UNION ALL
+        SELECT a, b, x.alo, x.ahi, x.blo, x.bhi, x.k FROM (SELECT a, b, unnest([
+            {'alo': alo, 'ahi': alo, 'blo': blo, 'bhi': blo, 'k': m.k}, {'alo': alo, 'ahi': -m.i, 'blo': blo, 'bhi': -m.j, 'k': 0}, {'alo': m.k - m.i, 'ahi': ahi, 'blo': m.k - m.j, 'bhi': bhi, 'k': 0}]) AS x
+          FROM (SELECT *, list_sort(flatten(list_transform(range(alo, ahi), lambda i: list_transform(range(blo, bhi), lambda j: {
+                  'k': len(list_filter(range(1, least(ahi - i, bhi - j) + 1), lambda n: substr(a, i + 1, n) = substr(b, j + 1, n)))::INT, 'i': (-i)::INT, 'j': (-j)::INT}))), 'DESC')[1] AS m
+                FROM seg WHERE alo < ahi AND blo < bhi) WHERE m.k > 0)),
+r AS (SELECT a, b, 2.0 * sum(k) / (length(a) + length(b)) AS ratio FROM seg GROUP BY a, b)
+"""
+
+
+@query(_RATIO_SQL + "SELECT p_partkey, c_mktsegment, ratio::DOUBLE AS ratio FROM part CROSS JOIN (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment <> '') JOIN r ON a = lower(c_mktsegment) AND b = lower(p_type)")
 def fuzzy_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every part's name against the customer segments' names: no SQL has this similarity."""
+    """The similarity of every part's type and every customer segment's name: all pairs, as the similarity itself is asked for."""
     segments = read(spark, sf_dir, "customer").select("c_mktsegment").distinct()
     parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
-    # segments are a handful of names, an aggregate
-    pairs = parts.join(F.broadcast(segments), F.length("c_mktsegment") > 0)
+    pairs = parts.join(segments, F.length("c_mktsegment") > 0)
     return pairs.select("p_partkey", "c_mktsegment", similarity(F.lower("c_mktsegment"), F.lower("p_type")).alias("ratio"))
 
 
+@query(_RATIO_SQL + """SELECT p_partkey, c_mktsegment AS target FROM part CROSS JOIN (SELECT DISTINCT c_mktsegment FROM customer WHERE c_mktsegment <> '') JOIN r ON a = lower(c_mktsegment) AND b = lower(p_type)
+WHERE ratio >= 0.45""")
+def fuzzy_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer segments' names that part types are alike, by candidates with rare characters in common."""
+    segments = read(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("target")).distinct().withColumn("ord", F.xxhash64("target"))
+    parts = read(spark, sf_dir, "part").select("p_partkey", "p_type")
+    return all_targets(parts, F.col("p_type"), segments, Likeness(ratio=0.45)).select("p_partkey", "target")
+
+
+_OPENINGS_SQL = "(SELECT array_to_string(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')[2:3], ' ') AS target FROM documents)"
+
+
+@query(f"SELECT DISTINCT conv_id, turn, target FROM conversations JOIN (SELECT DISTINCT target FROM {_OPENINGS_SQL} WHERE {norm_sql('target')} <> '') o ON contains({norm_sql('text')}, {norm_sql('target')})")
+def target_long_list(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A target for each different second and third word of the documents, sought in all turns by the inverted index."""
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    openings = read(spark, sf_dir, "documents").select(F.array_join(F.slice(words, 2, 2), " ").alias("target")).distinct().withColumn("ord", F.xxhash64("target"))
+    turns_of = read(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    return all_targets(turns_of, F.col("text"), openings).select("conv_id", "turn", "target").distinct()
+
+
 @query("SELECT p_partkey, p_brand FROM part WHERE p_brand IN (SELECT DISTINCT p_brand FROM part WHERE p_size >= 45)")
 def target_semi(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = read(spark, sf_dir, "part")
@@ -247,7 +281,8 @@ SELECT l_orderkey, l_linenumber, CASE WHEN k = 0 THEN ((c + 10) % 10)::VARCHAR |
 """)
 def bond_equity(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = _bond_text()
-    return read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", scalars.interest_rate(text).alias("raw_rate"), scalars.maturity(text).alias("raw_maturity"), scalars.instrument(text).alias("instrument"))
+    rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", scalars.interest_rate(text).alias("raw_rate"), scalars.maturity(text).alias("raw_maturity"))
+    return rows.withColumn("instrument", scalars.instrument(F.col("raw_rate"), F.col("raw_maturity")))
 
 
 @query("""

@@ -1,24 +1,25 @@
-"""From pages to the holdings table, as one lazy plan for each format.
+"""From pages to the holdings table, as one lazy plan for any number of reports and formats.
 
-Page metadata (gate, sub-fund, anchors) are windows over a page, which share one exchange; columns of the table come
-from an aggregate of each page; the walk over blocks is a window over a document.
+A page stays one row until its blocks are found (`operators.page`): gate, sub-fund, anchors, body and columns are
+expressions over the page's array of lines, without an exchange. Formats are rows of a table that pages are joined to,
+so the plan is the same for one report and for a thousand. The walk over blocks is a window over a document.
 """
 
 from __future__ import annotations
 
 import logging
 import os
-import tempfile
+from collections.abc import Collection, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.geometry import in_range
-from ledgerleaf.operators import holdings
-from ledgerleaf.operators.extract import Walk, extract_holdings
-from ledgerleaf.operators.layout import table_positions
-from ledgerleaf.operators.lines import PAGE, deselect, first_value_where, has_font, with_text_and_font
-from ledgerleaf.plans.formats import SPECS, Bound, FormatSpec
+from ledgerleaf.functions.matching import Likeness
+from ledgerleaf.operators import holdings, page
+from ledgerleaf.operators.extract import FIELDS, SHORT_LIST, Walk, joined_targets, merged_rows, reach_of, read_names, target_table, targets_in, with_fields, with_neighbours
+from ledgerleaf.operators.page import PAGE
+from ledgerleaf.plans import formats
+from ledgerleaf.plans.formats import SPECS, FormatSpec
 from ledgerleaf.sources import control, pages as page_source
 
 log = logging.getLogger("ledgerleaf")
@@ -28,54 +29,69 @@ class ExpectedBlockNotFound(Exception):
     """A page that should have a sub-fund has none."""
 
 
-def _mid() -> Column:
-    return (F.col("box.y0") + F.col("box.y1")) / 2
+def page_blocks(pages: DataFrame, spec: Column, strict: bool = False, keep: Iterable[str] = ()) -> DataFrame:
+    """(keep, doc_id, page_idx, ord, table_col, content, subfund, metadata) of pages with lines, by a format's struct; no exchange.
 
-
-def _side(bound: Bound, edge: str) -> Column:
-    """A height, or the edge of the first line with the anchor; null where open or the anchor is missing."""
-    if isinstance(bound, tuple):
-        return first_value_where(F.col(f"box.{edge}"), with_text_and_font(*bound))
-    return F.lit(bound).cast("double")
+    strict: a page without a sub-fund fails the query; else its sub-fund is null.
+    """
+    missing = F.raise_error(F.lit(f"{ExpectedBlockNotFound.__name__}: a page has no sub-fund")).cast("string") if strict else None
+    wanted = pages.where(page.is_wanted(F.col("lines"), spec))
+    return wanted.select(*keep, *PAGE, F.inline(page.blocks(F.col("lines"), spec, missing)))
 
 
 def blocks_of(lines: DataFrame, spec: FormatSpec, strict: bool = False) -> DataFrame:
-    """(doc_id, page_idx, ord, table_col, content, subfund, metadata) of the lines in the bodies of a format's pages.
+    """The blocks of pages of one format, given as pages with lines (`with_lines`) or as a row a line, which takes an exchange."""
+    return page_blocks(lines if "lines" in lines.columns else page.paged(lines), formats.as_column(spec), strict)
 
-    strict: a page without a sub-fund fails the query; else its sub-fund is null.
+
+def all_rows_of(pages: DataFrame, targets: list[str], specs: Collection[FormatSpec] | None = None, mode: str = holdings.PERMISSIVE, page_offset: int = 2, canonical_currency: bool = True, strict: bool = False, keep: Collection[str] = ()) -> DataFrame:
+    """Typed rows with their errors of pages (doc_id, page_idx, xml, format): all formats in one plan.
+
+    specs: the formats that there may be, by default all known ones; pages of others, or of none, give no rows. keep:
+    further columns of pages that stay, and tell documents apart.
     """
-    subfund = first_value_where(F.col("text"), has_font(spec.subfund_font) & in_range(_mid(), spec.subfund_y))
-    top, bottom = _side(spec.body_y[0], "y1"), _side(spec.body_y[1], "y0")
-    rows = lines.withColumn("_gate", first_value_where(F.lit(True), with_text_and_font(*spec.header))).withColumn("subfund", subfund).withColumn("_top", top).withColumn("_bottom", bottom)
-    if spec.switch:
-        anchor, body = spec.switch
-        rows = rows.withColumn("_switch", first_value_where(F.lit(True), with_text_and_font(*anchor)).isNotNull())
-        rows = rows.withColumn("_top2", _side(body[0], "y1")).withColumn("_bottom2", _side(body[1], "y0"))
-        rows = rows.withColumn("_top", F.when(F.col("_switch"), F.col("_top2")).otherwise(F.col("_top"))).withColumn("_bottom", F.when(F.col("_switch"), F.col("_bottom2")).otherwise(F.col("_bottom")))
-    pairs = [x for k, c in spec.page_metadata().items() for x in (F.lit(k), c)]
-    rows = rows.withColumn("metadata", F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>"))
-    rows = rows.where(F.col("_gate"))
-    if strict:
-        rows = rows.withColumn("subfund", F.coalesce("subfund", F.raise_error(F.lit(f"{ExpectedBlockNotFound.__name__}: a page has no sub-fund"))))
-    body = rows.where(has_font(spec.body_font))
-    body = deselect(body, spec.deselect).where(in_range(_mid(), (F.col("_top"), F.col("_bottom"))))
-    return table_positions(body).select(*PAGE, "ord", "table_col", "content", "subfund", "metadata")
-
-
-def rows_of(pages: DataFrame, format_name: str, targets: list[str], mode: str = holdings.PERMISSIVE, page_offset: int = 2, canonical_currency: bool = True, strict: bool = False) -> DataFrame:
-    """Typed rows with their errors, before they become the table."""
-    spec = SPECS[format_name]
-    blocks = blocks_of(page_source.lines_of(pages), spec, strict)
-    raw = extract_holdings(blocks, targets, spec.positions, Walk(match=spec.match), spec.extra())
-    typed = holdings.deserialize(raw, spec.cost_and_value_interpret_int, spec.quantity_interpret_float, canonical_currency, page_offset)
+    specs = list(SPECS.values()) if specs is None else list(specs)
+    read = page_source.with_lines(pages.select(*keep, "format", *PAGE, "xml"))
+    if len(specs) == 1:
+        read = read.where(F.col("format") == specs[0].name).withColumn("spec", formats.as_column(specs[0]))
+    else:
+        read = read.join(formats.table(pages.sparkSession, specs), "format")
+    blocks = page_blocks(read, F.col("spec"), strict, [*keep, "format", "spec"])
+    walk = Walk(key=(*keep, "format", "doc_id"))
+    kinds = {s.likeness for s in specs}
+    rows = with_neighbours(blocks, walk)
+    if kinds == {Likeness()} and len(targets) <= SHORT_LIST:
+        found = {f"_{x}_targets": F.when(F.col(f"_{x}").isNotNull(), targets_in(F.col(f"_{x}"), targets)) for x in ("joint", "own")}
+        rows = rows.withColumns(found)
+    else:
+        likeness = {"_prefix": F.col("spec.prefix"), "_ratio": F.col("spec.ratio")}
+        rows = joined_targets(rows.withColumns(likeness), target_table(pages.sparkSession, targets), kinds).drop(*likeness)
+    rows = with_fields(merged_rows(rows, walk), F.col("spec.offsets"), reach_of([s.positions.offsets() for s in specs]), walk)
+    own = {"raw_currency": F.coalesce("raw_currency", "spec.currency")}
+    rows = rows.withColumns(own)
+    # what the page says once stands for the field in each of its rows
+    rows = rows.withColumns({f"raw_{name}": F.when(F.map_contains_key("metadata", name), F.try_element_at("metadata", F.lit(name))).otherwise(F.col(f"raw_{name}")) for name in FIELDS})
+    typed = holdings.deserialize(read_names(rows), F.col("spec.cost_and_value_interpret_int"), F.col("spec.quantity_interpret_float"), canonical_currency, page_offset)
     return holdings.handle_errors(holdings.validate(typed, targets), mode)
 
 
+def rows_of(pages: DataFrame, format_name: str, targets: list[str], **options) -> DataFrame:
+    """Typed rows of pages (doc_id, page_idx, xml) of one format, before they become the table."""
+    return all_rows_of(pages.withColumn("format", F.lit(format_name)), targets, [SPECS[format_name]], **options)
+
+
 def holdings_of(pages: DataFrame, format_name: str, targets: list[str], **options) -> DataFrame:
-    """The holdings table of pages (doc_id, page_idx, xml)."""
+    """The holdings table of pages (doc_id, page_idx, xml) of one format."""
     return holdings.to_table(rows_of(pages, format_name, targets, **options))
 
 
+def all_holdings_of(pages: DataFrame, targets: list[str], report: str | None = None, **options) -> DataFrame:
+    """The holdings table of pages (doc_id, page_idx, xml, format) of any formats, with the format and, named by `report`, a column that identifies reports."""
+    rows = all_rows_of(pages, targets, keep=[report] if report else [], **options)
+    more = ([F.col(report).alias("Report identifier")] if report else []) + [F.col("format").alias("Format")]
+    return holdings.to_table(rows, more)
+
+
 def run_job(spark: SparkSession, settings: control.Settings, pages: DataFrame | None = None, targets: list[str] | None = None) -> tuple[DataFrame, str, str | None]:
     """(table, format, prefix) of one job; pages may be given instead of a file."""
     settings = settings.validated()

@@ -1,20 +1,36 @@
-"""Report formats as data. A format is a page filter, positions of fields, a match and the readings of numbers."""
+"""Report formats as data. A format is a page filter, positions of fields, a likeness of names and the readings of numbers.
+
+`as_column` gives a format as a constant struct, `table` all of them as rows: either is what the page stage and the walk
+read, so a plan doesn't depend on which formats, or how many, go through it.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass, field
+import json
+from collections.abc import Iterable
+from dataclasses import asdict, dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.geometry import Range, in_range
-from ledgerleaf.functions.matching import Match, both, target_fuzzy_match, target_match, target_prefix_match
+from ledgerleaf.functions.matching import Likeness
 from ledgerleaf.operators.extract import Positions
-from ledgerleaf.operators.lines import first_value_where, has_font
 
 Anchor = tuple[str, str]
 Bound = float | Anchor | None
+Side = tuple[float | None, float | None]
+
+_BOUND = "struct<at:double,text:string,font:string>"
+_ANCHOR = "struct<text:string,font:string>"
+SCHEMA = (
+    f"format string, header {_ANCHOR}, subfund struct<font:string,start:double,end:double>, body_font string, top {_BOUND}, bottom {_BOUND}, "
+    f"switch {_ANCHOR}, switch_top {_BOUND}, switch_bottom {_BOUND}, deselect array<{_ANCHOR}>, page_fields array<struct<name:string,font:string,start:double,end:double>>, "
+    "offsets map<string,int>, currency string, prefix double, ratio double, cost_and_value_interpret_int boolean, quantity_interpret_float boolean"
+)
+
+
+def _bound(bound: Bound) -> dict:
+    return {"text": bound[0], "font": bound[1]} if isinstance(bound, tuple) else {"at": bound}
 
 
 @dataclass(frozen=True)
@@ -22,42 +38,56 @@ class FormatSpec:
     """One publisher's layout.
 
     body_y: a side is a height, open, or an anchor (text, font): the body then begins below, or ends above, its first
-    line. switch: (anchor, body_y) that holds instead on pages that have the anchor. page_metadata: columns over the
-    page's lines, kept in `metadata`; extra: columns over the extracted rows, which may replace raw fields.
+    line. switch: (anchor, body_y) that holds instead on pages that have the anchor. page_fields: (field, font, range)
+    of texts that a page has once, the first line in the font and range; they stand for the field in each of its rows.
     """
 
     name: str
     header: Anchor
-    subfund_y: Range
+    subfund_y: Side
     subfund_font: str
     body_font: str
     positions: Positions
     body_y: tuple[Bound, Bound] = (None, None)
     deselect: tuple[Anchor, ...] = ()
-    match: Match = field(default=target_match)
+    likeness: Likeness = field(default_factory=Likeness)
     cost_and_value_interpret_int: bool = True
     quantity_interpret_float: bool = False
     switch: tuple[Anchor, tuple[Bound, Bound]] | None = None
-    page_metadata: Callable[[], dict[str, Column]] = field(default=dict)
-    extra: Callable[[], dict[str, Column]] = field(default=dict)
+    page_fields: tuple[tuple[str, str, Side], ...] = ()
 
+    def data(self) -> dict:
+        """What SCHEMA names."""
+        anchor, second = self.switch or ((None, None), (None, None))
+        named = lambda x: {"text": x[0], "font": x[1]}
+        return {
+            "format": self.name, "header": named(self.header), "subfund": {"font": self.subfund_font, "start": self.subfund_y[0], "end": self.subfund_y[1]}, "body_font": self.body_font,
+            "top": _bound(self.body_y[0]), "bottom": _bound(self.body_y[1]), "switch": named(anchor), "switch_top": _bound(second[0]), "switch_bottom": _bound(second[1]),
+            "deselect": [named(x) for x in self.deselect], "page_fields": [{"name": n, "font": f, "start": y[0], "end": y[1]} for n, f, y in self.page_fields],
+            "offsets": self.positions.offsets(), "currency": self.positions.currency if isinstance(self.positions.currency, str) else None, **asdict(self.likeness),
+            "cost_and_value_interpret_int": self.cost_and_value_interpret_int, "quantity_interpret_float": self.quantity_interpret_float,
+        }
 
-def _page_currency() -> dict[str, Column]:
-    return {"currency": first_value_where(F.col("text"), has_font("ArialNarrow") & in_range((F.col("box.y0") + F.col("box.y1")) / 2, (None, 208)))}
 
+def as_column(spec: FormatSpec) -> Column:
+    """The format as a constant."""
+    return F.from_json(F.lit(json.dumps(spec.data())), SCHEMA)
 
-def _own_currency() -> dict[str, Column]:
-    return {"raw_currency": F.col("metadata")["currency"]}
+
+def table(spark: SparkSession, specs: Iterable[FormatSpec]) -> DataFrame:
+    """(format, spec): a row a format."""
+    rows = spark.createDataFrame([(s.name, json.dumps(s.data())) for s in specs], "format string, spec string")
+    return rows.select("format", F.from_json("spec", SCHEMA).alias("spec"))
 
 
 #: The layouts of the known report formats.
 SPECS = {
     s.name: s
     for s in (
-        FormatSpec("AMUNDI", ("Securities Portfolio as at", "ArialNarrow-BoldItalic"), (None, 27), "ArialMT", "ArialNarrow", Positions(1, -1, -2, "EUR"), (None, 768), page_metadata=_page_currency, extra=_own_currency),
+        FormatSpec("AMUNDI", ("Securities Portfolio as at", "ArialNarrow-BoldItalic"), (None, 27), "ArialMT", "ArialNarrow", Positions(1, -1, -2, "EUR"), (None, 768), page_fields=(("currency", "ArialNarrow", (None, 208)),)),
         FormatSpec("AMUNDI2", ("Titolo", "TrebuchetMS-Bold"), (None, 60), "Arial-BoldItalicMT", "TrebuchetMS", Positions(1, 4, 5, "EUR"), cost_and_value_interpret_int=False, quantity_interpret_float=True),
         FormatSpec("ANIMA", ("Holdings", "Helvetica-Bold"), (62, 82), "Helvetica-Condensed-Blac", "Helvetica-Light", Positions(-1, 1, 2, "EUR"), (103, 821), switch=(("Futures contracts", "Helvetica-Bold"), (("Holdings", "Helvetica-Bold"), ("Futures contracts", "Helvetica-Bold")))),
-        FormatSpec("ARCA", ("Titoli", "TrebuchetMS-Bold"), (None, 42), "Calibri", "TrebuchetMS", Positions(3, 2, 4, 1), (83, None), match=both(target_prefix_match(0.3), target_fuzzy_match(0.8))),
+        FormatSpec("ARCA", ("Titoli", "TrebuchetMS-Bold"), (None, 42), "Calibri", "TrebuchetMS", Positions(3, 2, 4, 1), (83, None), likeness=Likeness(0.3, 0.8)),
         FormatSpec("ASTERIA", ("Transferable securities admitted to an official stock", "CenturyGothic-Bold"), (None, 87), "CenturyGothic-Bold", "CenturyGothic", Positions(1, 4, 5, 2, 3), (None, 810)),
         FormatSpec("ASTERIA_2023", ("Number of Shares/", "CenturyGothic-Bold"), (80, 95), "CenturyGothic-Bold", "CenturyGothic", Positions(1, 4, 5, 2, 3)),
         FormatSpec("EURIZON", ("PORTFOLIO AS AT", "Frutiger-Black"), (65, 85), "Frutiger-Black", "Frutiger-Light", Positions(-1, 3, 4, 1, 2), (160, 765), cost_and_value_interpret_int=False),
@@ -67,7 +97,7 @@ SPECS = {
             "FIDEURAM", ("Country", "Arial"), (None, 82), "Arial-Bold", "Arial", Positions(-1, 1, 2, -2), (103, 749),
             deselect=(("SHARES, WARRANTS, RIGHTS", "Arial"), ("TRANSFERABLE SECURITIES AND MONEY MARKET INSTRUMENTS ADMITTED TO AN OFFICIAL", "Arial"), ("EXCHANGE LISTING OR DEALT IN ON OTHER REGULATED MARKETS", "Arial"), ("BONDS AND ASSIMILATED STRUCTURED PRODUCTS", "Arial"), ("INVESTMENT FUNDS", "Arial")),
         ),
-        FormatSpec("MEDIOLANUM", ("Relazione di gestione al 30 dicembre 2024", "Helvetica"), (None, 76), "Helvetica", "Helvetica", Positions(1, 2, 3, "EUR"), (83, None), match=both(target_prefix_match(0.3), target_fuzzy_match(0.65))),
+        FormatSpec("MEDIOLANUM", ("Relazione di gestione al 30 dicembre 2024", "Helvetica"), (None, 76), "Helvetica", "Helvetica", Positions(1, 2, 3, "EUR"), (83, None), likeness=Likeness(0.3, 0.65)),
     )
 }
 
@@ -75,8 +105,3 @@ SPECS = {
 def register(spec: FormatSpec) -> None:
     """Make a further format known under its name."""
     SPECS[spec.name] = spec
-
-
-def blank(df: DataFrame) -> DataFrame:
-    """What an unknown format gives: no rows."""
-    return df.limit(0)

@@ -9,15 +9,17 @@ by similarity, or name nobody; some quantities can't be read. `customer` becomes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions import geometry
 from ledgerleaf.functions.scalars import CANONICAL
 from ledgerleaf.operators import holdings, lines as line_operators
-from ledgerleaf.plans.documents import blocks_of, holdings_of
+from ledgerleaf.plans.documents import all_holdings_of, blocks_of, holdings_of
 from ledgerleaf.plans.formats import SPECS, FormatSpec
-from ledgerleaf.sources.pages import lines_of, unreadable
+from ledgerleaf.sources.pages import lines_of, unreadable, with_lines
 
 ISSUERS = ["Alder Works", "Birch & Co", "Cedar Holdings"]
 ROWS = 20
@@ -117,7 +119,8 @@ def report_query(name: str):
     return run
 
 
-def report_sql(name: str) -> str:
+def report_sql(name: str, number: int | None = None) -> str:
+    """number: of the format among all, for a query over them."""
     spec = SPECS[name]
     similar, cells = name in SIMILAR, _cells(spec)
     if "currency" in cells:
@@ -136,11 +139,22 @@ SELECT CASE WHEN bad THEN 9999 ELSE 2 * (rn // {ROWS}) + 2 END::INT AS "Page rep
        CASE WHEN NOT bad THEN p_size::BIGINT * 1000 + p_partkey % 7 END::BIGINT AS "Nominal/Quantity", CASE WHEN NOT bad THEN {money("c")} END::DOUBLE AS "Market value",
        CASE WHEN bad THEN 'EUR' ELSE {currency} END AS "Currency", CASE WHEN bad THEN 0 ELSE (p_size % 40) / 100.0 END::DOUBLE AS "% Net Assets",
        CASE WHEN NOT bad THEN {cost} END::DOUBLE AS "Acquisition cost", CASE WHEN bond THEN DATE '2030-01-01' + CAST(p_partkey % 300 AS INT) END AS "Maturity",
-       CASE WHEN bond THEN (p_partkey % 10) / 100.0 END::DOUBLE AS "Interest rate"
+       CASE WHEN bond THEN (p_partkey % 10) / 100.0 END::DOUBLE AS "Interest rate"{"" if number is None else f""", 'r{number}/' || p_brand AS "Report identifier", '{name}' AS "Format" """}
 FROM h
 """
 
 
+def report_all_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All formats' reports at once, in one plan, told apart by their identifiers; pages of an unknown format give no rows."""
+    made = [report_pages(spark, sf_dir, n).withColumns({"format": F.lit(n), "report": F.concat_ws("/", F.lit(f"r{k}"), "doc_id")}) for k, n in enumerate(SPECS)]
+    made.append(made[0].withColumn("format", F.lit("NONE")))
+    return all_holdings_of(reduce(DataFrame.unionByName, made), ISSUERS, "report")
+
+
+def all_formats_sql() -> str:
+    return " UNION ALL ".join(f"SELECT * FROM ({report_sql(n, k)}) q{k}" for k, n in enumerate(SPECS))
+
+
 def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nation is a document, a segment a page, a customer a line; one page a nation can't be read."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
@@ -174,6 +188,30 @@ def page_unreadable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unreadable(customer_pages(spark, sf_dir))
 
 
+def damaged_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers' pages, a nation and segment each, whose lines are whole, don't close their font, or (the last) are cut off within a tag or behind one."""
+    customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    key, name = F.col("c_custkey"), F.col("c_name")
+    start = F.concat(F.lit('<line bbox="1 2 3 4" text="'), name, F.lit('"><font name="A" size="8"><char c="x"/>'))
+    whole, unclosed = F.concat(start, F.lit('<char c=" "/></font></line>')), F.concat(start, F.lit("</line>"))
+    kind = key % 3
+    line = F.struct(key.alias("key"), F.when(kind == 0, unclosed).otherwise(whole).alias("line"), F.when(kind == 1, F.concat(start, F.lit('<char c="y'))).otherwise(F.lit('<line bbox="1 2')).alias("cut"))
+    pages = customer.groupBy("c_nationkey", F.length("c_mktsegment").alias("n")).agg(F.array_sort(F.collect_list(line)).alias("lines"))
+    kept = F.transform(F.slice("lines", 1, F.size("lines") - 1), lambda x: x["line"])
+    return pages.select(F.col("c_nationkey").alias("doc_id"), F.col("n").alias("page_idx"), F.concat(F.lit("<page><block>"), F.array_join(kept, "\n"), F.element_at("lines", -1)["cut"]).alias("xml"))
+
+
+def page_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines_of(damaged_pages(spark, sf_dir)).select("doc_id", "page_idx", "ord", "text", "content", "font", F.size("fonts").alias("n_fonts"))
+
+
+_RECOVERED_SQL = """
+WITH c AS (SELECT c_nationkey AS doc_id, length(c_mktsegment)::INT AS page_idx, c_name AS text, c_custkey % 3 AS kind, row_number() OVER w AS rn, count(*) OVER (PARTITION BY c_nationkey, length(c_mktsegment)) AS n
+           FROM customer WINDOW w AS (PARTITION BY c_nationkey, length(c_mktsegment) ORDER BY c_custkey))
+SELECT doc_id, page_idx, (rn - 1)::INT AS ord, text, CASE WHEN rn = n OR kind = 0 THEN 'x' ELSE 'x ' END || chr(10) AS content, 'A' AS font, 1 AS n_fonts FROM c WHERE rn < n OR kind = 1
+"""
+
+
 def lines_by_font(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a font, lines with a text and a font, and the first such line of each page."""
     found = lines_of(customer_pages(spark, sf_dir))
@@ -211,7 +249,7 @@ UNION ALL SELECT 'contained', doc_id, page_idx, ord FROM c WHERE x0 >= 100 AND x
 
 def report_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The blocks of ANIMA's rendered reports, whose body ends at an anchor on every other page."""
-    blocks = blocks_of(lines_of(report_pages(spark, sf_dir, "ANIMA")), SPECS["ANIMA"])
+    blocks = blocks_of(with_lines(report_pages(spark, sf_dir, "ANIMA")), SPECS["ANIMA"])
     return blocks.select("doc_id", "page_idx", "table_col", "subfund", F.trim(F.translate("content", "\n", "")).alias("cell"), holdings.describe_block().alias("described"))
 
 
@@ -241,7 +279,7 @@ def range_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _RANGES_SQL = "SELECT p_partkey, p_size::DOUBLE AS size, NULL::DOUBLE AS open_size, '[' || p_size::DOUBLE || ':' || (p_size * 2)::DOUBLE || ']' AS shown, '[-:' || p_size::DOUBLE || ']' AS open_shown, '[3.0:-]' AS fixed, p_partkey % 2 = p_partkey % 3 AS same FROM part"
 
-QUERIES = {f"report_{n.lower()}": report_query(n) for n in SPECS} | {f.__name__: f for f in (page_lines, page_unreadable, lines_by_font, lines_by_area, report_blocks, range_values)}
+QUERIES = {f"report_{n.lower()}": report_query(n) for n in SPECS} | {f.__name__: f for f in (page_lines, page_unreadable, lines_by_font, lines_by_area, report_blocks, range_values, report_all_formats, page_recovered)}
 ORACLES = {f"report_{n.lower()}": report_sql(n) for n in SPECS} | {
     "page_lines": _PAGE_LINES_SQL,
     "page_unreadable": "SELECT DISTINCT c_nationkey AS doc_id, 99 AS page_idx FROM customer",
@@ -249,4 +287,6 @@ ORACLES = {f"report_{n.lower()}": report_sql(n) for n in SPECS} | {
     "lines_by_area": _BY_AREA_SQL,
     "report_blocks": _BLOCKS_SQL,
     "range_values": _RANGES_SQL,
+    "report_all_formats": all_formats_sql(),
+    "page_recovered": _RECOVERED_SQL,
 }
