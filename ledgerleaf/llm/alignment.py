@@ -26,11 +26,10 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
-import os
 import re
 import tempfile
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,10 +40,12 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.llm.common import collector_paused, select_required, tidy, written
 
-BLOCK = 6 << 20
+BLOCK = 4 << 20
 #: DuckDB's limit in a task; beyond it, it writes to the task's own temporary folder.
-MEMORY = "256MB"
+MEMORY = "192MB"
 STRETCH = re.compile(r"(?<=\S)(?= \S)")
+#: Fixed value: how byte-level BPE splits a text before it merges.
+SPLITS = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 GROUPS = "block string, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, stretches array<int>, times array<int>, a array<int>, b array<int>, docs array<long>, link_stretch array<int>, link_pair array<int>, link_times array<long>"
 RESULT = "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 
@@ -54,46 +55,64 @@ Ids = tuple[np.ndarray, np.ndarray]
 
 
 class Pair:
-    """The two tokenizers of a task; they are made once in a worker."""
+    """The two tokenizers of a task; they are made once in a worker.
+
+    A's vocabulary and merges are read from its file; where, as in any byte-level BPE trained so, a merge's rank is its
+    token's place, the tiktoken library gives the same ids in a third of the time.
+    """
 
     def __init__(self, a_path: str, b_path: str) -> None:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tiktoken
         from sentencepiece import SentencePieceProcessor
-        from tokenizers import Tokenizer
 
-        self.a, self.b = Tokenizer.from_file(a_path), SentencePieceProcessor(model_file=b_path)
-        self.a.encode_special_tokens = True
+        with open(a_path) as f:
+            read = json.load(f)
+        model, special = read["model"], {x["content"] for x in read["added_tokens"]}
+        split = read["pre_tokenizer"] or {}
+        if model["type"] != "BPE" or read["normalizer"] or split.get("type") != "ByteLevel" or split.get("add_prefix_space") or not split.get("use_regex"):
+            raise ValueError("A has to be a byte-level BPE with its usual splits")
+        merged = [x.replace(" ", "") if isinstance(x, str) else "".join(x) for x in model["merges"]]
+        places = [model["vocab"][x] for x in merged]
+        if places != sorted(places) or len(merged) + 256 != len(model["vocab"].keys() - special):
+            raise ValueError("A's tokens are not in the order of its merges")
         # byte-level tokens write byte n as the n-th of these characters: printable ones as themselves, others from 256 on
         own = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = (n for n in range(256) if n not in own)
         byte = {chr(n): n for n in own} | {chr(256 + k): n for k, n in enumerate(rest)}
-        with open(a_path) as f:
-            vocabulary = json.load(f)["model"]["vocab"]
-        self.bytes_a = {n: bytes(byte.get(c, 0) for c in entry) for entry, n in vocabulary.items()}
+        ranks = {bytes(byte[c] for c in entry): n for entry, n in model["vocab"].items() if entry not in special}
+        self.a = tiktoken.Encoding("a", pat_str=SPLITS, mergeable_ranks=ranks, special_tokens={})
+        self.b = SentencePieceProcessor(model_file=b_path)
         pieces = [self.b.id_to_piece(n) for n in range(self.b.get_piece_size())]
-        self.bytes_b = {n: bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)}
-        self.size_a = np.zeros(max(self.bytes_a) + 1, np.int64)
-        self.size_a[list(self.bytes_a)] = [len(x) for x in self.bytes_a.values()]
         if any("▁" in p.lstrip("▁") for p in pieces):
             raise ValueError("a piece goes over a space; stretches between spaces would not be independent")
+        of_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(n) else p.replace("▁", " ").encode() for n, p in enumerate(pieces)]
+        self.bytes = (by_id(ranks.items()), of_b)
+        self.sizes = tuple(np.array([len(x) for x in side], np.int64) for side in self.bytes)
 
-    def encode_joined(self, stretches: list[str]) -> Ids:
-        """A's ids. Stretches that don't end in white space are independent in one long text too, which takes less time."""
+    def encode_all(self, side: int, stretches: list[str]) -> list[list[int]]:
+        return [self.a.encode_ordinary(s) for s in stretches] if side == 0 else self.b.encode([s[1:] for s in stretches], num_threads=1)
+
+    def encode_part(self, side: int, stretches: list[str]) -> Ids:
+        """Ids of stretches. Those that don't end in white space are independent in one long text too, which takes less time."""
         if not any(map(ends_blank, stretches)):
-            flat = packed([e.ids for e in self.a.encode_batch_fast(["".join(stretches)], add_special_tokens=False)])[0]
-            stops, ends = np.cumsum(self.size_a[flat]), np.cumsum([len(s.encode()) for s in stretches])
+            flat = np.array(self.encode_all(side, ["".join(stretches)])[0], np.int32)
+            stops, ends = np.cumsum(self.sizes[side][flat]), np.cumsum([len(s.encode()) for s in stretches])
             last = np.searchsorted(stops, ends, "right")
             if np.array_equal(stops[last - 1], ends):
                 return flat, np.diff(last, prepend=0).astype(np.int32)
-        return packed([e.ids for e in self.a.encode_batch_fast(stretches, add_special_tokens=False)])
+        return packed(self.encode_all(side, stretches))
+
+    def encode(self, stretches: list[str]) -> list[Ids]:
+        parts = [stretches[k : k + 4096] for k in range(0, len(stretches), 4096)]  # what the libraries return is many times what is kept of it
+        made = [[self.encode_part(side, x) for x in parts] for side in (0, 1)]
+        return [(np.concatenate([x for x, _ in side]), np.concatenate([n for _, n in side])) if side else packed([]) for side in made]
+
 
-    def encode(self, stretches: list[str]) -> tuple[Ids, Ids]:
-        made: tuple[list[Ids], list[Ids]] = ([], [])
-        for k in range(0, len(stretches), 4096):  # what the libraries return is many times what is kept of it
-            part = stretches[k : k + 4096]
-            made[0].append(self.encode_joined(part))
-            made[1].append(packed(self.b.encode([s[1:] for s in part], num_threads=1)))
-        return tuple((np.concatenate([x for x, _ in side]), np.concatenate([n for _, n in side])) if side else packed([]) for side in made)
+def by_id(entries: Iterable[tuple[bytes, int]]) -> list[bytes]:
+    out: list[bytes] = []
+    for entry, n in sorted(entries, key=lambda x: x[1]):
+        out += [b""] * (n - len(out)) + [entry]
+    return out
 
 
 def ends_blank(stretch: str) -> bool:
@@ -115,7 +134,7 @@ def pair(a_path: str, b_path: str) -> Pair:
     return _pairs[a_path, b_path]
 
 
-def broken(ids: Ids, of: dict[int, bytes], stretches: list[str]) -> list[int]:
+def broken(ids: Ids, of: Sequence[bytes], stretches: list[str]) -> list[int]:
     """Stretches whose tokens' bytes are not their own."""
     flat, sizes = ids
     if b"".join(map(of.__getitem__, flat.tolist())) == "".join(stretches).encode():
@@ -124,17 +143,14 @@ def broken(ids: Ids, of: dict[int, bytes], stretches: list[str]) -> list[int]:
     return [k for k, s in enumerate(stretches) if b"".join(map(of.__getitem__, flat[at[k] : at[k + 1]].tolist())) != s.encode()]
 
 
-def intervals(ids: Ids, of: dict[int, bytes], good: np.ndarray) -> pa.Table:
+def intervals(ids: Ids, sizes: np.ndarray, good: np.ndarray) -> pa.Table:
     """(s, id, start, stop): a row a token of the good stretches, laid end to end."""
     flat, counts = ids
     stretch = np.repeat(np.arange(len(counts), dtype=np.int32), counts)
     held = good[stretch]
     flat, stretch = flat[held], stretch[held]
-    sizes = np.zeros(max(of) + 1, np.int64)
-    sizes[list(of)] = [len(x) for x in of.values()]
-    sizes = sizes[flat]
-    stop = np.cumsum(sizes)
-    return pa.table({"s": stretch, "id": flat, "start": stop - sizes, "stop": stop})
+    stop = np.cumsum(sizes[flat])
+    return pa.table({"s": stretch, "id": flat, "start": stop - sizes[flat], "stop": stop})
 
 
 GROUPING = (
@@ -146,12 +162,7 @@ GROUPING = (
        FROM (SELECT s, g, id, count(*) AS n FROM ga GROUP BY ALL) x JOIN (SELECT g, id, count(*) AS n FROM gb GROUP BY ALL) y USING (g) GROUP BY ALL""",
     "CREATE TEMP TABLE pairs AS SELECT a, b, (row_number() OVER () - 1)::INTEGER AS p FROM (SELECT DISTINCT a, b FROM links)",
     "CREATE TEMP TABLE known AS SELECT s, p, n FROM links JOIN pairs USING (a, b)",
-    """CREATE TEMP TABLE sums AS SELECT s, n_a, n_b, n_groups, n_links FROM (SELECT s, count(*) AS n_a FROM a GROUP BY s) JOIN (SELECT s, count(*) AS n_b FROM b GROUP BY s) USING (s)
-       JOIN (SELECT s, count(*) AS n_groups FROM cuts GROUP BY s) USING (s) JOIN (SELECT s, sum(n) AS n_links FROM links GROUP BY s) USING (s)""",
-    "CREATE TEMP TABLE held AS SELECT doc, s, count(*)::INTEGER AS n FROM places GROUP BY ALL",
 )
-PER_DOC = """SELECT doc, sum(n * n_a)::BIGINT AS n_a, sum(n * n_b)::BIGINT AS n_b, sum(n * n_groups)::BIGINT AS n_groups, sum(n * n_links)::BIGINT AS n_links, list(s ORDER BY s) AS stretches, list(n ORDER BY s) AS times
-             FROM held JOIN sums USING (s) GROUP BY doc"""
 PAIR_DOCS = "SELECT a, b, coalesce(docs, 0) AS docs FROM pairs LEFT JOIN (SELECT p, count(*) AS docs FROM (SELECT DISTINCT doc, p FROM held JOIN known USING (s)) GROUP BY p) USING (p) ORDER BY p"
 
 
@@ -194,44 +205,44 @@ def block_rows(name: str, doc_ids: list[int | None], texts: list[str | None], to
     renumbered[np.fromiter(map(number.__getitem__, stretches), np.int32, len(stretches))] = np.arange(len(stretches))
     places = [renumbered[p] for p in places]
     ids = tokenizers.encode(stretches)
-    sides = (tokenizers.bytes_a, tokenizers.bytes_b)
-    bad = sorted({k for x, of in zip(ids, sides, strict=True) for k in broken(x, of, stretches)})
+    bad = sorted({k for x, of in zip(ids, tokenizers.bytes, strict=True) for k in broken(x, of, stretches)})
     good = np.ones(len(stretches), bool)
     good[bad] = False
     if bad:
         places = [p if good[p].all() else np.zeros(0, np.int32) for p in places]
-    flat, ends = np.concatenate([*places, np.zeros(0, np.int32)]), np.cumsum([len(p) for p in places])
-    digests = [""] * len(places)
-    n, empty = len(doc_ids), pa.nulls(len(doc_ids))
-    sums = {k: np.zeros(n, np.int64) for k in ("n_a", "n_b", "n_groups", "n_links")}
-    held: dict[str, list] = {"stretches": [[] for _ in range(n)], "times": [[] for _ in range(n)]}
+    n, size = len(doc_ids), len(stretches)
+    flat, ends = np.concatenate([*places, np.zeros(0, np.int32)]), np.cumsum([0, *map(len, places)])
+    del number, stretches, places
+    # each document's different stretches, and how often it has them
+    held, times = np.unique(np.repeat(np.arange(n, dtype=np.int64) << 32, np.diff(ends)) | flat, return_counts=True)
+    held_ends = np.searchsorted(held, np.arange(n + 1, dtype=np.int64) << 32).astype(np.int32)
+    doc, held = (held >> 32).astype(np.int32), (held & 0xFFFFFFFF).astype(np.int32)
+    digests, counts = [""] * n, {k: np.zeros(size, np.int64) for k in ("n_a", "n_b", "n_groups", "n_links")}
     whole: dict[str, list] = {k: [[]] for k in ("a", "b", "docs", "link_stretch", "link_pair", "link_times")}
-    del number, stretches
     if len(flat):
         with tempfile.TemporaryDirectory() as folder, connection(folder) as db:
-            for side, x, of in zip("ab", ids, sides, strict=True):
-                db.register(side, intervals(x, of, good))
-            db.register("places", pa.table({"doc": np.repeat(np.arange(n, dtype=np.int32), np.diff(ends, prepend=0)), "s": flat}))
+            for side, x, sizes in zip("ab", ids, tokenizers.sizes, strict=True):
+                db.register(side, intervals(x, sizes, good))
+                counts[f"n_{side}"] = x[1].astype(np.int64)
+            db.register("held", pa.table({"doc": doc, "s": held}))
             for step in GROUPING:
                 db.execute(step)
-            of_docs = db.sql(PER_DOC).to_arrow_table()
-            at = of_docs["doc"].to_numpy()
-            for k in sums:
-                sums[k][at] = of_docs[k].to_numpy()
-            order = np.full(n, len(at))
-            order[at] = np.arange(len(at))
-            take = pa.array(order, pa.int64(), mask=order == len(at))
-            held = {k: of_docs[k].take(take) for k in held}
+            per = db.sql("SELECT s, groups, links FROM (SELECT s, count(*) AS groups FROM cuts GROUP BY s) JOIN (SELECT s, sum(n)::BIGINT AS links FROM links GROUP BY s) USING (s)").to_arrow_table()
+            for k, c in (("n_groups", "groups"), ("n_links", "links")):
+                counts[k][per["s"].to_numpy()] = per[c].to_numpy()
             counted, links = db.sql(PAIR_DOCS).to_arrow_table(), db.sql("SELECT s AS link_stretch, p AS link_pair, n AS link_times FROM known ORDER BY ALL").to_arrow_table()
             for part in (counted, links):
                 whole |= {c: pa.ListArray.from_arrays([0, part.num_rows], part[c].combine_chunks()) for c in part.column_names}
             which, groups = spelled_groups(db)
-        for i, j in itertools.pairwise(range(0, n + 64, 64)):  # a few documents' texts at a time
-            end, first = ends[i:j], ends[i - 1] if i else 0
-            texts = joined(groups.take(pa.array(np.searchsorted(which, flat[first : end[-1]]))), end - first, ";") if len(end) else []
-            digests[i:j] = [hashlib.sha256(t.as_buffer()).hexdigest() if len(t.as_buffer()) else "" for t in texts]
-    rows = {"block": [name] * n, "doc_id": doc_ids} | sums | {"groups_sha256": digests} | held | dict.fromkeys(whole, empty)
-    last = {"block": [name], "doc_id": [None], **dict.fromkeys(sums, [0]), "groups_sha256": [None], **dict.fromkeys(held, [None])} | whole
+        for i in range(0, n, 64):  # a few documents' texts at a time
+            own = ends[i : i + 65]
+            texts = joined(groups.take(pa.array(np.searchsorted(which, flat[own[0] : own[-1]]))), own[1:] - own[0], ";")
+            digests[i : i + 64] = [hashlib.sha256(t.as_buffer()).hexdigest() if len(t.as_buffer()) else "" for t in texts]
+    sums = {k: np.diff(np.concatenate([[0], np.cumsum(times * v[held])])[held_ends]) for k, v in counts.items()}
+    lists = {k: pa.ListArray.from_arrays(pa.array(held_ends), pa.array(v, pa.int32())) for k, v in (("stretches", held), ("times", times))}
+    empty = pa.nulls(n)
+    rows = {"block": [name] * n, "doc_id": doc_ids} | sums | {"groups_sha256": digests} | lists | dict.fromkeys(whole, empty)
+    last = {"block": [name], "doc_id": [None], **dict.fromkeys(sums, [0]), "groups_sha256": [None], **dict.fromkeys(lists, [None])} | whole
     return pa.concat_tables([pa.table(x).cast(ARROW) for x in (rows, last)])
 
 
@@ -249,6 +260,7 @@ def grouped(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
             with collector_paused():
                 rows = block_rows(f"{task}-{made}", ids, texts, pair(a_path, b_path))
             yield from rows.to_batches(max_chunksize=2048)
+            tidy()
 
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -260,7 +272,6 @@ def grouped(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                     made, size, ids, texts = made + 1, 0, [], []
         if ids:
             yield from block()
-        tidy()
 
     docs = select_required(docs, ["doc_id", "text"]).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return written(docs.mapInArrow(run, GROUPS), "aligned")
