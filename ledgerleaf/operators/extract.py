@@ -154,10 +154,11 @@ def with_fields(rows: DataFrame, offsets: Column, reach: tuple[int, int], walk:
 
 
 def read_names(rows: DataFrame) -> DataFrame:
-    """A row for each company of a block, with what the name says: interest rate, maturity, instrument."""
+    """A row for each company of a block, with what the name says: interest rate, maturity, instrument, the type of block."""
     rows = rows.withColumn("company", F.explode("companies"))
     rows = rows.withColumns({"raw_interest_rate": interest_rate(F.col("content")), "raw_maturity": maturity(F.col("content"))})
-    return rows.withColumn("instrument", instrument(F.col("raw_interest_rate"), F.col("raw_maturity"))).drop("merged", "popped", "last", "_rn", "raw_content", "companies")
+    rows = rows.withColumn("instrument", instrument(F.col("raw_interest_rate"), F.col("raw_maturity")))
+    return rows.withColumn("block_type", F.concat("instrument", F.lit("_TARGET"))).drop("merged", "popped", "last", "_rn", "raw_content", "companies")
 
 
 def extract_holdings(blocks: DataFrame, targets: Sequence[str], positions: Positions, walk: Walk = Walk()) -> DataFrame:

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from logging import Logger
+
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgerleaf.fixed_values import HOLDINGS_COLUMNS
 from ledgerleaf.functions.scalars import perc_to_float, to_currency, to_date, to_float, to_int, to_str
 
 PERMISSIVE, DROPMALFORMED, FAILFAST = "PERMISSIVE", "DROPMALFORMED", "FAILFAST"
+#: The types of blocks: what a page gives, and what a walk over blocks makes of them.
+RELEVANT_BLOCK, EQUITY_TARGET, BOND_TARGET = "RELEVANT_BLOCK", "EQUITY_TARGET", "BOND_TARGET"
 #: What a row that can't be cast becomes in the PERMISSIVE mode.
 SENTINEL_PAGE = 9999
 
@@ -39,6 +43,25 @@ def deserialize(rows: DataFrame, cost_and_value_interpret_int: bool | Column = T
     return rows.withColumn("subfund", to_str(F.col("subfund"))).withColumn("page", F.col("page_idx") + page_offset).withColumn("error", F.coalesce(*failed))
 
 
+def dispatch(rows: DataFrame, others: Mapping[str, Mapping[str, Column]] | None = None) -> DataFrame:
+    """Typed rows with a block_type, each type read in its own way.
+
+    Equities and bonds stay as they are. others has, by further types, the columns that replace typed ones in their rows
+    (`error` too, else theirs is null). A row of no known type, or of none, gets an error, for an error mode to handle.
+    """
+    others = dict(others or {})
+    kind = F.col("block_type")
+    replaced = sorted({name for columns in others.values() for name in columns} | {"error"})
+    made = {}
+    for name in replaced:
+        out = F.when(kind.isin(EQUITY_TARGET, BOND_TARGET), F.col(name))
+        for tag, columns in others.items():
+            out = out.when(kind == tag, columns.get(name, F.lit(None) if name == "error" else F.col(name)))
+        unknown = F.concat(F.lit("expected bond or equity blocks, found "), F.coalesce(kind, F.lit("none")))
+        made[name] = out.otherwise(unknown if name == "error" else F.col(name))
+    return rows.withColumns(made)
+
+
 def validate(rows: DataFrame, targets: list[str] | None = None) -> DataFrame:
     """error is set where the share of assets isn't in [0, 1], the page isn't positive or the company is no target; warning where a rate isn't in [0, 1]."""
     share, page = F.col("net_assets"), F.col("page")
@@ -63,6 +86,36 @@ def handle_errors(rows: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
     return rows
 
 
+def observed(rows: DataFrame, reports: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:
+    """Rows that count themselves while they are used: how many there are, have an error, a warning, or no sub-fund, and the first page with an error.
+
+    reports: conditions, by name, of the reports that are counted one by one beside the whole. No second pass is needed;
+    the counts are there once an action has run over all rows. A sort above would read the rows twice and double them:
+    sort first.
+    """
+    counts = []
+    for name, held in ({"all": F.lit(True)} | dict(reports or {})).items():
+        bad = held & F.col("error").isNotNull()
+        counts += [F.count_if(held).alias(f"{name}: rows"), F.count_if(bad).alias(f"{name}: errors"), F.count_if(held & F.col("warning").isNotNull()).alias(f"{name}: warnings")]
+        counts += [F.count_if(held & F.col("subfund").isNull()).alias(f"{name}: without sub-fund"), F.min(F.when(bad, F.col("page_idx"))).alias(f"{name}: first page with an error")]
+    seen = Observation()
+    return rows.observe(seen, *counts), seen
+
+
+def log_observed(seen: Observation, log: Logger, page_offset: int = 2) -> None:
+    """What was counted, as log lines of each report: errors with the first page that has one, warnings, missing sub-funds."""
+    counts = seen.get
+    for name in dict.fromkeys(x.rsplit(": ", 1)[0] for x in counts):
+        of = lambda what: counts[f"{name}: {what}"]  # noqa: B023, E731
+        if of("errors"):
+            log.error("%s: %d of %d rows have errors, the first on page %d", name, of("errors"), of("rows"), of("first page with an error") + page_offset)
+        if of("warnings"):
+            log.warning("%s: %d rows have warnings", name, of("warnings"))
+        if of("without sub-fund"):
+            log.warning("%s: %d rows have no sub-fund", name, of("without sub-fund"))
+        log.info("%s: %d rows", name, of("rows"))
+
+
 def errors(rows: DataFrame) -> DataFrame:
     return rows.where("error IS NOT NULL")
 

@@ -69,9 +69,12 @@ def beginning_size(target: Column, prefix: Column) -> Column:
 def beginnings(texts: DataFrame, targets: DataFrame, prefixes: Collection[float]) -> DataFrame:
     """Candidates of texts among listed targets of whose beginning the text's share of prefix must begin it."""
     keys = targets.withColumn("prefix", F.explode(F.array(*[F.lit(x) for x in sorted(prefixes)]))).withColumn("size", beginning_size(F.col("norm"), F.col("prefix"))).withColumn("key", F.left("norm", F.col("size")))
-    # the lengths of beginnings are a few small numbers, whatever the number of targets
-    sizes = keys.groupBy("prefix").agg(F.collect_set("size").alias("sizes"))
-    spread = texts.join(sizes, "prefix").select(*KINDS, F.xxhash64("norm").alias("norm_hash"), "norm", F.explode("sizes").alias("size")).where(F.length("norm") >= F.col("size"))
+    # the lengths of beginnings are a few small numbers, whatever the number of targets: they go into the plan
+    sizes = {r["prefix"]: sorted(r["sizes"]) for r in keys.groupBy("prefix").agg(F.collect_set("size").alias("sizes")).collect()}
+    of_text = F.array().cast("array<int>")
+    for prefix, own in sizes.items():
+        of_text = F.when(F.col("prefix") == prefix, F.array(*[F.lit(n) for n in own])).otherwise(of_text)
+    spread = texts.select(*KINDS, F.xxhash64("norm").alias("norm_hash"), "norm", F.explode(of_text).alias("size")).where(F.length("norm") >= F.col("size"))
     spread = spread.select(*KINDS, "norm_hash", "size", F.left("norm", F.col("size")).alias("key"))
     return spread.join(keys, ["prefix", "size", "key"]).select(*KINDS, "norm_hash", "target_ord", "target", F.col("norm").alias("wanted")).distinct()
 

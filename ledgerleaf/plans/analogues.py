@@ -298,7 +298,7 @@ def union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _raw_holdings(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("l_linenumber")
     return read(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_linenumber", k.alias("page_idx"), F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("company"), F.lit(" Fund  A ").alias("subfund"), F.lit("EQUITY").alias("instrument"),
+        "l_orderkey", "l_linenumber", "l_quantity", k.alias("page_idx"), F.concat(F.lit("Part "), F.col("l_partkey").cast("string")).alias("company"), F.lit(" Fund  A ").alias("subfund"), F.lit("EQUITY").alias("instrument"),
         F.when(k == 5, F.lit("n/a")).otherwise(F.col("l_quantity").cast("int").cast("string")).alias("raw_quantity"),
         F.floor("l_extendedprice").cast("string").alias("raw_market_value"),
         F.when(k == 6, F.lit("150 %")).otherwise(F.concat(F.round(F.col("l_discount") * 100).cast("int").cast("string"), F.lit("%"))).alias("raw_net_assets"),
@@ -318,6 +318,21 @@ def holdings_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("l_orderkey", "l_linenumber", "page", "company", "subfund", "quantity", "market_value", "net_assets", "currency")
 
 
+@query("""
+WITH h AS (SELECT l_orderkey, l_linenumber, l_linenumber % 5 AS k, l_linenumber + 2 AS page, 'Part ' || l_partkey AS company, CAST(l_quantity AS BIGINT) AS q, floor(l_extendedprice)::DOUBLE AS v FROM lineitem)
+SELECT l_orderkey, l_linenumber, CASE WHEN k > 2 THEN 9999 ELSE page END AS page, CASE WHEN k = 3 THEN 'expected bond or equity blocks, found NOTE' WHEN k = 4 THEN 'expected bond or equity blocks, found none' ELSE company END AS company,
+       CASE k WHEN 1 THEN 'BOND' WHEN 2 THEN 'CASH' ELSE 'EQUITY' END AS instrument, CASE WHEN k < 2 THEN q END AS quantity, CASE WHEN k <= 2 THEN v END AS market_value FROM h
+""")
+def typed_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Blocks of five types: equities, bonds, one that is read in its own way, an unknown one, and one without a type."""
+    k = F.col("l_linenumber")
+    tag = F.when(k % 5 == 0, holdings.EQUITY_TARGET).when(k % 5 == 1, holdings.BOND_TARGET).when(k % 5 == 2, "CASH_TARGET").when(k % 5 == 3, "NOTE")
+    raw = _raw_holdings(spark, sf_dir).withColumns({"block_type": tag, "instrument": F.when(k % 5 == 1, "BOND").otherwise("EQUITY"), "raw_net_assets": F.lit("1 %"), "raw_quantity": F.when(k % 5 != 2, F.col("l_quantity").cast("int").cast("string"))})
+    cash = {"instrument": F.lit("CASH"), "quantity": F.lit(None).cast("bigint")}
+    rows = holdings.handle_errors(holdings.validate(holdings.dispatch(holdings.deserialize(raw), {"CASH_TARGET": cash})))
+    return rows.select("l_orderkey", "l_linenumber", "page", "company", "instrument", "quantity", "market_value")
+
+
 @query("""
 SELECT CAST(l_linenumber + 2 AS INT) AS "Page report", 'Part ' || l_partkey AS "Company", 'EQUITY' AS "Financial instrument", 'Fund A' AS "Sub-fund", CAST(l_quantity AS BIGINT) AS "Nominal/Quantity",
        floor(l_extendedprice)::DOUBLE AS "Market value", 'SEK' AS "Currency", CAST(round(l_discount * 100) AS INT) / 100.0 AS "% Net Assets", NULL::DOUBLE AS "Acquisition cost", NULL::DATE AS "Maturity", NULL::DOUBLE AS "Interest rate"

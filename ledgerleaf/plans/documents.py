@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import logging
 import os
-from collections.abc import Collection, Iterable
+from collections.abc import Collection, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +44,11 @@ def blocks_of(lines: DataFrame, spec: FormatSpec, strict: bool = False) -> DataF
     return page_blocks(lines if "lines" in lines.columns else page.paged(lines), formats.as_column(spec), strict)
 
 
-def all_rows_of(pages: DataFrame, targets: list[str], specs: Collection[FormatSpec] | None = None, mode: str = holdings.PERMISSIVE, page_offset: int = 2, canonical_currency: bool = True, strict: bool = False, keep: Collection[str] = ()) -> DataFrame:
+def all_rows_of(pages: DataFrame, targets: list[str], specs: Collection[FormatSpec] | None = None, mode: str = holdings.PERMISSIVE, page_offset: int = 2, canonical_currency: bool = True, strict: bool = False, keep: Collection[str] = (), others: Mapping[str, Mapping[str, Column]] | None = None) -> DataFrame:
     """Typed rows with their errors of pages (doc_id, page_idx, xml, format): all formats in one plan.
 
     specs: the formats that there may be, by default all known ones; pages of others, or of none, give no rows. keep:
-    further columns of pages that stay, and tell documents apart.
+    further columns of pages that stay, and tell documents apart. others: see `holdings.dispatch`.
     """
     specs = list(SPECS.values()) if specs is None else list(specs)
     read = page_source.with_lines(pages.select(*keep, "format", *PAGE, "xml"))
@@ -72,7 +72,7 @@ def all_rows_of(pages: DataFrame, targets: list[str], specs: Collection[FormatSp
     # what the page says once stands for the field in each of its rows
     rows = rows.withColumns({f"raw_{name}": F.when(F.map_contains_key("metadata", name), F.try_element_at("metadata", F.lit(name))).otherwise(F.col(f"raw_{name}")) for name in FIELDS})
     typed = holdings.deserialize(read_names(rows), F.col("spec.cost_and_value_interpret_int"), F.col("spec.quantity_interpret_float"), canonical_currency, page_offset)
-    return holdings.handle_errors(holdings.validate(typed, targets), mode)
+    return holdings.handle_errors(holdings.validate(holdings.dispatch(typed, others), targets), mode)
 
 
 def rows_of(pages: DataFrame, format_name: str, targets: list[str], **options) -> DataFrame:
@@ -87,42 +87,53 @@ def holdings_of(pages: DataFrame, format_name: str, targets: list[str], **option
 
 def all_holdings_of(pages: DataFrame, targets: list[str], report: str | None = None, **options) -> DataFrame:
     """The holdings table of pages (doc_id, page_idx, xml, format) of any formats, with the format and, named by `report`, a column that identifies reports."""
-    rows = all_rows_of(pages, targets, keep=[report] if report else [], **options)
+    return tabled(all_rows_of(pages, targets, keep=[report] if report else [], **options), report)
+
+
+def tabled(rows: DataFrame, report: str | None) -> DataFrame:
     more = ([F.col(report).alias("Report identifier")] if report else []) + [F.col("format").alias("Format")]
     return holdings.to_table(rows, more)
 
 
-def run_job(spark: SparkSession, settings: control.Settings, pages: DataFrame | None = None, targets: list[str] | None = None) -> tuple[DataFrame, str, str | None]:
-    """(table, format, prefix) of one job; pages may be given instead of a file."""
-    settings = settings.validated()
-    found = None
-    if settings.url:
-        found = spark.range(1).select(control.detect_format(F.lit(settings.url))).first()[0]
-    name = control.reconcile_format(settings.format, found)
+def chosen_format(settings: control.Settings) -> str:
+    """The format that is selected or that the address tells; a file that is there is read without looking at the address."""
+    local = settings.pdf and (settings.url is None or os.path.exists(settings.pdf))
+    found = None if local else control.format_of(settings.url)
     if found and settings.format and found != settings.format:
         log.warning("the selected format %s is not the detected %s", settings.format, found)
-    if pages is None:
-        path = settings.pdf
-        if not (path and os.path.exists(path)):
-            kept = path if settings.save_pdf else None
-            path = kept or os.path.join(tempfile.mkdtemp(prefix="ledgerleaf-"), "report.pdf")
-            page_source.download(settings.url, path)
-        pages = page_source.read_pdf(spark, path)
-    return holdings_of(pages, name, targets or control.target_list(control.targets(spark))), name, settings.prefix_out
-
-
-def run(spark: SparkSession, settings: control.Settings) -> None:
-    """One report, or all jobs of a batch, to its output."""
+    return control.reconcile_format(settings.format, found)
+
+
+def job_pages(spark: SparkSession, jobs: list[control.Settings], decoder: str | None = None) -> DataFrame:
+    """(job, report, format, doc_id, page_idx, xml) of the reports of all jobs, decoded by tasks."""
+    documents = [page_source.Document(str(k), j.pdf, j.url, j.save_pdf) for k, j in enumerate(jobs)]
+    rows = [(str(k), j.prefix_out, chosen_format(j)) for k, j in enumerate(jobs)]
+    listed = spark.createDataFrame(rows, "doc_id string, report string, format string")
+    return page_source.read_documents(spark, documents, decoder).join(listed, "doc_id").withColumn("job", F.col("doc_id"))
+
+
+def run(spark: SparkSession, settings: control.Settings, decoder: str | None = None) -> None:
+    """One report, or all jobs of a batch, to its output: one plan, whose rows are counted as they are written."""
     from ledgerleaf.sources import sinks
 
-    jobs = control.batch_jobs(settings.batch, settings) if settings.batch else [settings]
-    results = [run_job(spark, j) for j in jobs]
-    if not settings.batch:
-        sinks.write_csv(results[0][0], settings.out)
-    elif settings.separate_out:
-        sinks.write_separate(results, settings.out)
+    jobs = [j.validated() for j in (control.batch_jobs(settings.batch, settings) if settings.batch else [settings])]
+    log.debug("settings: %s", settings.described())
+    names = [sinks.file_name(chosen_format(j), j.prefix_out) for j in jobs]
+    pages = job_pages(spark, jobs, decoder)
+    rows = all_rows_of(pages, control.target_list(control.targets(spark)), keep=["job", "report"])
+    # the counts are taken above the sort, below which rows are read once more to find its ranges
+    rows = rows.orderBy(F.col("job").cast("int"), "page_idx", "ord")
+    rows, seen = holdings.observed(rows, {f"job {k} ({j.pdf or j.url})": F.col("job") == str(k) for k, j in enumerate(jobs)})
+    if settings.batch and settings.separate_out:
+        last = {name: str(k) for k, name in enumerate(names)}  # of jobs whose files have one name the last one stays
+        file = F.when(F.col("job").isin(list(last.values())), F.get(F.array(*[F.lit(n) for n in names]), F.col("job").cast("int")))
+        sinks.write_files(holdings.to_table(rows.where(file.isNotNull()), [file.alias(sinks.FILE)]), settings.out, list(last))
     else:
-        sinks.write_merged(results, settings.out)
+        more = [F.col("format").alias("Format")] if settings.batch else []
+        if settings.batch and any(j.prefix_out is not None for j in jobs):
+            more.insert(jobs[0].prefix_out is None, F.col("report").alias("Report identifier"))
+        sinks.write_one(holdings.to_table(rows, more), settings.out)
+    holdings.log_observed(seen, log)
 
 
 def main(argv: list[str] | None = None) -> None:

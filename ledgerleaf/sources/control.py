@@ -43,9 +43,16 @@ def detect_format(url: Column, formats: list[tuple[str, str]] = FORMAT_URLS) ->
     return out
 
 
+def format_of(url: str | None, formats: list[tuple[str, str]] = FORMAT_URLS) -> str | None:
+    """As detect_format, for one address on the driver."""
+    import re
+
+    return next((name for name, pattern in reversed(formats) if url and re.search(pattern, url)), None)
+
+
 def detect_formats(rows: DataFrame, formats: DataFrame, key: str, url: str) -> DataFrame:
-    """(key, format) by a table of formats (ord, format, pattern), a control input of a few dozen rows."""
-    hit = rows.select(key, url).join(F.broadcast(formats), F.expr(f"`{url}` RLIKE pattern"))
+    """(key, format) by a table of formats (ord, format, pattern), a control input of a few dozen rows: patterns leave no key to join by."""
+    hit = rows.select(key, url).join(formats, F.expr(f"`{url}` RLIKE pattern"))
     return hit.groupBy(key).agg(F.max_by("format", "ord").alias("format"))
 
 
@@ -113,6 +120,10 @@ class Settings:
                 raise ValueError("separate files go to a directory or a .tar.gz archive")
         return self
 
+    def described(self) -> str:
+        """All settings, each with where it came from."""
+        return ", ".join(f"{f.name}={getattr(self, f.name)!r} ({self.origin.get(f.name, 'default')})" for f in fields(self) if f.name != "origin")
+
     def log_level(self) -> int:
         return (5 - self.verbosity) * 10
 

@@ -1,8 +1,9 @@
 """Streams of pages.
 
-The operators that work on single pages (decoding into lines, gates, columns of tables) hold no state over pages and
-run on streams as they are; holdings need a whole document, so a stream is turned into them a micro-batch at a time,
-each file of pages holding whole documents.
+The page stage (decoding into lines, gates, anchors, bodies, columns of tables: `sources.pages.with_lines` and
+`operators.page`) holds no state over rows, so `blocks_stream` is the batch plan over a stream. The operators over a row
+a line (`page_gate`, `table_positions`) are windows and aggregates over pages and do not run on streams. Holdings need a
+whole document, so a stream is turned into them a micro-batch at a time, each file of pages holding whole documents.
 """
 
 from __future__ import annotations
@@ -10,7 +11,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerleaf.plans.documents import holdings_of
+from ledgerleaf.plans import formats
+from ledgerleaf.plans.documents import holdings_of, page_blocks
+from ledgerleaf.sources.pages import with_lines
 
 PAGES = "doc_id string, page_idx int, xml string"
 
@@ -19,6 +22,11 @@ def pages_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(PAGES).parquet(path)
 
 
+def blocks_stream(pages: DataFrame, format_name: str) -> DataFrame:
+    """The blocks of a stream of pages of one format, as a stream."""
+    return page_blocks(with_lines(pages), formats.as_column(formats.SPECS[format_name]))
+
+
 def holdings_stream(pages: DataFrame, format_name: str, targets: list[str], out: str, checkpoint: str, **options) -> StreamingQuery:
     """Append the holdings of each micro-batch of pages to the table at out."""
 
