@@ -6,12 +6,13 @@ whole table.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.fixed_values import CURRENCIES
+from ledgerleaf.fixed_values import CURRENCIES, FORMAT_URLS
 from ledgerleaf.functions import scalars
 from ledgerleaf.functions.geometry import in_range
 from ledgerleaf.functions.matching import Likeness, prefix_similarity, similarity, target_match, target_prefix_match
@@ -352,6 +353,41 @@ def url_format_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
     return control.detect_formats(read(spark, sf_dir, "pages"), formats, "page_id", "url")
 
 
+_FORMAT_CASES = [f"{pattern.replace('.*', 'report/')}r" for _, pattern in FORMAT_URLS]
+
+
+@query("SELECT page_id, list_element([" + ", ".join(f"'{max((n for n, p in FORMAT_URLS if re.search(p, u)), key=[n for n, _ in FORMAT_URLS].index)}'" for u in _FORMAT_CASES) + f"], CAST(page_id % {len(_FORMAT_CASES) + 1} AS INT) + 1) AS format FROM pages")
+def known_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The format of addresses of all known publishers' reports, and of an unknown one's."""
+    url = F.get(F.array(*[F.lit(u) for u in _FORMAT_CASES], F.lit("https://nowhere/r")), (F.col("page_id") % (len(_FORMAT_CASES) + 1)).cast("int"))
+    return read(spark, sf_dir, "pages").select("page_id", control.detect_format(url).alias("format"))
+
+
+@query("""
+WITH h AS (SELECT l_orderkey, l_linenumber, 'Part ' || l_partkey AS company, CAST(l_quantity AS BIGINT) AS q, floor(l_extendedprice)::BIGINT AS v, CAST(round(l_discount * 100) AS INT) AS s, l_linenumber + 2 AS page FROM lineitem WHERE l_linenumber NOT IN (5, 6))
+SELECT 'EQUITY ' || company || '; sub-fund: Fund A; quantity: ' || q || '; value: ' || v || ' SEK; share: 0.0' || s || '; maturity: -; rate: -; page: ' || page AS described FROM h WHERE s BETWEEN 1 AND 9 AND v < 1000000
+""")
+def holdings_described(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdings as lines for a reader."""
+    table = holdings_table(spark, sf_dir).where("`% Net Assets` BETWEEN 0.01 AND 0.09 AND `Market value` < 1000000")
+    return table.withColumn("Market value", F.col("Market value").cast("bigint")).select(holdings.describe().alias("described"))
+
+
+_LAST_WORDS = ["the", "and", "zzz", "of the"]
+_LAST_SQL = ", ".join(f"({i}, '{t}')" for i, t in enumerate(_LAST_WORDS))
+
+
+@query(f"""
+WITH b AS (SELECT conv_id, turn, text FROM conversations WHERE text IS NOT NULL QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1)
+SELECT conv_id AS doc_id, turn AS ord, target AS company FROM b JOIN (VALUES {_LAST_SQL}) t(k, target) ON contains({norm_sql('text')}, target)
+""")
+def last_block_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last block of a document gives a row for each target that it names; here every block is in a column of its own."""
+    blocks = turns(spark, sf_dir).withColumn("table_col", F.col("ord"))
+    last = blocks.groupBy("doc_id").agg(F.max("ord").alias("ord"))
+    return extract_holdings(blocks, _LAST_WORDS, Positions(1, -1, -2)).join(last, ["doc_id", "ord"]).select("doc_id", "ord", "company")
+
+
 @query("SELECT page_id, coalesce(CASE WHEN page_id % 2 = 0 THEN 'EN' END, det) AS format, coalesce(page_id % 2 = 0 AND det <> 'EN', false) AS mismatch FROM (SELECT page_id, CASE WHEN contains(url, 'spam') THEN 'SPAM' WHEN contains(url, '/en/') THEN 'EN' END AS det FROM pages)")
 def format_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = control.detect_format(F.col("url"), [("EN", "/en/"), ("SPAM", "spam")])

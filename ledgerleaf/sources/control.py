@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import argparse
 import os
+import re
+from collections.abc import Mapping
 from dataclasses import dataclass, field, fields, replace
 from pathlib import Path
 
@@ -13,6 +15,7 @@ from pyspark.sql import functions as F
 from ledgerleaf.fixed_values import FALSE_WORDS, FORMAT_URLS, TARGETS, TRUE_WORDS
 
 ENV_PREFIX = "LEDGERLEAF_"
+LOCAL_CONFIG = re.compile(r"\.?((config|conf)[-._]?ledgerleaf|ledgerleaf[-._]?(config|conf))\.ya?ml", re.IGNORECASE)
 FORMATS = [name for name, _ in FORMAT_URLS]
 
 
@@ -45,8 +48,6 @@ def detect_format(url: Column, formats: list[tuple[str, str]] = FORMAT_URLS) ->
 
 def format_of(url: str | None, formats: list[tuple[str, str]] = FORMAT_URLS) -> str | None:
     """As detect_format, for one address on the driver."""
-    import re
-
     return next((name for name, pattern in reversed(formats) if url and re.search(pattern, url)), None)
 
 
@@ -133,12 +134,23 @@ _FILE_NAMES = {"verbosity": "verbosity", "n_workers": "n_workers", "pdf": "pdf",
 _JOB_NAMES = {"url": ("url", str), "save pdf": ("save_pdf", to_bool), "format": ("format", to_format), "pdf": ("pdf", str), "prefix out": ("prefix_out", str)}
 
 
-def find_config(home: str | None = None, here: str = ".") -> str | None:
-    """A settings file in the working directory, the user's or the system's configuration directory, in this order."""
-    base = os.environ.get("XDG_CONFIG_HOME") or os.path.join(home or os.path.expanduser("~"), ".config")
-    for d, names in ((here, ("ledgerleaf.yaml", "ledgerleaf.yml", ".ledgerleaf.yaml", ".ledgerleaf.yml", "config-ledgerleaf.yaml")), (os.path.join(base, "ledgerleaf"), ("config.yaml", "config.yml")), (base, ("ledgerleaf.yaml", "ledgerleaf.yml")), ("/etc/ledgerleaf", ("config.yaml", "config.yml"))):
-        for n in names:
-            if os.path.isfile(p := os.path.join(d, n)):
+def config_folders(env: Mapping[str, str], home: str, windows: bool) -> list[str]:
+    """Where settings files of the user, then of all users, then of the system lie."""
+    if windows:
+        return [env.get("LOCALAPPDATA") or os.path.join(home, "AppData", "Local"), env.get("PROGRAMDATA") or "C:\\ProgramData", env.get("SystemRoot") or "C:\\Windows"]
+    shared = (env.get("XDG_CONFIG_DIRS") or "/etc/xdg").split(":")
+    return [env.get("XDG_CONFIG_HOME") or os.path.join(home, ".config"), *shared, "/etc"]
+
+
+def find_config(home: str | None = None, here: str = ".", env: Mapping[str, str] | None = None, windows: bool = os.name == "nt") -> str | None:
+    """The settings file to read: one in the working directory, hidden or not, whose name is the program's and `config` or `conf` in
+    either order and any case, joined by `-`, `_`, `.` or nothing; else `ledgerleaf.yaml` or `.yml` in the first folder that has it."""
+    for name in sorted(os.listdir(here)):
+        if LOCAL_CONFIG.fullmatch(name) and os.path.isfile(p := os.path.join(here, name)):
+            return p
+    for d in config_folders(os.environ if env is None else env, home or os.path.expanduser("~"), windows):
+        for name in ("ledgerleaf.yaml", "ledgerleaf.yml"):
+            if os.path.isfile(p := os.path.join(d, name)):
                 return p
     return None
 

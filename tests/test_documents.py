@@ -122,3 +122,26 @@ def test_local_file_comes_first(tmp_path):
     assert pages.document_bytes(str(tmp_path / "r.pdf"), "http://127.0.0.1:9/none") == b"%PDF"
     with pytest.raises(OSError):
         pages.download("http://127.0.0.1:9/none", timeout=1)
+
+
+def test_settings_files_are_found(tmp_path):
+    here, home, shared = (tmp_path / x for x in ("here", "home", "shared"))
+    for d in (here, home / ".config", shared):
+        d.mkdir(parents=True)
+    env = {"XDG_CONFIG_DIRS": f"/nowhere:{shared}"}
+    find = lambda: control.find_config(str(home), str(here), env, windows=False)
+    assert find() is None
+    (shared / "ledgerleaf.yml").write_text("")
+    assert find() == str(shared / "ledgerleaf.yml")
+    (home / ".config" / "ledgerleaf.yaml").write_text("")
+    assert find() == str(home / ".config" / "ledgerleaf.yaml")
+    for name in ("ledgerleaf.yaml", "config-other.yaml", "xconf.ledgerleaf.yaml"):
+        (here / name).write_text("")
+    assert find() == str(home / ".config" / "ledgerleaf.yaml")
+    for name in (".ConfLedgerleaf.yml", "LEDGERLEAF_config.yaml", "config.ledgerleaf.YAML"):
+        (here / name).write_text("")
+        assert find() == str(here / name)
+        (here / name).unlink()
+    (home / "AppData" / "Local").mkdir(parents=True)
+    (home / "AppData" / "Local" / "ledgerleaf.yml").write_text("")
+    assert control.find_config(str(home), str(here), {}, windows=True) == str(home / "AppData" / "Local" / "ledgerleaf.yml")
