@@ -142,32 +142,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        NOT base_failed AND n_words - removed_words >= {line_rules.LEAST_KEPT} * n_words AS kept, removed_words FROM f
 """
 
-#: Lines with a trigger, scored once each against the templates; a file is one whose terms mostly stand on such lines.
+#: Windows around licence words, scored once each against the clauses; all directories above a path are joined.
+_ANCHORS = ", ".join(f"'{w}'" for w in licenses.ANCHORS)
+_CLAUSES = ", ".join("({0[0]!r}, {0[1]}, {0[2]}, {0[3]}, {0[4]}, '{1}')".format(c, c[5].replace("'", "''")) for c in licenses.clauses())
 OP8_SQL = f"""
-WITH tpl AS (SELECT * FROM (VALUES {", ".join(f"({k}, '{n}', '{t}')" for k, (n, t) in enumerate(licenses.TEMPLATES))}) AS v(template, license, phrase)),
-d AS (SELECT doc_id, concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), doc_id::VARCHAR) AS path, coalesce(text, '') AS text FROM documents),
-held AS (SELECT DISTINCT doc_id, path, line, len(regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+')) AS n_words
-         FROM (SELECT *, unnest(regexp_split_to_array(text, '\\r?\\n')) AS line FROM d) WHERE regexp_matches(lower(line), '{licenses.TRIGGERS}')),
-l AS (SELECT DISTINCT line FROM held),
-lt AS (SELECT line, term, count(*) AS tf FROM (SELECT line, unnest(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+')) AS term FROM l) GROUP BY ALL),
-tt AS (SELECT template, license, term, count(*) AS tf FROM (SELECT template, license, unnest(regexp_extract_all(lower(phrase), '[\\p{{L}}\\p{{N}}]+')) AS term FROM tpl) GROUP BY ALL),
-idf AS (SELECT term, ln(((SELECT count(*) FROM l) + (SELECT count(*) FROM tpl) + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf
-        FROM (SELECT term FROM lt UNION ALL SELECT term FROM tt) GROUP BY term),
-lw AS (SELECT line, term, tf * idf AS w FROM lt JOIN idf USING (term)),
-tw AS (SELECT template, license, term, tf * idf AS v FROM tt JOIN idf USING (term)),
-ln_ AS (SELECT line, sqrt(sum(w * w)) AS ln FROM lw GROUP BY line),
-tn AS (SELECT template, sqrt(sum(v * v)) AS tn FROM tw GROUP BY template),
-c AS (SELECT line, license, round(dot / tn / ln, 6) AS score FROM (SELECT line, template, license, sum(w * v) AS dot FROM lw JOIN tw USING (term) GROUP BY ALL)
-      JOIN tn USING (template) JOIN ln_ USING (line)),
-s AS (SELECT line, license, score FROM c WHERE score >= {licenses.LEAST} QUALIFY row_number() OVER (PARTITION BY line ORDER BY score DESC, license) = 1),
-h AS (SELECT doc_id, path, license, score, n_words, sum(len(regexp_extract_all(lower(line), '[\\p{{L}}\\p{{N}}]+'))) OVER (PARTITION BY doc_id) AS words
-      FROM held JOIN s USING (line) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license) = 1),
-f AS (SELECT regexp_replace(path, '/[^/]*$', '') AS dir, license, score FROM h WHERE words >= {licenses.MOSTLY} * n_words
-      QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/[^/]*$', '') ORDER BY score DESC, path) = 1)
-SELECT d.doc_id, d.path, coalesce(h.license, f.license) AS license, coalesce(h.score, f.score) AS score,
-       CASE WHEN h.license IS NOT NULL AND h.words >= {licenses.MOSTLY} * h.n_words THEN 'file' WHEN h.license IS NOT NULL THEN 'header'
-            WHEN f.license IS NOT NULL THEN 'inherited' END AS origin
-FROM d LEFT JOIN h USING (doc_id) LEFT JOIN f ON h.license IS NULL AND f.dir = regexp_replace(d.path, '/[^/]*$', '')
+WITH cl AS (SELECT * FROM (VALUES {_CLAUSES}) AS v(license, template, n_clauses, clause, size, phrase)),
+d AS (SELECT doc_id, concat_ws('/', coalesce(source, '-'), coalesce(lang, '-'), doc_id::VARCHAR) AS path, regexp_extract_all(lower(coalesce(text, '')), '[\\p{{L}}\\p{{N}}]+') AS t FROM documents),
+a AS (SELECT doc_id, i AS pos FROM (SELECT doc_id, unnest(t) AS w, generate_subscripts(t, 1) - 1 AS i FROM d) WHERE w IN ({_ANCHORS})),
+z AS (SELECT unnest({list(licenses.SIZES)}) AS size),
+p AS (SELECT DISTINCT doc_id, size, k * greatest(1, size // 4) AS start
+      FROM (SELECT doc_id, size, unnest(range(greatest(0, ceil((pos - size + 1) / greatest(1, size // 4)))::BIGINT, pos // greatest(1, size // 4) + 1)) AS k FROM a, z)),
+held AS (SELECT doc_id, len(t) AS n_words, size, start, array_to_string(t[start + 1:start + size], ' ') AS words FROM p JOIN d USING (doc_id)),
+u AS (SELECT DISTINCT size, words FROM held),
+ct AS (SELECT size, clause, term, count(*) AS tf FROM (SELECT size, clause, unnest(regexp_extract_all(lower(phrase), '[\\p{{L}}\\p{{N}}]+')) AS term FROM cl) GROUP BY ALL),
+ut AS (SELECT size, words, term, count(*) AS tf FROM (SELECT size, words, unnest(string_split(words, ' ')) AS term FROM u) WHERE term IN (SELECT term FROM ct) GROUP BY ALL),
+idf AS (SELECT term, ln(((SELECT count(*) FROM u) + (SELECT count(*) FROM cl) + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf
+        FROM (SELECT term FROM ut UNION ALL SELECT term FROM ct) GROUP BY term),
+uw AS (SELECT size, words, term, tf * idf AS w FROM ut JOIN idf USING (term)),
+cw AS (SELECT size, clause, term, tf * idf AS v FROM ct JOIN idf USING (term)),
+un AS (SELECT size, words, sqrt(sum(w * w)) AS un FROM uw GROUP BY ALL),
+cn AS (SELECT clause, sqrt(sum(v * v)) AS cn FROM cw GROUP BY ALL),
+s AS (SELECT size, words, clause, round(dot / cn / un, 6) AS score FROM (SELECT size, words, clause, sum(w * v) AS dot FROM uw JOIN cw USING (size, term) GROUP BY ALL) JOIN cn USING (clause) JOIN un USING (size, words)),
+hit AS (SELECT * FROM held JOIN s USING (size, words) WHERE score >= {licenses.LEAST}),
+cover AS (SELECT doc_id, count(DISTINCT i) AS line_words, max(n_words) AS n_words FROM (SELECT doc_id, n_words, unnest(range(start, least(start + size, n_words))) AS i FROM hit
+          QUALIFY row_number() OVER (PARTITION BY doc_id, clause ORDER BY score DESC, start) = 1) GROUP BY doc_id),
+tot AS (SELECT doc_id, license, template, n_clauses, round(sum(score), 6) AS total FROM (SELECT doc_id, clause, max(score) AS score FROM hit GROUP BY ALL) JOIN cl USING (clause) GROUP BY ALL),
+own AS (SELECT doc_id, license, round(total / n_clauses, 6) AS score FROM tot QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY round(total * total / n_clauses, 6) DESC, license, total / n_clauses DESC) = 1),
+h AS (SELECT doc_id, path, license, score, line_words >= {licenses.MOSTLY} * n_words AS is_file FROM own JOIN cover USING (doc_id) JOIN d USING (doc_id)),
+f AS (SELECT regexp_replace(path, '/?[^/]*$', '') AS dir, license, score FROM h WHERE is_file
+      QUALIFY row_number() OVER (PARTITION BY regexp_replace(path, '/?[^/]*$', '') ORDER BY score DESC, path) = 1),
+up AS (SELECT doc_id, k, array_to_string(string_split(path, '/')[1:len(string_split(path, '/')) - k], '/') AS dir FROM (SELECT doc_id, path, unnest(range(1, len(string_split(path, '/')) + 1)) AS k FROM d)),
+near AS (SELECT doc_id, license, score FROM up JOIN f USING (dir) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY k) = 1)
+SELECT d.doc_id, d.path, coalesce(h.license, n.license) AS license, coalesce(h.score, n.score) AS score,
+       CASE WHEN h.is_file THEN 'file' WHEN h.license IS NOT NULL THEN 'header' WHEN n.license IS NOT NULL THEN 'inherited' END AS origin
+FROM d LEFT JOIN h USING (doc_id) LEFT JOIN near n ON h.license IS NULL AND n.doc_id = d.doc_id
 """
 
 #: Places by dense_rank over a sort of each group; crc32 by steps over a list of bytes, eight shifts (-1) after each.
