@@ -1,4 +1,8 @@
-"""Connected components of an edge table, by alternating large-star and small-star steps."""
+"""Connected components of an edge table, by alternating large-star and small-star steps.
+
+Defined cases: an edge of a node with itself, or with a null end, is none; repeated edges and both directions of one count
+once; other columns are not read; an empty table gives an empty table. Only numbers are read, no texts.
+"""
 
 from __future__ import annotations
 

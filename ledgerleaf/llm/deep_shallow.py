@@ -1,4 +1,8 @@
-"""Deep-shallow sorting of byte strings of one length: multikey quicksort to a shallow depth, blind tries below it."""
+"""Deep-shallow sorting of byte strings of one length: multikey quicksort to a shallow depth, blind tries below it.
+
+Defined cases: equal strings keep the order of their places; no strings give an empty order. The strings are pieces of one
+length, whatever the length of the texts they are cut out of, so nulls and empty texts do not come here.
+"""
 
 from __future__ import annotations
 

@@ -11,7 +11,7 @@ line that holds a third of all rows leaves at most one row a task and key. The j
 to documents is salted by document.
 
 Defined cases: null text is the empty text; a null source is a host of its own; rows with the same doc_id and text get
-the same verdict; a null doc_id is a value like others; an empty table gives an empty table; other columns are kept by
+the same verdict; a null doc_id is a value like others; a very long text is one row, its lines an array; an empty table gives an empty table; other columns are kept by
 `apply_rules` and not read by `judge`.
 """
 

@@ -25,7 +25,8 @@ Equal sets are one class from the start; the class is a 64-bit hash of the set.
 
 Defined cases: texts of fewer than 5 words have their whole sequence as one shingle; texts without a word have an
 empty set and link with nothing; rows with the same doc_id are separate documents; a null doc_id takes part, and a
-component's id is its least doc_id, null only if all are; other columns are not read; an empty table gives an empty one.
+component's id is its least doc_id, null only if all are; a very long text has all its shingles; other columns are not
+read; an empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ composition is done for the stretches between such places, once for each differe
 Decoding inverts P and B and drops the leading space; bytes that are no UTF-8 become U+FFFD.
 
 Defined cases: null text is the empty text; the empty text has no ids; U+2581 in a text is read as a space, so decoding
-gives a space; repeated rows are encoded each; other columns stay, a column named like an output is replaced.
+gives a space; repeated rows are encoded each; a very long text is encoded stretch by stretch, one without spaces as one
+stretch; an empty table gives an empty table; other columns stay, a column named like an output is replaced.
 """
 
 from __future__ import annotations

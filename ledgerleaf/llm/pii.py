@@ -18,8 +18,9 @@ by chunks of code points.
 
 Defined cases: null text is the empty text, without spans (`sanitise` keeps it null); copies of a text count once, in p,
 in q and as texts of an entity; where every text has an entity (q = 1) only lines can disclose; repeated rows get the same
-spans each; a span is in code points, its end exclusive; very long texts, in one line or many, with any number of spans
-need memory and time in proportion; other columns are kept by `sanitise` and not read by `find`; an empty table gives
+spans each; a span is in code points, its end exclusive; very long texts, in one line or many, with any number of
+entities need memory and time in proportion, but where a text holds many different disclosing terms their search takes
+time with the product of text and terms; other columns are kept by `sanitise` and not read by `find`; an empty table gives
 an empty table.
 """
 

@@ -12,7 +12,8 @@ all that reaches the driver.
 
 Defined cases: null text is the empty text and is scored; a label row whose label or doc_id is null is not used, of
 labels that contradict each other for a doc_id the smaller counts; without two classes the score is the share of the
-label, smoothed, for every text; repeated rows get the same score each; other columns are not read.
+label, smoothed, for every text; repeated rows get the same score each; a very long text is counted whole, as one row;
+an empty table gives an empty table; other columns are not read.
 """
 
 from __future__ import annotations

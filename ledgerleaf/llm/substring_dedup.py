@@ -9,7 +9,8 @@ A word is what ASCII white space separates. Two different windows share a hash w
 
 Defined cases: null or blank text has no words and is kept as the empty string; texts shorter than the window are kept
 whole; rows with the same doc_id are different documents, ordered by a hash of their text; a null doc_id comes before
-all others; an empty table gives an empty table; other columns of the input are not read.
+all others; the windows of a very long text are dealt out like all others; an empty table gives an empty table; other
+columns of the input are not read.
 """
 
 from __future__ import annotations

@@ -18,7 +18,8 @@ Runs with the same text on both sides are sent once for each block and sorted on
 
 Defined cases: null text is the empty text; texts shorter than the width are kept; rows with the same doc_id are
 different documents, ordered by a hash of their text; a null doc_id comes before all others; kept bytes need not be
-UTF-8 and are returned as binary; an empty table gives an empty table; other columns are not read.
+UTF-8 and are returned as binary; the strings of a very long text are dealt out like all others; an empty table gives an
+empty table; other columns are not read.
 """
 
 from __future__ import annotations

@@ -13,8 +13,8 @@ Words between ASCII white space are encoded once for each block and looked up; t
 joins text over white space, so this equals encoding the whole text.
 
 Defined cases: null text is the empty text and gives the end id alone; rows with the same doc_id follow each other in
-the order of a hash of their text; a null doc_id comes first; an empty table gives an empty file set; other columns
-are not read.
+the order of a hash of their text; a null doc_id comes first; the ids of a very long text go over several blocks; an
+empty table gives an empty file set; other columns are not read.
 """
 
 from __future__ import annotations
