@@ -106,7 +106,7 @@ TEXTS: list[tuple[str, list[str]]] = [
 #: Licences also stand in texts as identifiers.
 TEXTS += [(name, [f"SPDX-License-Identifier: {name}"]) for name in sorted({name for name, _ in TEXTS} - {"Proprietary"})]
 #: Terms around which texts are searched; every clause has one.
-ANCHORS = "affero apache cc cc0 commons copyleft copyright copyrighted gnu isc licence licences license licensed licenses licensor merchantability mit mozilla permission redistribution redistributions spdx unencumbered unlicense warranties warranty".split()
+ANCHORS = "affero apache cc cc0 commons copyleft copyright copyrighted gnu isc licence licences license licensed licenses licensor merchantability mozilla permission redistribution redistributions spdx unencumbered unlicense warranties warranty".split()
 #: Numbers of terms of windows; clauses are compared with windows of the least size that they fit in.
 SIZES = (4, 8, 16, 32, 64)
 LEAST = 0.6

@@ -352,15 +352,19 @@ def link(docs: DataFrame, percent: int = PERCENT, width: int = SHINGLE) -> DataF
     edges = written(verified(tested, sets, percent), "edges")
     united = components(edges)
     free_shuffles(spark)
+    stuck = False
     for k in range(ROUNDS + 1):
         nearest = k < ROUNDS
+        if nearest and stuck:  # the components are those of the round before, and so are the nearest
+            continue
         pairs = written(crossing(few if nearest else posted, united, light, percent, nearest).join(tested, ["a", "b"], "left_anti"), "pairs")
         if not nearest and not pairs.isEmpty():
             more = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(sets, "class", "left_anti")
             sets = sets.unionByName(read_sets(more.select(F.col("class").alias("a"), F.col("class").alias("b")), light, blocks, width))
         new = written(verified(pairs, sets, percent), "edges")
         tested = tested.unionByName(pairs)
-        if not new.isEmpty():
+        stuck = new.isEmpty()
+        if not stuck:
             edges = edges.unionByName(new)
             united = components(edges)
         free_shuffles(spark)
