@@ -109,7 +109,11 @@ def maturity(text: Column) -> Column:
     return F.coalesce(*[F.nullif(F.regexp_extract(text, p, 1), F.lit("")) for p in MATURITIES])
 
 
-def instrument(rate: Column, due: Column) -> Column:
+def instrument(text: Column) -> Column:
+    return instrument_of(interest_rate(text), maturity(text))
+
+
+def instrument_of(rate: Column, due: Column) -> Column:
     """By the raw interest rate and maturity of a holding's text: what has either is a bond."""
     return F.when(rate.isNotNull() | due.isNotNull(), "BOND").otherwise("EQUITY")
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerleaf.functions.matching import Likeness, Match, target_match
-from ledgerleaf.functions.scalars import bind, instrument, interest_rate, maturity, normalize_string
+from ledgerleaf.functions.scalars import bind, instrument_of, interest_rate, maturity, normalize_string
 from ledgerleaf.operators.matching import SHORT_LIST, matches
 
 #: The raw fields of a holding.
@@ -157,7 +157,7 @@ def read_names(rows: DataFrame) -> DataFrame:
     """A row for each company of a block, with what the name says: interest rate, maturity, instrument, the type of block."""
     rows = rows.withColumn("company", F.explode("companies"))
     rows = rows.withColumns({"raw_interest_rate": interest_rate(F.col("content")), "raw_maturity": maturity(F.col("content"))})
-    rows = rows.withColumn("instrument", instrument(F.col("raw_interest_rate"), F.col("raw_maturity")))
+    rows = rows.withColumn("instrument", instrument_of(F.col("raw_interest_rate"), F.col("raw_maturity")))
     return rows.withColumn("block_type", F.concat("instrument", F.lit("_TARGET"))).drop("merged", "popped", "last", "_rn", "raw_content", "companies")
 
 

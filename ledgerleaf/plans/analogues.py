@@ -283,7 +283,7 @@ SELECT l_orderkey, l_linenumber, CASE WHEN k = 0 THEN ((c + 10) % 10)::VARCHAR |
 def bond_equity(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = _bond_text()
     rows = read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", scalars.interest_rate(text).alias("raw_rate"), scalars.maturity(text).alias("raw_maturity"))
-    return rows.withColumn("instrument", scalars.instrument(F.col("raw_rate"), F.col("raw_maturity")))
+    return rows.withColumn("instrument", scalars.instrument_of(F.col("raw_rate"), F.col("raw_maturity")))
 
 
 @query("""
