@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 import zlib
 
 import cases
@@ -143,6 +144,21 @@ def test_a_very_long_text_of_many_entities(spark):
     assert got[0].clean == "\n".join(["write <TERM> <EMAIL>"] * n) and got[1].clean == " ".join(["write <TERM> <EMAIL>"] * m)
 
 
+def test_many_disclosing_terms_in_one_text(spark):
+    n = 20_000
+    terms = [f"t{i:05d}" for i in range(n)]
+    text = "\n".join(" ".join(f"{t.upper() if i % 3 else t} plain{i}" for t in terms[i : i + 50]) for i in range(0, n, 50))
+    texts = [text, " ".join(f"{t} w" for t in terms[:65]), " ".join(terms[:64]) + " W", f"ſ{terms[0]} {terms[1]}x u@a.example {terms[2]}", "none"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2)
+    chosen = spark.createDataFrame([(t,) for t in terms], "term string")
+    begun = time.monotonic()
+    got = {x.doc_id: x.s for x in pii.with_spans(df, pii.statistics(df), chosen, "spans", "extra").select("doc_id", pii.as_text(F.col("extra")).alias("s")).collect()}
+    known = set(terms)
+    assert got == {i: ",".join(f"term:{m.start()}:{m.end()}" for m in re.finditer(r"[^\W_]+", t) if m[0].lower() in known) for i, t in enumerate(texts)}
+    # the product of words and terms would take minutes
+    assert time.monotonic() - begun < 60
+
+
 def test_token_files_round_trip(spark, tmp_path):
     from tokenizers import Tokenizer
 
