@@ -2,8 +2,10 @@
 
 A line is a part of a text between line feeds that holds a word. Lines are normalised (lower case, digits to 0, white
 space dropped) and hashed; for each host (the source column) the distinct texts that hold a line are counted, so
-that copies of one text count once. A line is boilerplate where it is in more than `max(min_texts, share * texts of
-the host)` texts. Boilerplate lines are removed, and a document that keeps less than `least_kept` of its words is
+that copies of one text count once: documents that are copies are left to the operators that look for near duplicates,
+which keep one of them, and would all be depleted here. A line is boilerplate where it is in more than `max_texts` texts of
+its host, however large the host is, or, so that small hosts have boilerplate too, in more than `share` of them and more
+than `min_texts`. Boilerplate lines are removed, and a document that keeps less than `least_kept` of its words is
 depleted and rejected. Beside that, base rules reject texts that are short or repeat themselves.
 
 Plan: one pass over the texts writes the counts and line hashes of each document; lines are exploded as (host, line hash, text hash) and counted with two partial aggregations, so a host or a
@@ -24,8 +26,9 @@ from ledgerleaf.llm.common import fresh, let, select_required, words, written
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-MIN_TEXTS = 20
-SHARE = 0.05
+MAX_TEXTS = 20
+MIN_TEXTS = 5
+SHARE = 0.15
 LEAST_KEPT = 0.5
 SALTS = 32
 SYMBOLS = "#*$%&|<>"
@@ -94,19 +97,20 @@ def scanned(docs: DataFrame) -> DataFrame:
     return written(rows.withColumn("base_failed", (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))), "lines")
 
 
-def frequent_lines(rows: DataFrame, min_texts: int, share: float) -> DataFrame:
+def frequent_lines(rows: DataFrame, max_texts: int, min_texts: int, share: float) -> DataFrame:
     """(host, line): the boilerplate lines of each host."""
     line = F.explode(F.array_distinct(F.transform("lines", lambda x: x["line"]))).alias("line")
-    counted = rows.select("host", "text_hash", line).distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min_texts)
+    counted = rows.select("host", "text_hash", line).distinct().groupBy("host", "line").agg(F.count(F.lit(1)).alias("n_texts")).where(F.col("n_texts") > min(max_texts, min_texts))
     hosts = rows.select("host", "text_hash").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("host_texts"))
-    return counted.join(hosts, "host").where(F.col("n_texts") > share * F.col("host_texts")).select("host", "line")
+    limit = F.least(F.lit(max_texts), F.greatest(F.lit(min_texts), share * F.col("host_texts")))
+    return counted.join(hosts, "host").where(F.col("n_texts") > limit).select("host", "line")
 
 
-def verdicts(rows: DataFrame, min_texts: int, share: float, least_kept: float) -> DataFrame:
+def verdicts(rows: DataFrame, max_texts: int, min_texts: int, share: float, least_kept: float) -> DataFrame:
     """The scanned rows with removed_words, removed_lines (hashes, null for none) and kept."""
     salt = F.pmod(F.xxhash64("doc_id", "text_hash"), F.lit(SALTS)).cast("int")
     here = rows.select("doc_id", "text_hash", "host", salt.alias("salt"), F.explode("lines").alias("x")).select("doc_id", "text_hash", "host", "salt", "x.line", "x.n")
-    frequent = frequent_lines(rows, min_texts, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    frequent = frequent_lines(rows, max_texts, min_texts, share).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     hit = here.join(frequent, ["host", "line", "salt"])
     # a set of lines, so repeated rows and repeated lines don't matter; a line's form says its words but for white space
     per = hit.groupBy("doc_id", "text_hash").agg(F.collect_set("line").alias("removed_lines")).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "removed_lines")
@@ -116,15 +120,15 @@ def verdicts(rows: DataFrame, min_texts: int, share: float, least_kept: float) -
     return joined.withColumn("kept", ~F.col("base_failed") & (F.col("n_words") - F.col("removed_words") >= least_kept * F.col("n_words")))
 
 
-def judge(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
+def judge(docs: DataFrame, max_texts: int = MAX_TEXTS, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
     """Counts and verdict of each document: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, removed_words."""
-    out = verdicts(scanned(docs), min_texts, share, least_kept)
+    out = verdicts(scanned(docs), max_texts, min_texts, share, least_kept)
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "removed_words")
 
 
-def apply_rules(docs: DataFrame, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
+def apply_rules(docs: DataFrame, max_texts: int = MAX_TEXTS, min_texts: int = MIN_TEXTS, share: float = SHARE, least_kept: float = LEAST_KEPT) -> DataFrame:
     """The documents that stay, with their boilerplate lines removed; all columns of docs, text rewritten (never null)."""
-    stay = verdicts(scanned(docs), min_texts, share, least_kept).where("kept").dropDuplicates(["doc_id", "text_hash"])
+    stay = verdicts(scanned(docs), max_texts, min_texts, share, least_kept).where("kept").dropDuplicates(["doc_id", "text_hash"])
     doc, key, gone = fresh(docs, "doc", "key", "gone")
     stay = stay.select(F.col("doc_id").alias(doc), F.col("text_hash").alias(key), F.col("removed_lines").alias(gone))
     text = F.coalesce(docs["text"], F.lit(""))

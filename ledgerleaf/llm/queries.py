@@ -126,7 +126,7 @@ l1 AS (SELECT doc_id, host, text, line, regexp_replace(translate(lower(line), '1
 lines AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM l1 GROUP BY doc_id),
 hosts AS (SELECT host, count(DISTINCT text) AS host_texts FROM d GROUP BY host),
 freq AS (SELECT host, norm FROM (SELECT host, norm, count(DISTINCT text) AS n_texts FROM l1 GROUP BY host, norm) JOIN hosts USING (host)
-         WHERE n_texts > {line_rules.MIN_TEXTS} AND n_texts > {line_rules.SHARE} * host_texts),
+         WHERE n_texts > {line_rules.MAX_TEXTS} OR n_texts > {line_rules.MIN_TEXTS} AND n_texts > {line_rules.SHARE} * host_texts),
 gone AS (SELECT doc_id, sum(n) AS removed FROM l1 SEMI JOIN freq USING (host, norm) GROUP BY doc_id),
 t AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM d),
 g AS (SELECT doc_id, i, word, lead(word) OVER o AS w2, lead(word, 2) OVER o AS w3 FROM t WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
