@@ -3,11 +3,11 @@
 Terms are runs of letters and digits (ASCII capitals in lower case). The vocabulary is that of the benchmark's items
 without stop terms, those in more than STOP_SHARE of all documents; document frequencies are counted over the whole
 corpus. Documents are cut into passages of WIDTH terms, one every STRIDE terms. A randomised SVD of the TF-IDF matrix
-of a bounded sample of passages (SAMPLE rows, the smallest hashes) and of all items gives the latent space; range
-finding and its power iteration are Spark jobs over the rows. Every passage of the corpus that could pass the checks is
-projected and compared with all items by cosine. A candidate is then checked by the longest common subsequence of
-content terms around the passage: at `verbatim` or more of the item it is a leak; at `paraphrase` or more it is one if
-the item's answer (its last sentence) is there too, by `answer` of its terms in order.
+of all passages with a term of the vocabulary and of all items gives the latent space; the matrix is written once, and
+range finding and its power iteration are Spark jobs over its rows. Every passage of the corpus that could pass the
+checks is projected and compared with all items by cosine. A candidate is then checked by the longest common
+subsequence of content terms around the passage: at `verbatim` or more of the item it is a leak; at `paraphrase` or more
+it is one if the item's answer (its last sentence) is there too, by `answer` of its terms in order.
 
 Beside the cosine there is an exact way, so that nothing rests on how well the space represents an item: of n terms a
 leak has m = ceil(paraphrase * n) in order, so at least k of them are among the item's n - m + k rarest, whatever k.
@@ -37,12 +37,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerleaf.llm.blocks import U64, mix
-from ledgerleaf.llm.common import fresh, tidy, written
+from ledgerleaf.llm.common import discard, fresh, tidy, written
 from ledgerleaf.llm.substring_dedup import words_of
 
 WIDTH, STRIDE = 64, 32
 STOP_SHARE = 0.05
-SAMPLE = 4096
 RANK, OVER = 128, 16
 COSINE = 0.2
 VERBATIM, PARAPHRASE, ANSWER = 0.8, 0.6, 0.6
@@ -50,6 +49,8 @@ LEAST = 4
 ROUND = 10_000
 #: Items whose rare terms are looked up at once.
 SLICE = 1024
+#: Entries of the matrix that are multiplied at once, and the longest run of them that is summed in one go.
+ENTRIES, RUN = 1 << 16, 32
 HITS = "doc_id long, item_id long, cosine double, lcs double, answer double"
 
 _SEPARATOR = np.ones(256, bool)
@@ -148,55 +149,90 @@ def vectors(at: np.ndarray, start: np.ndarray, end: np.ndarray, idf: np.ndarray)
     return out
 
 
-def sample_of(docs: DataFrame, items: Items, size: int) -> DataFrame:
-    """(h, terms, weights): the passages with the smallest hashes, however the rows are dealt.
-
-    A task keeps the smallest of all its passages, `size` at most, and so gives every one that can be among the smallest of all.
-    """
+def passage_rows(docs: DataFrame, items: Items) -> DataFrame:
+    """(h, terms, weights) of every passage with a term of the vocabulary: a hash, and its normed tf * idf."""
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept_h, kept = np.zeros(0, U64), []
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n_terms = len(items.vocabulary)
         for ids, texts in batches_of(batches):
             hashes, of = terms_of(texts)
             at = vocabulary_places(hashes, items.vocabulary)
             start, end, text = passages(at, of, len(texts))
-            known = np.concatenate([[0], np.cumsum(at >= 0)])
-            some = known[end] > known[start] if len(start) else np.zeros(0, bool)
-            start, end, text = start[some], end[some], text[some]
-            if not len(start):
+            known = np.flatnonzero(at >= 0)
+            lo, hi = np.searchsorted(known, start), np.searchsorted(known, end)
+            place, row = spread(lo, hi - lo, np.arange(len(start)))
+            keys, n = np.unique(row * n_terms + at[known[place]], return_counts=True)
+            if not len(keys):
                 continue
+            row, terms = np.divmod(keys, n_terms)
+            w = n * items.idf[terms]
+            new = np.flatnonzero(np.diff(row, prepend=-1))
+            w /= np.repeat(np.sqrt(np.add.reduceat(w * w, new)), np.diff(new, append=len(row)))
+            row, bounds = row[new], pa.array([*new, len(terms)], pa.int32())
             sums = np.concatenate([np.zeros(1, U64), np.cumsum(hashes, dtype=U64)])
-            h = mix(sums[end] - sums[start] + np.array([(ids[k] or 0) for k in text], np.int64).view(U64) * U64(0x9E3779B97F4A7C15))
-            # the signed order, which Spark sorts by
-            order = np.concatenate([kept_h.view(np.int64), h.view(np.int64)])
-            least = np.argsort(order, kind="stable")[:size]
-            n = len(kept)
-            kept = [kept[k] if k < n else at[start[k - n] : end[k - n]].copy() for k in least.tolist()]
-            kept_h = order[least].view(U64)
-        if kept:
-            got = [vectors(x, np.array([0]), np.array([len(x)]), items.idf)[0] for x in kept]
-            yield pa.RecordBatch.from_pydict({"h": pa.array(kept_h.view(np.int64), pa.int64()), "terms": pa.array([x[0] for x in got], pa.list_(pa.int64())), "weights": pa.array([x[1] for x in got], pa.list_(pa.float64()))})
+            h = mix(sums[end[row]] - sums[start[row]] + np.array([i or 0 for i in ids], np.int64)[text[row]].view(U64) * U64(0x9E3779B97F4A7C15))
+            yield pa.RecordBatch.from_pydict({"h": pa.array(h.view(np.int64)), "terms": pa.ListArray.from_arrays(bounds, pa.array(terms)), "weights": pa.ListArray.from_arrays(bounds, pa.array(w))})
 
-    return docs.select("doc_id", "text").mapInArrow(take, "h long, terms array<bigint>, weights array<double>").where(F.size("terms") > 0).orderBy("h").limit(size)
+    return docs.select("doc_id", "text").mapInArrow(cut, "h long, terms array<bigint>, weights array<double>")
+
+
+def sample_of(docs: DataFrame, items: Items, size: int) -> DataFrame:
+    """(h, terms, weights): the passages with the smallest hashes, however the rows are dealt; for a look at the matrix, as no space is fitted on it."""
+    return passage_rows(docs, items).orderBy("h").limit(size)
+
+
+def run_sums(dense: np.ndarray, index: np.ndarray, weight: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Of each run of entries, one after the other, the sum of weight * dense[index]; the k-th entries of all runs at once."""
+    if sizes.max() > RUN:
+        pieces = -(-sizes // RUN)
+        of = np.full(int(pieces.sum()), RUN)
+        of[np.cumsum(pieces) - 1] = sizes - RUN * (pieces - 1)
+        return run_sums(run_sums(dense, index, weight, of), np.arange(len(of)), np.ones(len(of), dense.dtype), pieces)
+    order = np.argsort(-sizes, kind="stable")
+    first, longest_first = (np.cumsum(sizes) - sizes)[order], -sizes[order]
+    total = np.zeros((len(sizes), dense.shape[1]), dense.dtype)
+    for k in range(-longest_first[0]):
+        at = first[: np.searchsorted(longest_first, -k)] + k
+        each = dense[index[at]]
+        each *= weight[at, None]
+        total[: len(at)] += each
+    out = np.empty_like(total)
+    out[order] = total
+    return out
 
 
 def gram_product(rows: DataFrame, basis: np.ndarray) -> np.ndarray:
     """A'(A basis) for the sparse rows A, summed by Spark in chunks of terms."""
     chunk = 512
+    narrow = basis.astype(np.float32)
 
     def product(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros_like(basis)
+        total = np.zeros(narrow.shape)
         for batch in batches:
-            for terms, weights in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                w = np.array(weights)
-                total[terms] += np.outer(w, w @ basis[terms])
+            terms, weights = (batch.column(k).flatten().to_numpy() for k in (0, 1))
+            sizes = batch.column(0).value_lengths().to_numpy().astype(np.int64)
+            sizes, row = sizes[sizes > 0], 0
+            ends = np.cumsum(sizes)
+            while row < len(sizes):
+                lo = ends[row] - sizes[row]
+                to = max(row + 1, int(np.searchsorted(ends, lo + ENTRIES, side="right")))
+                t, w, n = terms[lo : ends[to - 1]], weights[lo : ends[to - 1]].astype(np.float32), sizes[row:to]
+                image = run_sums(narrow, t, w, n)
+                order = np.argsort(t, kind="stable")
+                held, counts = np.unique(t, return_counts=True)
+                total[held] += run_sums(image, np.repeat(np.arange(len(n)), n)[order], w[order], counts)
+                row = to
         for k in range(0, len(total), chunk):
             yield pa.RecordBatch.from_pydict({"k": pa.array([k], pa.int64()), "part": pa.array([total[k : k + chunk].tobytes()], pa.binary())})
+        tidy()
 
-    def add(table: pa.Table) -> pa.Table:
-        parts = table.column("part").to_pylist()
-        total = np.sum([np.frombuffer(x) for x in parts], axis=0)
-        return pa.table({"k": table.column("k").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
+    def add(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = None
+        for batch in parts:
+            for x in batch.column("part"):
+                part = np.frombuffer(x.as_buffer())
+                total = part.copy() if total is None else total + part
+        yield pa.RecordBatch.from_pydict({"k": batch.column("k").slice(0, 1), "part": pa.array([total.tobytes()], pa.binary())})
 
     out = np.zeros_like(basis)
     for r in rows.select("terms", "weights").mapInArrow(product, "k long, part binary").groupBy("k").applyInArrow(add, "k long, part binary").collect():
@@ -397,8 +433,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, cosine: float = COSINE, verbati
         if items is None:
             continue
         own = spark.createDataFrame([([int(x) for x in t], [float(x) for x in w]) for terms in items.terms for t, w in vectors(terms, np.array([0]), np.array([len(terms)]), items.idf)], "terms array<bigint>, weights array<double>")
-        sample = sample_of(texts, items, SAMPLE).select("terms", "weights").unionByName(own)
-        space = latent_space(written(sample, "sample"), len(items.vocabulary))
+        matrix = written(passage_rows(texts, items).select("terms", "weights").unionByName(own), "matrix")
+        space = latent_space(matrix, len(items.vocabulary))
+        discard(matrix)
         hits = texts.mapInArrow(lambda it, items=items, space=space: search(it, items, space, cosine, verbatim, paraphrase, answer), HITS)
         found = found.unionByName(hits)
     best = F.max_by(F.struct("cosine", "lcs", "answer"), F.struct("lcs", "cosine", "answer")).alias("b")

@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import cases
 import numpy as np
@@ -167,6 +168,42 @@ def test_the_sample_is_that_of_the_smallest_hashes(spark):
             assert sorted(take(df.repartition(parts), n)) == sorted(every[:n])
 
 
+def test_the_space_is_fitted_on_all_passages(spark, monkeypatch):
+    r = random.Random(21)
+    pool = item(r, 400).split()
+    words = lambda n: " ".join(r.choice(pool) if r.random() < 0.3 else "other" for _ in range(n))
+    rows = [(i, words(r.choice([3, 40, 64, 65, 200]))) for i in range(2500)] + [(7, None), (None, ""), (None, pool[0]), (7, words(97))]
+    items = [(k, " ".join(pool[10 * k : 10 * k + 10])) for k in range(40)]
+    # the terms of the items are the pool
+    df = Counter(t for _, x in rows for t in set((x or "").split()))
+    want = Counter()
+    for w in [(x or "").split() for _, x in [*rows, *items]]:
+        for a in range(0, max(1, len(w) - 32), 32):
+            tf = Counter(t for t in w[a : a + 64] if t != "other")
+            weights = np.array([n * (np.log((len(rows) + 1) / (df[t] + 1)) + 1) for t, n in tf.items()])
+            if tf:
+                want[tuple(sorted(np.round(weights / np.linalg.norm(weights), 6)))] += 1
+    fitted, fit = [], decontamination.latent_space
+    monkeypatch.setattr(decontamination, "latent_space", lambda m, n: fitted.extend(m.collect()) or fit(m, n))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    decontamination.leaks(docs, spark.createDataFrame(items, "item_id long, text string"), stop_share=1.0).collect()
+    assert want.total() > 4500 and Counter(tuple(sorted(np.round(x.weights, 6))) for x in fitted) == want
+
+
+def test_products_of_sparse_rows(spark, monkeypatch):
+    r = np.random.default_rng(3)
+    dense = r.standard_normal((300, 700)) * (r.random((300, 700)) < 0.03)
+    dense[[0, 7, 299]] = 0
+    dense[5] = r.standard_normal(700)
+    rows = spark.createDataFrame([(np.flatnonzero(x).tolist(), x[x != 0].tolist()) for x in dense], "terms array<bigint>, weights array<double>").repartition(3)
+    basis = r.standard_normal((700, 6))
+    for entries, run in ((1 << 16, 32), (50, 3)):
+        monkeypatch.setattr(decontamination, "ENTRIES", entries)
+        monkeypatch.setattr(decontamination, "RUN", run)
+        assert np.allclose(decontamination.gram_product(rows, basis), dense.T @ (dense @ basis), rtol=1e-4, atol=1e-3)
+    assert not decontamination.gram_product(rows.limit(0), basis).any()
+
+
 def test_the_model_does_not_depend_on_the_order_of_repeated_rows(spark):
     r = random.Random(4)
     rows = [(i, cases.sentence(r, r.randint(1, 80)), None, None, None) for i in range(120)]
