@@ -190,6 +190,21 @@ def test_the_space_is_fitted_on_all_passages(spark, monkeypatch):
     assert want.total() > 4500 and Counter(tuple(sorted(np.round(x.weights, 6))) for x in fitted) == want
 
 
+def test_the_pipeline_fits_on_all_passages(spark, monkeypatch, tmp_path):
+    import corpus_pipeline
+
+    r = random.Random(22)
+    items = [(k, item(r, 20)) for k in range(30)]
+    pool = " ".join(x for _, x in items).split()
+    rows = [(i, " ".join(r.sample(pool, 3)), "en", "s", 0) for i in range(5000)] + [(9000 + k, f"before {x} after", "en", "s", 0) for k, x in items]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    fitted, fit = [], decontamination.latent_space
+    monkeypatch.setattr(decontamination, "latent_space", lambda m, n: fitted.append(m.count()) or fit(m, n))
+    kept = corpus_pipeline.decontaminate(spark, spark.createDataFrame(rows, cases.SCHEMA).repartition(5), str(tmp_path))
+    assert sorted(x.doc_id for x in kept.collect()) == list(range(5000))
+    assert fitted == [len(rows) + len(items)]
+
+
 def test_products_of_sparse_rows(spark, monkeypatch):
     r = np.random.default_rng(3)
     dense = r.standard_normal((300, 700)) * (r.random((300, 700)) < 0.03)
