@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from ledgerleaf.functions.scalars import bind
+
 Range = tuple[float | Column | None, float | Column | None]
 
 
@@ -40,9 +42,13 @@ def range_text(r: Column) -> Column:
 
 def bounds(bbox: Column) -> Column:
     """(x0, y0, x1, y1) of the four numbers in a bbox attribute; null if it has not four."""
-    part = F.split(F.trim(bbox), r"\s+")
-    number = [F.get(part, F.lit(i)).try_cast("double") for i in range(4)]
-    return F.when(F.size(part) == 4, F.struct(*[n.alias(k) for n, k in zip(number, ("x0", "y0", "x1", "y1"), strict=True)]))
+
+
+    def of(part: Column) -> Column:
+        number = [F.get(part, F.lit(i)).try_cast("double") for i in range(4)]
+        return F.when(F.size(part) == 4, F.struct(*[n.alias(k) for n, k in zip(number, ("x0", "y0", "x1", "y1"), strict=True)]))
+
+    return bind(F.split(F.trim(bbox), r"\s+"), of)
 
 
 def centre(b: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +31,12 @@ def lines_with_text_and_font(lines: DataFrame, text: str, font: str, first: bool
     return first_of_page(found) if first else found
 
 
+def kinds_of(lines: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
+    """lines with `kind`, a row for each of the named conditions that a line meets: the lines are read once for all of them."""
+    met = F.array_compact(F.array(*[F.when(condition, F.lit(name)) for name, condition in conditions.items()]))
+    return lines.withColumn("kind", F.explode(met))
+
+
 def first_of_page(lines: DataFrame) -> DataFrame:
     one = lines.groupBy(*PAGE).agg(F.min_by(F.struct(*lines.columns), "ord").alias("first"))
     return one.select("first.*")

@@ -25,17 +25,27 @@ ISSUERS = ["Alder Works", "Birch & Co", "Cedar Holdings"]
 ROWS = 20
 #: Formats whose names must be similar as a whole, so that they hold no rate or maturity.
 SIMILAR = ("ARCA", "MEDIOLANUM")
+ENTITIES = (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"))
+#: Customers' keys whose lines are joined before they are joined to a page.
+STRETCH = 1000
 
 
 def escaped(text: Column) -> Column:
-    for plain, xml in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;")):
+    for plain, xml in ENTITIES:
         text = F.replace(text, F.lit(plain), F.lit(xml))
     return text
 
 
-def font_xml(text: Column, font: Column) -> Column:
-    chars = F.transform(F.filter(F.split(text, ""), lambda c: c != ""), lambda c: F.concat(F.lit('<char c="'), escaped(c), F.lit('"/>')))
-    return F.concat(F.lit('<font name="'), escaped(font), F.lit('" size="8.5">'), F.array_join(chars, ""), F.lit("</font>"))
+def escaped_text(text: str) -> str:
+    for plain, xml in ENTITIES:
+        text = text.replace(plain, xml)
+    return text
+
+
+def font_xml(text: Column, font: Column | str) -> Column:
+    chars = F.regexp_replace(escaped(text), "(?s)&(?:amp|lt|gt|quot);|.", '<char c="$0"/>')
+    start = F.lit(f'<font name="{escaped_text(font)}" size="8.5">') if isinstance(font, str) else F.concat(F.lit('<font name="'), escaped(font), F.lit('" size="8.5">'))
+    return F.concat(start, chars, F.lit("</font>"))
 
 
 def line_xml(text: Column, x: Column, y: Column, width: Column, fonts: Column) -> Column:
@@ -45,8 +55,10 @@ def line_xml(text: Column, x: Column, y: Column, width: Column, fonts: Column) -
 
 
 def plain_line(text: Column | str, font: str, x: float, y: float) -> Column:
-    text = F.lit(text) if isinstance(text, str) else text
-    return line_xml(text, F.lit(x), F.lit(y), F.lit(40), font_xml(text, F.lit(font)))
+    if isinstance(text, str):
+        chars = "".join(f'<char c="{escaped_text(c)}"/>' for c in text)
+        return F.lit(f'<line bbox="{float(x)} {float(y)} {float(x + 40)} {float(y + 8)}" text="{escaped_text(text)}"><font name="{escaped_text(font)}" size="8.5">{chars}</font></line>')
+    return line_xml(text, F.lit(x), F.lit(y), F.lit(40), font_xml(text, font))
 
 
 def page_xml(lines: Column) -> Column:
@@ -59,12 +71,21 @@ def _cells(spec: FormatSpec) -> list[str]:
     return [at.get(n, "other") for n in range(min(at), max(at) + 1)]
 
 
+def numbered_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`part` with its number in its brand and its sheet, dealt out by sheets: pages are made and read by as many tasks as there are shuffle partitions.
+
+    The rows are a hundredth of what is made of them, so by their size alone they would all go to one task.
+    """
+    rn = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1
+    part = spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("rn", rn).withColumn("sheet", F.floor(F.col("rn") / ROWS).cast("int"))
+    return part.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "p_brand", "sheet")
+
+
 def report_pages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """(doc_id, page_idx, xml) of `part` as reports of a format."""
     spec = SPECS[name]
     key, case = F.col("p_partkey"), F.col("p_partkey") % 6
-    rn = F.row_number().over(Window.partitionBy("p_brand").orderBy("p_partkey")) - 1
-    part = spark.read.parquet(f"{sf_dir}/part.parquet").withColumn("rn", rn)
+    part = numbered_parts(spark, sf_dir)
     similar = name in SIMILAR
     issuer = F.when(case == 0, "Alder Worcs" if similar else ISSUERS[0]).when(case == 1, ISSUERS[1]).when(case == 2, ISSUERS[2])
     issuer = issuer.when(case == 3, "Birch Elsewhere Unlimited" if similar else "Dune Ltd").when(case == 4, "Cedar ").otherwise(ISSUERS[0])
@@ -87,14 +108,14 @@ def report_pages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     made = []
     for k, cell in enumerate(_cells(spec)):
         x, text = F.lit(10 + 100 * k), value[cell]
-        body = font_xml(text, F.lit(spec.body_font))
+        body = font_xml(text, spec.body_font)
         if cell == "name":  # every other name begins in another font
-            body = F.when(key % 2 == 0, F.concat(font_xml(F.substring(text, 1, 2), F.lit("Other-Bold")), font_xml(F.substring(text, F.lit(3), F.length(text)), F.lit(spec.body_font)))).otherwise(body)
+            body = F.when(key % 2 == 0, F.concat(font_xml(F.substring(text, 1, 2), "Other-Bold"), font_xml(F.substring(text, F.lit(3), F.length(text)), spec.body_font))).otherwise(body)
         made.append(line_xml(text, x, y, width, body))
         if cell == "name":
-            made.append(F.when(case == 4, line_xml(F.lit("Holdings"), x, y + 8, width, font_xml(F.lit("Holdings"), F.lit(spec.body_font)))))
+            made.append(F.when(case == 4, line_xml(F.lit("Holdings"), x, y + 8, width, font_xml(F.lit("Holdings"), spec.body_font))))
             made += [F.when(key % 3 == 0, plain_line(text, font, 10, 300)) for text, font in spec.deselect[:1]]
-    rows = part.select("p_brand", "rn", F.floor(F.col("rn") / ROWS).cast("int").alias("sheet"), F.array_join(F.array_compact(F.array(*made)), "").alias("row"))
+    rows = part.select("p_brand", "rn", "sheet", F.array_join(F.array_compact(F.array(*made)), "").alias("row"))
     pages = rows.groupBy("p_brand", "sheet").agg(F.transform(F.array_sort(F.collect_list(F.struct("rn", "row"))), lambda r: r["row"]).alias("rows"))
     sheet = F.col("sheet")
     low, high = spec.subfund_y
@@ -108,8 +129,8 @@ def report_pages(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     # out of the sub-fund's range where it is set in the same font
     header = plain_line(spec.header[0] + " 2024", spec.header[1], 10, 140 if spec.header[1] == spec.subfund_font != spec.body_font else 77)
     filled = lambda first: page_xml(F.concat(F.array(*first), F.col("rows"), F.array_compact(F.array(*foot)) if foot else F.array().cast("array<string>")))
-    whole = pages.select(F.col("p_brand").alias("doc_id"), (2 * sheet).alias("page_idx"), filled([header, *head]).alias("xml"))
-    return whole.unionByName(pages.select(F.col("p_brand").alias("doc_id"), (2 * sheet + 1).alias("page_idx"), filled(head).alias("xml")))
+    both = F.array(F.struct((2 * sheet).alias("page_idx"), filled([header, *head]).alias("xml")), F.struct((2 * sheet + 1).alias("page_idx"), filled(head).alias("xml")))
+    return pages.select(F.col("p_brand").alias("doc_id"), F.inline(both))
 
 
 def report_query(name: str):
@@ -159,10 +180,14 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A nation is a document, a segment a page, a customer a line; one page a nation can't be read."""
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     text = F.concat(F.lit(" "), F.col("c_name"), F.lit(" <&> "))
-    fonts = F.concat(font_xml(F.substring(text, 1, 3), F.concat(F.lit("Font"), (F.col("c_custkey") % 3).cast("string"))), font_xml(F.substring(text, F.lit(4), F.length(text)), F.lit("Tail")))
+    fonts = F.concat(font_xml(F.substring(text, 1, 3), F.concat(F.lit("Font"), (F.col("c_custkey") % 3).cast("string"))), font_xml(F.substring(text, F.lit(4), F.length(text)), "Tail"))
     x, y = F.col("c_custkey") % 500, F.col("c_custkey") % 700
     line = line_xml(text, x, y, 20 + F.col("c_custkey") % 5, fonts)
-    pages = customer.groupBy("c_nationkey", F.length("c_mktsegment").alias("n")).agg(page_xml(F.transform(F.array_sort(F.collect_list(F.struct("c_custkey", line.alias("line")))), lambda r: r["line"])).alias("xml"))
+    # customers go by stretches of a page, as rows; a page is put together of few long texts, not of a row a line
+    dealt = customer.select("c_custkey", "c_name", "c_nationkey", F.length("c_mktsegment").alias("n"), F.floor(F.col("c_custkey") / STRETCH).alias("stretch")).repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "c_nationkey", "n", "stretch")
+    joined = lambda key, part: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(key, part.alias("part")))), lambda r: r["part"]), "")
+    stretches = dealt.groupBy("c_nationkey", "n", "stretch").agg(joined("c_custkey", line).alias("lines"))
+    pages = stretches.groupBy("c_nationkey", "n").agg(F.concat(F.lit("<page><block>"), joined("stretch", F.col("lines")), F.lit("</block></page>")).alias("xml"))
     pages = pages.select(F.col("c_nationkey").alias("doc_id"), F.col("n").alias("page_idx"), "xml")
     broken = customer.select(F.col("c_nationkey").alias("doc_id"), F.lit(99).alias("page_idx"), F.lit("<page><block>").alias("xml")).distinct()
     return pages.unionByName(broken)
@@ -215,12 +240,9 @@ SELECT doc_id, page_idx, (rn - 1)::INT AS ord, text, CASE WHEN rn = n OR kind =
 def lines_by_font(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines with a font, lines with a text and a font, and the first such line of each page."""
     found = lines_of(customer_pages(spark, sf_dir))
-    kinds = {"font": line_operators.lines_with_font(found, "Font1"), "both": line_operators.lines_with_text_and_font(found, "7", "Font2"), "tail": line_operators.lines_with_text_and_font(found, "00", "Tail"), "first": line_operators.lines_with_text_and_font(found, "7", "Tail", first=True)}
-    out = None
-    for kind, rows in kinds.items():
-        rows = rows.select(F.lit(kind).alias("kind"), "doc_id", "page_idx", "ord", "text")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    conditions = {"font": line_operators.has_font("Font1"), "both": line_operators.with_text_and_font("7", "Font2"), "tail": line_operators.with_text_and_font("00", "Tail")}
+    first = line_operators.lines_with_text_and_font(found, "7", "Tail", first=True).withColumn("kind", F.lit("first"))
+    return reduce(DataFrame.unionByName, [rows.select("kind", "doc_id", "page_idx", "ord", "text") for rows in (line_operators.kinds_of(found, conditions), first)])
 
 
 _BY_FONT_SQL = _LINES_SQL + """
@@ -232,13 +254,9 @@ UNION ALL (SELECT 'first', doc_id, page_idx, ord, text FROM l WHERE contains(tex
 
 def lines_by_area(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines whose centre is in an area, or not, lines wholly in it, and the exact test of a position."""
-    found = lines_of(customer_pages(spark, sf_dir))
-    kinds = {"inside": line_operators.select_inside(found, (100, 300), (None, 400)), "outside": line_operators.select_outside(found, (100, 300), (None, 400)), "contained": line_operators.lines_contained(found, (100, 300), (50, None)), "positioned": found.where(geometry.is_positioned(F.col("box"), (100, 300), (50, 400)))}
-    out = None
-    for kind, rows in kinds.items():
-        rows = rows.select(F.lit(kind).alias("kind"), "doc_id", "page_idx", "ord")
-        out = rows if out is None else out.unionByName(rows)
-    return out
+    box = F.col("box")
+    conditions = {"inside": geometry.is_inside(box, (100, 300), (None, 400)), "outside": ~geometry.is_inside(box, (100, 300), (None, 400)), "contained": geometry.is_contained(box, (100, 300), (50, None)), "positioned": geometry.is_positioned(box, (100, 300), (50, 400))}
+    return line_operators.kinds_of(lines_of(customer_pages(spark, sf_dir)), conditions).select("kind", "doc_id", "page_idx", "ord")
 
 
 _BY_AREA_SQL = _LINES_SQL + """, c AS (SELECT *, (x0 + x1) / 2 AS cx, (y0 + y1) / 2 AS cy FROM l)
