@@ -57,6 +57,6 @@ def test_a_large_page_is_read_without_a_tree(spark):
     assert one.where(pages.is_plain(F.col("xml"))).count() == 1
 
 
-@pytest.mark.parametrize(("name", "scans"), [("lines_by_area", 2)])
+@pytest.mark.parametrize(("name", "scans"), [("lines_by_area", 2), ("lines_by_font", 4)])
 def test_lines_are_read_once_for_several_conditions(spark, name, scans):
     assert len(re.findall(r"FileScan|Scan parquet", plan(rendered.QUERIES[name](spark, SF)))) == scans
