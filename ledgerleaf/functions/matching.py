@@ -9,7 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import ArrayType, DoubleType, StringType
 
 from ledgerleaf.functions.scalars import normalize_string
 
@@ -59,6 +59,19 @@ def similarity(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+@F.pandas_udf(ArrayType(StringType()))
+def alike_by(text: pd.Series, targets: pd.Series, ratio: pd.Series) -> pd.Series:
+    """Of each text's targets, those that are alike by at least its ratio; null texts are passed over."""
+    seen: dict[tuple[str, str], float] = {}
+
+    def likeness(target: str, of: str) -> float:
+        if (target, of) not in seen:
+            seen[target, of] = SequenceMatcher(None, target, of).ratio()
+        return seen[target, of]
+
+    return pd.Series([None if x is None else [t for t in every if likeness(t, x) >= r] for x, every, r in zip(text, targets, ratio, strict=True)], dtype="object")
+
+
 def target_fuzzy_match(ratio: float) -> Match:
     """The target and the text are alike by at least ratio, both normalised.
 

@@ -9,8 +9,8 @@ visited, blocks before it are. An offset beyond the document gives null and `out
 fields in each row: a window gives each block the contents around it, as far as the farthest offset, and the fields
 are taken from these.
 
-Targets are found by an expression where they are few and contained in texts, else by the candidate joins of
-`operators.matching`, each different text once.
+Targets are found by expressions where they are few (with a Python function for those that must be alike as well), else
+by the candidate joins of `operators.matching`, each different text once.
 
 A document is one window partition, as its blocks form one sequence.
 """
@@ -23,9 +23,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerleaf.functions.matching import Likeness, Match, target_match
+from ledgerleaf.functions.matching import Likeness, Match, alike_by, target_match
 from ledgerleaf.functions.scalars import bind, instrument_of, interest_rate, maturity, normalize_string
-from ledgerleaf.operators.matching import SHORT_LIST, matches
+from ledgerleaf.operators.matching import SHORT_LIST, beginning_size, matches
 
 #: The raw fields of a holding.
 FIELDS = ("quantity", "market_value", "net_assets", "currency", "acquisition_cost")
@@ -84,6 +84,38 @@ def targets_in(text: Column, targets: Sequence[str], match: Match = target_match
     return bind(normalize_string(text), lambda norm: F.transform(F.filter(pairs, lambda t: norm.contains(t["norm"])), lambda t: t["target"]))
 
 
+def listed_targets(rows: DataFrame, targets: Sequence[str], kinds: Collection[Likeness]) -> DataFrame:
+    """rows (with _joint, _own, _prefix and _ratio) with the targets of both texts, for a short list: without a join.
+
+    What the text contains, or begins with, is told by an expression; a Python function sees only texts with candidates
+    that still must be alike, and compares each different pair of a batch once.
+    """
+    usable = [(i, t, " ".join(t.lower().split())) for i, t in enumerate(targets) if t.strip()]
+    none = F.array().cast("array<struct<ord:int,target:string,norm:string>>")
+    pairs = F.array(*[F.struct(F.lit(i).alias("ord"), F.lit(t).alias("target"), F.lit(n).alias("norm")) for i, t, n in usable]) if usable else none
+    prefix, ratio = F.col("_prefix"), F.col("_ratio")
+
+    def candidates(norm: Column) -> Column:
+        def begins(t: Column) -> Column:
+            size = beginning_size(t["norm"], prefix)
+            return prefix.isNull() | (F.left(norm, size) == F.left(t["norm"], size))
+
+        could = lambda t: ratio.isNull() | (2 * F.least(F.length(norm), F.length(t["norm"])) >= ratio * (F.length(norm) + F.length(t["norm"])) - 1e-9)
+        liked = F.filter(pairs, lambda t: begins(t) & could(t))
+        return F.when(prefix.isNull() & ratio.isNull(), F.filter(pairs, lambda t: norm.contains(t["norm"]))).otherwise(liked)
+
+    rows = rows.withColumn("_norm", normalize_string(F.coalesce("_joint", "_own")))
+    rows = rows.withColumn("_found", F.when(F.col("_norm").isNotNull(), bind(F.col("_norm"), candidates)))
+    if any(k.ratio is not None for k in kinds):
+        # null where nothing is left to be compared
+        asked = ratio.isNotNull() & (F.size("_found") > 0)
+        alike = alike_by(F.when(asked, F.col("_norm")), F.when(asked, F.transform("_found", lambda t: t["norm"])), F.when(asked, ratio))
+        rows = rows.withColumn("_alike", alike)
+        rows = rows.withColumn("_found", F.when(asked, F.filter("_found", lambda t: F.array_contains("_alike", t["norm"]))).otherwise(F.col("_found"))).drop("_alike")
+    names = F.transform("_found", lambda t: t["target"])
+    return rows.withColumns({f"_{x}_targets": F.when(F.col(f"_{x}").isNotNull(), names) for x in ("joint", "own")}).drop("_norm", "_found")
+
+
 def with_neighbours(blocks: DataFrame, walk: Walk) -> DataFrame:
     """blocks with _rn, last, _joint (the content with the next one's, where both are in one column) and _own (the content where they aren't)."""
     w = walk.window()

@@ -37,10 +37,9 @@ def deserialize(rows: DataFrame, cost_and_value_interpret_int: bool | Column = T
         "maturity": ("raw_maturity", to_date(F.col("raw_maturity"))),
     }
     optional = {"acquisition_cost", "interest_rate", "maturity"}
-    for name, (_, column) in typed.items():
-        rows = rows.withColumn(name, column)
+    rows = rows.withColumns({name: column for name, (_, column) in typed.items()})
     failed = [F.when(F.col(name).isNull() & (F.col(raw).isNotNull() if name in optional else F.lit(True)), F.lit(f"{name} can't be read")) for name, (raw, _) in typed.items()]
-    return rows.withColumn("subfund", to_str(F.col("subfund"))).withColumn("page", F.col("page_idx") + page_offset).withColumn("error", F.coalesce(*failed))
+    return rows.withColumns({"subfund": to_str(F.col("subfund")), "page": F.col("page_idx") + page_offset, "error": F.coalesce(*failed)})
 
 
 def dispatch(rows: DataFrame, others: Mapping[str, Mapping[str, Column]] | None = None) -> DataFrame:
@@ -81,9 +80,7 @@ def handle_errors(rows: DataFrame, mode: str = PERMISSIVE) -> DataFrame:
     if mode != PERMISSIVE:
         raise ValueError(f"unknown mode {mode}")
     put = {"page": F.lit(SENTINEL_PAGE), "company": F.col("error"), "instrument": F.lit("EQUITY"), "currency": F.lit("EUR"), "net_assets": F.lit(0.0), "subfund": F.lit(""), "quantity": F.lit(None), "market_value": F.lit(None), "acquisition_cost": F.lit(None), "maturity": F.lit(None), "interest_rate": F.lit(None)}
-    for name, value in put.items():
-        rows = rows.withColumn(name, F.when(bad, value).otherwise(F.col(name)))
-    return rows
+    return rows.withColumns({name: F.when(bad, value).otherwise(F.col(name)) for name, value in put.items()})
 
 
 def observed(rows: DataFrame, reports: Mapping[str, Column] | None = None) -> tuple[DataFrame, Observation]:

@@ -1,8 +1,8 @@
 """From pages to the holdings table, as one lazy plan for any number of reports and formats.
 
 A page stays one row until its blocks are found (`operators.page`): gate, sub-fund, anchors, body and columns are
-expressions over the page's array of lines, without an exchange. Formats are rows of a table that pages are joined to,
-so the plan is the same for one report and for a thousand. The walk over blocks is a window over a document.
+expressions over the page's array of lines, without an exchange. Formats are constants that pages look up by name, so
+the plan is the same for one report and for a thousand. The walk over blocks is a window over a document.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerleaf.functions.matching import Likeness
 from ledgerleaf.operators import holdings, page
-from ledgerleaf.operators.extract import FIELDS, SHORT_LIST, Walk, joined_targets, merged_rows, reach_of, read_names, target_table, targets_in, with_fields, with_neighbours
+from ledgerleaf.operators.extract import FIELDS, SHORT_LIST, Walk, joined_targets, listed_targets, merged_rows, reach_of, read_names, target_table, targets_in, with_fields, with_neighbours
 from ledgerleaf.operators.page import PAGE
 from ledgerleaf.plans import formats
 from ledgerleaf.plans.formats import SPECS, FormatSpec
@@ -35,8 +35,9 @@ def page_blocks(pages: DataFrame, spec: Column, strict: bool = False, keep: Iter
     strict: a page without a sub-fund fails the query; else its sub-fund is null.
     """
     missing = F.raise_error(F.lit(f"{ExpectedBlockNotFound.__name__}: a page has no sub-fund")).cast("string") if strict else None
-    wanted = pages.where(page.is_wanted(F.col("lines"), spec))
-    return wanted.select(*keep, *PAGE, F.inline(page.blocks(F.col("lines"), spec, missing)))
+    # no filter, which would go below the reading of lines and read them once more
+    lines = F.col("lines")
+    return pages.select(*keep, *PAGE, F.inline(F.when(page.is_wanted(lines, spec), page.blocks(lines, spec, missing))))
 
 
 def blocks_of(lines: DataFrame, spec: FormatSpec, strict: bool = False) -> DataFrame:
@@ -51,12 +52,11 @@ def all_rows_of(pages: DataFrame, targets: list[str], specs: Collection[FormatSp
     further columns of pages that stay, and tell documents apart. others: see `holdings.dispatch`.
     """
     specs = list(SPECS.values()) if specs is None else list(specs)
-    read = page_source.with_lines(pages.select(*keep, "format", *PAGE, "xml"))
-    if len(specs) == 1:
-        read = read.where(F.col("format") == specs[0].name).withColumn("spec", formats.as_column(specs[0]))
-    else:
-        read = read.join(formats.table(pages.sparkSession, specs), "format")
-    blocks = page_blocks(read, F.col("spec"), strict, [*keep, "format", "spec"])
+    one = specs[0] if len(specs) == 1 else None
+    spec = formats.as_column(one) if one else formats.chosen(F.col("format"), specs)
+    known = pages.select(*keep, "format", *PAGE, "xml").where(F.col("format") == one.name if one else F.col("format").isin([s.name for s in specs]))
+    # a row of a page holds its format, a row of a block only its name
+    blocks = page_blocks(page_source.with_lines(known).withColumn("spec", spec), F.col("spec"), strict, [*keep, "format"])
     walk = Walk(key=(*keep, "format", "doc_id"))
     kinds = {s.likeness for s in specs}
     rows = with_neighbours(blocks, walk)
@@ -64,13 +64,13 @@ def all_rows_of(pages: DataFrame, targets: list[str], specs: Collection[FormatSp
         found = {f"_{x}_targets": F.when(F.col(f"_{x}").isNotNull(), targets_in(F.col(f"_{x}"), targets)) for x in ("joint", "own")}
         rows = rows.withColumns(found)
     else:
-        likeness = {"_prefix": F.col("spec.prefix"), "_ratio": F.col("spec.ratio")}
-        rows = joined_targets(rows.withColumns(likeness), target_table(pages.sparkSession, targets), kinds).drop(*likeness)
-    rows = with_fields(merged_rows(rows, walk), F.col("spec.offsets"), reach_of([s.positions.offsets() for s in specs]), walk)
-    own = {"raw_currency": F.coalesce("raw_currency", "spec.currency")}
-    rows = rows.withColumns(own)
+        rows = rows.withColumn("_spec", spec).withColumns({"_prefix": F.col("_spec.prefix"), "_ratio": F.col("_spec.ratio")}).drop("_spec")
+        rows = listed_targets(rows, targets, kinds) if len(targets) <= SHORT_LIST else joined_targets(rows, target_table(pages.sparkSession, targets), kinds)
+        rows = rows.drop("_prefix", "_ratio")
+    rows = with_fields(merged_rows(rows, walk).withColumn("spec", spec), F.col("spec.offsets"), reach_of([s.positions.offsets() for s in specs]), walk)
     # what the page says once stands for the field in each of its rows
-    rows = rows.withColumns({f"raw_{name}": F.when(F.map_contains_key("metadata", name), F.try_element_at("metadata", F.lit(name))).otherwise(F.col(f"raw_{name}")) for name in FIELDS})
+    raw = {name: F.col(f"raw_{name}") if name != "currency" else F.coalesce("raw_currency", "spec.currency") for name in FIELDS}
+    rows = rows.withColumns({f"raw_{name}": F.when(F.map_contains_key("metadata", name), F.try_element_at("metadata", F.lit(name))).otherwise(value) for name, value in raw.items()})
     typed = holdings.deserialize(read_names(rows), F.col("spec.cost_and_value_interpret_int"), F.col("spec.quantity_interpret_float"), canonical_currency, page_offset)
     return holdings.handle_errors(holdings.validate(holdings.dispatch(typed, others), targets), mode)
 

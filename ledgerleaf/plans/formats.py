@@ -1,7 +1,7 @@
 """Report formats as data. A format is a page filter, positions of fields, a likeness of names and the readings of numbers.
 
-`as_column` gives a format as a constant struct, `table` all of them as rows: either is what the page stage and the walk
-read, so a plan doesn't depend on which formats, or how many, go through it.
+`as_column` gives a format as a constant struct, `chosen` one of many by its name, `table` all of them as rows: each is what
+the page stage and the walk read, so a plan doesn't depend on which formats, or how many, go through it.
 """
 
 from __future__ import annotations
@@ -74,6 +74,12 @@ def as_column(spec: FormatSpec) -> Column:
     return F.from_json(F.lit(json.dumps(spec.data())), SCHEMA)
 
 
+def chosen(name: Column, specs: Iterable[FormatSpec]) -> Column:
+    """The format of a name, among constants: no join, which would deal pages out by their few formats. Null for another name."""
+    every = F.from_json(F.lit(json.dumps({s.name: s.data() for s in specs})), f"map<string,struct<{SCHEMA}>>")
+    return F.try_element_at(every, name)
+
+
 def table(spark: SparkSession, specs: Iterable[FormatSpec]) -> DataFrame:
     """(format, spec): a row a format."""
     rows = spark.createDataFrame([(s.name, json.dumps(s.data())) for s in specs], "format string, spec string")
